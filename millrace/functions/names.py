@@ -34,32 +34,27 @@ def canonical_snake(
         word = F.regexp_replace(word, border, "$1_$2")
     word = F.regexp_replace(word, "[^A-Za-z0-9_]+", "_")
     word = F.upper(F.regexp_replace(word, "^_+|_+$", ""))
-
-    front = F.concat(F.lit(f"{forced_prefix or 'C'}_"), word)
-    word = F.when(word.rlike("^[0-9]"), front).otherwise(word)
-    back = (
-        F.concat(F.lit(f"{forced_prefix}_"), word)
-        if forced_prefix
-        else F.concat(word, F.lit(f"_{suffix}"))
-    )
-    word = F.when(word.isin(*reserved), back).otherwise(word)
-
-    def cut(text: Column) -> Column:
-        return F.regexp_replace(text, "_+$", "")
-
-    shorter = cut(F.substring(word, 1, max_len))
-    room = max_len - len(suffix) - 1
-    shorter = F.when(
-        word.endswith(f"_{suffix}"),
-        F.concat(cut(F.substring(word, 1, room)), F.lit(f"_{suffix}")),
-    ).otherwise(shorter)
+    # Each repair is one replacement on the word, so the expression stays linear in size.
+    front = f"{forced_prefix or 'C'}_"
+    any_reserved = "^(" + "|".join(reserved) + ")$"
+    repairs = [
+        ("^$", suffix),
+        ("^([0-9])", f"{front}$1"),
+        (any_reserved, f"{forced_prefix}_$1" if forced_prefix else f"$1_{suffix}"),
+    ]
+    too_long = f"^(?=.{{{max_len + 1}}})"
     if forced_prefix:
-        start = len(forced_prefix)
-        shorter = F.when(
-            word.startswith(forced_prefix), cut(F.substring(word, start + 1, max_len - start))
-        ).otherwise(shorter)
-    word = F.when(F.length(word) > max_len, shorter).otherwise(word)
-    return F.when(word == "", F.lit(suffix)).otherwise(word)
+        repairs.append((f"{too_long}{forced_prefix}(.{{0,{max_len - len(forced_prefix)}}}).*$", "$1"))
+    repairs += [
+        (f"{too_long}(.{{{max_len - len(suffix) - 1}}}).*_{suffix}$", "$1\u0001"),
+        ("_*\u0001$", f"_{suffix}"),
+        (f"^(.{{{max_len}}}).+$", "$1"),
+        ("_+$", ""),
+        ("^$", suffix),
+    ]
+    for pattern, replacement in repairs:
+        word = F.regexp_replace(word, pattern, replacement)
+    return word
 
 
 def name_collisions(names: DataFrame, column: str) -> DataFrame:
