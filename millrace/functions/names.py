@@ -104,8 +104,8 @@ def rename_to_target(df: DataFrame, target_columns: Sequence[str]) -> DataFrame:
 
 def slug_name(name: Column) -> Column:
     """Lower case; drop all but word characters, spaces and dashes; runs of those become ``_``."""
-    text = F.regexp_replace(strip(F.lower(name)), r"[^\w\s-]", "")
-    return F.regexp_replace(text, r"[\s-]+", "_")
+    text = F.regexp_replace(strip(F.lower(name)), r"(?U)[^\w\s-]", "")
+    return F.regexp_replace(text, r"(?U)[\s-]+", "_")
 
 
 def slugify_columns(df: DataFrame) -> DataFrame:
