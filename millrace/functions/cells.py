@@ -12,19 +12,19 @@ NUMBER_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 def without_null_bytes(text: Column) -> Column:
-    return F.regexp_replace(text, r"\x00", "")
+    return F.replace(text, F.lit("\x00"), F.lit(""))
 
 
 def is_blank(value: Column, kind: str = "string") -> Column:
     """Null, white space only, or an empty collection."""
     if kind == "collection":
         return value.isNull() | (F.size(value) == 0)
-    return value.isNull() | (strip(value) == "")
+    return value.isNull() | ~value.rlike(r"\S")
 
 
 def text_number(text: Column, kind: str = "double") -> Column:
     """Number in text with thousands commas; anything else becomes null."""
-    plain = strip(F.regexp_replace(text, ",", ""))
+    plain = strip(F.replace(text, F.lit(","), F.lit("")))
     return F.when(plain.rlike(NUMBER_TEXT), plain.try_cast(kind))
 
 
@@ -40,7 +40,7 @@ def normalise_cell(text: Column, kind: str) -> Column:
     name a decimal type (``decimal(15,2)``); ``clob`` keeps its outer spaces.
     """
     clean = without_null_bytes(text)
-    clean = F.when(~is_blank(clean), clean)
+    clean = F.when(clean.rlike(r"\S"), clean)
     if kind == "boolean":
         return yes_no(clean)
     if kind == "number":

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import compute_once
+
 MEMBERS = "map<string,variant>"
 
 
@@ -361,10 +363,10 @@ def json_table(
 
     ``columns`` select from the parsed document; ``nested`` selects an array
     whose elements become rows (documents without elements stay when ``outer``)
-    and ``nested_columns`` select from an element.  The document is parsed once,
-    and only the fields that are selected.
+    and ``nested_columns`` select from an element.  The document is parsed once;
+    leave fields that no column needs out of ``schema``.
     """
-    parsed = df.withColumn("__d", F.from_json(doc, schema))
+    parsed = compute_once(df, __d=F.from_json(doc, schema))
     out = [F.col(k) for k in keep] + [f(F.col("__d")).alias(n) for n, f in columns.items()]
     if nested is None:
         return parsed.select(*out)
@@ -387,7 +389,7 @@ def flatten_json_column(df: DataFrame, column: str, schema: str | None = None) -
     if schema is None:
         found = df.agg(F.schema_of_variant_agg(F.try_parse_json(column))).first()[0]
         schema = found.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
-    parsed = df.withColumn("__d", F.from_json(column, schema))
+    parsed = compute_once(df, __d=F.from_json(column, schema))
     inner = parsed.select("__d.*").schema
     leaves = leaf_columns(inner, ".")
     others = [c for c in df.columns if c != column]

@@ -13,7 +13,7 @@ from ..fixed_values import RESERVED_WORDS
 
 def strip(text: Column) -> Column:
     """Remove white space of any kind from both ends."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(" \t\n\x0b\f\r"))
 
 
 def canonical_snake(

@@ -19,6 +19,7 @@ from ..fixed_values import (
 )
 from ..functions import cells
 from ..functions.names import strip
+from ..session import compute_once
 
 INLINE_VALUES = 1000
 UNIT = "\u001f"
@@ -181,8 +182,8 @@ def ledger_pattern() -> str:
 
 def money_text(value: Column) -> Column:
     """``-$1,234.56`` style."""
-    bare = F.regexp_replace(value, r"[\s$,-]", "").cast("decimal(18,2)")
-    sign = F.when(strip(value).startswith("-"), "-").otherwise("")
+    bare = F.translate(value, " $,-", "").cast("decimal(18,2)")
+    sign = F.when(value.startswith("-"), "-").otherwise("")
     return F.concat(sign, F.lit("$"), F.format_number(bare, 2))
 
 
@@ -197,7 +198,7 @@ def parse_ledger_lines(df: DataFrame, line: str, strict: bool = False) -> tuple[
     packed = F.regexp_replace(
         F.col(line), ledger_pattern(), UNIT.join(f"${i}" for i in range(1, 11))
     )
-    split = lines.withColumn("__f", F.split(packed, UNIT))
+    split = compute_once(lines, __f=F.split(packed, UNIT))
     good = F.size("__f") == 10
     if strict:
         message = F.concat(F.lit("could not parse line: "), F.col(line))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -16,8 +16,9 @@ def number_rows(
     """Consecutive numbers from ``start`` in the given order.
 
     The frame is range partitioned and sorted once and written to the shared
-    folder, so positions cannot change when a task is run again.  Row counts per
-    partition (one row each, hence safe to broadcast) become the offsets.
+    folder, so positions cannot change when a task is run again.  The offsets
+    come from one row count per partition, which is small enough to collect and
+    to broadcast.
     ``order_by`` should identify rows; ties get some order.
     """
     placed = cut_lineage(
@@ -26,9 +27,12 @@ def number_rows(
         # the id carries the partition in its upper bits and the row in its lower 33
         .withColumn("__part", F.shiftright("__pos", 33))
     )
-    sizes = placed.groupBy("__part").agg(F.count("*").alias("__n"))
-    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    sizes = placed.groupBy("__part").agg(F.count("*")).orderBy("__part").collect()
+    before, rows = 0, []
+    for part, size in sizes:
+        rows.append((part, before))
+        before += size
+    offsets = df.sparkSession.createDataFrame(rows, "__part bigint, __before bigint")
     row = F.col("__pos").bitwiseAND(F.lit((1 << 33) - 1))
     return (
         placed.join(F.broadcast(offsets), "__part")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.groups import latest_per_key
 from ..operators.joins import with_group_count
+from ..session import cut_lineage
 from .spec import TableSpec
 
 
@@ -171,6 +172,7 @@ def load_report(
     A batch with more than ``max_failures`` failed rows is abandoned: its clean
     rows count as unprocessed.
     """
+    validated = cut_lineage(validated)  # the checks run once for all three sets
     bad = F.col("error_msg").isNotNull()
     dead = (
         validated.groupBy(batch).agg(F.count_if(bad).alias("n")).where(F.col("n") > max_failures).select(batch)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.groups import latest_per_key
 from ..operators.numbering import number_rows
+from ..session import cut_lineage
 from . import load
 
 # Staging sequence limit and first person number.
@@ -95,7 +96,8 @@ def upsert_person(person: DataFrame, staged: DataFrame, at: Column, user: str) -
     )
     lone = staged.where(~whole).select("id", "email_addr", row.alias("r"), F.col("stage_order").alias("first_seen"))
     held = person.select("id", "email_addr", "person_id")
-    known = grouped.join(held, ["id", "email_addr"], "left")
+    # Read four times below, and one row per person: worth keeping.
+    known = cut_lineage(grouped.join(held, ["id", "email_addr"], "left"))
     fresh = known.where("person_id is null").drop("person_id").withColumn("lone", F.lit(False))
     fresh = fresh.unionByName(lone.withColumn("lone", F.lit(True)))
     top = person.agg(F.max(F.col("person_id").cast("bigint"))).first()[0]

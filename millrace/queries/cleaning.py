@@ -13,6 +13,7 @@ from ..fixed_values import (
 )
 from ..functions import cells, names
 from ..operators import clean
+from ..session import compute_once
 from .registry import query
 
 
@@ -303,7 +304,7 @@ _NUM = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 def normalise_cells(t):
     k = F.col("o_orderkey")
     iso = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
-    dirty = t.orders.select(
+    dirty = t.spread("orders").select(
         k.alias("k"),
         F.when(k % 5 == 0, F.concat(F.lit(" "), F.format_number("o_totalprice", 2)))
         .when(k % 5 == 1, "abc")
@@ -425,7 +426,7 @@ def ssn_text(t):
         .when(k % 5 == 3, " call 555-1234 now")
         .otherwise(" 321.54.9876,")
     )
-    return t.documents.select("doc_id", F.concat("text", tail).alias("text"))
+    return t.spread("documents").select("doc_id", F.concat("text", tail).alias("text"))
 
 
 @query(
@@ -477,7 +478,7 @@ def ledger_lines(t):
         glued += [g, f]
     broken = F.concat(F.lit("page total  "), F.col("l_quantity").cast("bigint"))
     line = F.when(F.col("l_partkey") % 50 == 0, broken).otherwise(F.concat(*glued))
-    return t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", line.alias("line"))
+    return compute_once(t.spread("lineitem"), line=line).select("l_orderkey", "l_partkey", "l_linenumber", "line")
 
 
 def _sql_money(x: str) -> str:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import jsondoc as js
 from ..functions.names import flatten_columns
 from ..operators import groups
+from ..session import compute_once
 from .registry import query
 
 PO_SCHEMA = (
@@ -74,16 +75,17 @@ def purchase_orders(t):
         ).alias("ShippingInstructions"),
         lines.alias("LineItems"),
     )
-    return t.orders.select("o_orderkey", F.to_json(doc, {"ignoreNullFields": "false"}).alias("doc"))
+    text = F.to_json(doc, {"ignoreNullFields": "false"})
+    return compute_once(t.spread("orders"), doc=text).select("o_orderkey", "doc")
 
 
 def parsed_orders(t):
     """Documents parsed once into a typed struct ``d``."""
-    return purchase_orders(t).withColumn("d", F.from_json("doc", PO_SCHEMA))
+    return compute_once(purchase_orders(t), d=F.from_json("doc", PO_SCHEMA))
 
 
 def variant_orders(t):
-    return purchase_orders(t).withColumn("v", F.parse_json("doc"))
+    return compute_once(purchase_orders(t), v=F.parse_json("doc"))
 
 
 @query("json_documents", "JS9", PO)
@@ -389,7 +391,7 @@ def json_mergepatch(t):
     patch = (
         F.when(k % 3 == 0, '{"a":{"x":null,"z":9},"c":null}').when(k % 3 == 1, '{"b":[1,2],"d":{"n":null}}').otherwise('{"a":5}')
     )
-    both = t.orders.select(
+    both = t.spread("orders").select(
         "o_orderkey", js.merge_patch(doc, patch).alias("patched"), js.deep_merge(doc, patch).alias("merged")
     )
     return both.select(
@@ -414,7 +416,7 @@ def json_edit(t):
     text = F.to_json(
         F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_custkey").alias("cust"))
     )
-    docs = t.orders.select(F.col("o_orderkey").alias("k"), js.members(text).alias("m"))
+    docs = compute_once(t.spread("orders").select(F.col("o_orderkey").alias("k"), text.alias("doc")), m=js.members(F.col("doc")))
     m = F.col("m")
     other = js.members(F.lit('{"status":"Z","more":true}'))
     return docs.select(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import moments, text
 from ..operators import loans
+from ..session import compute_once
 from .registry import query
 
 
@@ -26,7 +27,7 @@ def truncate_text(t):
           '[^\w\s-]', '', 'g'), '[-\s]+', '-', 'g'), '^-+|-+$', '', 'g')) AS slug FROM documents""",
 )
 def url_slug(t):
-    return t.documents.select("doc_id", F.md5(text.url_slug(F.col("text"))).alias("slug"))
+    return t.spread("documents").select("doc_id", F.md5(text.url_slug(F.col("text"))).alias("slug"))
 
 
 _SIZES = "SELECT o_orderkey, (o_totalprice * 100)::BIGINT * (1024 ** (o_orderkey % 4))::BIGINT // 512 * (o_orderkey % 11) AS size FROM orders"
@@ -51,7 +52,7 @@ def human_bytes(t):
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
     scale = F.element_at(F.array(*[F.lit(1024**i).cast("bigint") for i in range(4)]), (k % 4 + 1).cast("int"))
     size = F.shiftright(cents * scale, 9) * (k % 11)
-    sized = t.orders.select(k, size.alias("size"))
+    sized = compute_once(t.orders.select(k, "o_totalprice"), size=size).drop("o_totalprice")
     return sized.select(
         "o_orderkey", "size",
         text.human_bytes(F.col("size")).alias("short_text"),
@@ -255,7 +256,7 @@ def loan_schedule(t):
     k = F.col("o_orderkey")
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
     payment = F.when(k % 500 == 0, 1).otherwise(F.expr("CAST(round(o_totalprice * 100) AS BIGINT) div (o_orderkey % 40 + 6)") + 5000)
-    book = t.orders.select(
+    book = t.spread("orders").select(
         k.alias("loan_id"), cents.alias("principal"), ((k % 9 + 3) * 100).alias("rate_bp"), payment.cast("bigint").alias("payment")
     )
     return loans.loan_schedule(book).groupBy("loan_id").agg(

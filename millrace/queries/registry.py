@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import spread
+
 TABLE_NAMES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -25,6 +27,10 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """The table dealt out to all cores, for heavy work on each row."""
+        return spread(getattr(self, name))
+
 
 @dataclass(frozen=True)
 class Query:

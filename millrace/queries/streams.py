@@ -76,8 +76,8 @@ def ttl_stream(t):
 
 @query("debounce_events", "R8", _QUIET)
 def debounce_events(t):
-    events = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id")
-    return edges.debounce(events, "user_id", "ts", DAY // 2).select("user_id", "event_id")
+    events = t.events.select("event_id", "ts", "user_id")
+    return edges.debounce(events, "user_id", "ts", DAY // 2, "event_id").select("user_id", "event_id")
 
 
 @query(

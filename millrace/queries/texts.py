@@ -144,7 +144,7 @@ def markdown_documents(t):
     headed = F.concat(
         F.lit("# "), F.upper("lang"), F.lit(" Title: "), k, F.lit(" ##\n"), F.replace("text", F.lit("\n"), marks)
     )
-    return t.documents.select("doc_id", F.when(k % 4 == 0, F.col("text")).otherwise(headed).alias("text"))
+    return t.spread("documents").select("doc_id", F.when(k % 4 == 0, F.col("text")).otherwise(headed).alias("text"))
 
 
 @query(
@@ -183,12 +183,12 @@ def markdown_toc(t):
     FROM p WHERE text <> '' AND href LIKE '/%'""",
 )
 def extract_links(t):
-    return t.pages.select("page_id", F.inline(html.internal_links(F.col("html"), F.col("url"))))
+    return t.spread("pages").select("page_id", F.inline(html.internal_links(F.col("html"), F.col("url"))))
 
 
 @query("html_to_markdown", "F17")
 def html_to_markdown(t):
-    return t.pages.select("page_id", html.html_to_markdown(F.col("html")).alias("markdown"))
+    return t.spread("pages").select("page_id", html.html_to_markdown(F.col("html")).alias("markdown"))
 
 
 @query(

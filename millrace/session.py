@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "millrace", master: str | None = None, **conf: str) -> SparkSession:
@@ -55,6 +56,28 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{checkpoint_root(spark)}/millrace/{purpose}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small input out to all cores before heavy work on each row.
+
+    Takes a table as read.  An input that already has a split per core, as any
+    large one has, is left where it is; only a small one is moved.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots)
+
+
+def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that later expressions read many times.
+
+    The optimizer otherwise copies an expression into every place that uses it,
+    so a document would be parsed once per selection.  A one-element generator
+    keeps the value: it is computed once per row and stays inside the JVM.
+    """
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(row)))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder so later stages cannot see it change."""
     checkpoint_root(df.sparkSession)

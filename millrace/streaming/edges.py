@@ -198,13 +198,33 @@ def held_until(marked: DataFrame, key: str, seconds: float, before: DataFrame |
     return before.unionByName(new).groupBy(key).agg(F.max("until_us").alias("until_us"))
 
 
-def debounce(df: DataFrame, key: str, ts: str, seconds: float) -> DataFrame:
-    """The last event of each burst; a burst ends after ``seconds`` of quiet.
+def debounce(df: DataFrame, key: str, ts: str, seconds: int, tie: str) -> DataFrame:
+    """The last event of each burst; a burst ends after more than ``seconds`` of quiet.
 
-    The session window merges on the map side, so a hot key is reduced to its
-    bursts before the shuffle.  Works on batches and, with a watermark, on
-    streams in append mode.
+    Time is cut into buckets of that length.  Only the last event of a (key,
+    bucket) can end a burst, and only the next bucket can continue it, so hot
+    keys are reduced on the map side and spread over their buckets; no task sees
+    all rows of a key.
     """
+    width = int(seconds * 1_000_000)
+    moment = F.col(ts).cast("timestamp_ntz")
+    us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), moment)
+    timed = df.withColumn("__us", us)
+    bucket = ((F.col("__us") - F.pmod("__us", F.lit(width))) / width).cast("bigint")
+    row = F.max_by(F.struct(*df.columns), F.struct("__us", tie))
+    reduced = timed.groupBy(F.col(key).alias("__key"), bucket.alias("__bucket")).agg(
+        row.alias("row"), F.max("__us").alias("last_us"), F.min("__us").alias("first_us")
+    )
+    following = reduced.select(
+        F.col("__key").alias("__k"), (F.col("__bucket") - 1).alias("__b"), F.col("first_us").alias("next_us")
+    )
+    same = F.col("__key").eqNullSafe(F.col("__k")) & (F.col("__bucket") == F.col("__b"))
+    quiet = F.col("next_us").isNull() | (F.col("next_us") - F.col("last_us") > width)
+    return reduced.join(following, same, "left").where(quiet).select("row.*")
+
+
+def debounce_windows(stream: DataFrame, key: str, ts: str, seconds: int) -> DataFrame:
+    """The same on a watermarked stream, as session windows in append mode."""
     window = F.session_window(ts, f"{seconds} seconds")
-    row = F.max_by(F.struct(*df.columns), F.struct(ts))
-    return df.groupBy(window, F.col(key).alias("__key")).agg(row.alias("row")).select("row.*")
+    row = F.max_by(F.struct(*stream.columns), F.struct(ts))
+    return stream.groupBy(window, F.col(key).alias("__key")).agg(row.alias("row")).select("row.*")

@@ -187,7 +187,7 @@ def debounce_stream(
     stream: DataFrame, key: str, ts: str, seconds: float, delay: str, out: str, checkpoint: str
 ) -> None:
     """Write the last event of each burst once the watermark has passed its end."""
-    quiet = edges.debounce(stream.withWatermark(ts, delay), key, ts, seconds)
+    quiet = edges.debounce_windows(stream.withWatermark(ts, delay), key, ts, seconds)
     query = (
         quiet.writeStream.format("parquet").outputMode("append")
         .option("path", out).option("checkpointLocation", checkpoint)

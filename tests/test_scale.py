@@ -106,6 +106,27 @@ def test_edges_match_a_plain_walk(spark, slice_edges, monkeypatch):
     assert got == brute_edges(rows, 7_000_000)
 
 
+def test_debounce_twins_agree_with_a_plain_walk(spark):
+    rng = np.random.default_rng(3)
+    n = 2000
+    keys = np.where(rng.random(n) < 0.5, 1, rng.integers(2, 30, n))
+    times = rng.permutation(20_000)[:n] * 500
+    rows = [(int(k), int(u), i) for i, (k, u) in enumerate(zip(keys, times))]
+    frame = spark.createDataFrame(rows, "k bigint, ms bigint, i bigint").withColumn(
+        "ts", F.timestamp_add("MILLISECOND", F.col("ms"), F.lit("2024-01-01").cast("timestamp_ntz"))
+    )
+    by_key = {}
+    for k, u, i in sorted(rows, key=lambda r: r[1]):
+        by_key.setdefault(k, []).append((u, i))
+    wanted = {
+        i for events in by_key.values() for (u, i), after in zip(events, [*events[1:], (None, None)])
+        if after[0] is None or after[0] - u > 30_000
+    }
+    assert {r["i"] for r in edges.debounce(frame, "k", "ts", 30, "i").collect()} == wanted
+    zoned = frame.withColumn("ts", F.col("ts").cast("timestamp"))
+    assert {r["i"] for r in edges.debounce_windows(zoned, "k", "ts", 30).collect()} == wanted
+
+
 def test_ttl_uses_the_value_of_the_refresh(spark):
     rows = [(1, 0, "a"), (1, 5, "b"), (1, 10, "c"), (1, 19, "d"), (1, 20, "e"), (2, 3, "z")]
     frame = spark.createDataFrame(rows, "k int, s int, v string").withColumn(
