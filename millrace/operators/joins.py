@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 HOT_SHARE = 1000
+COMBINATIONS_PER_TASK = 1_000_000
 
 
 def equi_join(
@@ -52,6 +53,21 @@ def safe_merge(
     return left.join(right, list(on), how), join_row_counts(left, right, on, how)
 
 
+def _split_lookup(df: DataFrame, keys: Sequence[str], hot: DataFrame, cold: DataFrame, how: str) -> DataFrame:
+    """Look rows up by key: a bounded broadcast for hot keys, a plain join for the rest.
+
+    ``hot`` and ``cold`` hold one row per key, the keys renamed ``__k0``...; rows
+    of hot keys never move and no remaining key is heavy.  Null keys match nulls.
+    """
+    renamed = [f"__k{i}" for i in range(len(keys))]
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)])
+    found = [c for c in cold.columns if c not in renamed]
+    first = df.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), same, "left")
+    done = first.where("__hot").drop("__hot", *renamed)
+    rest = first.where("__hot is null").drop("__hot", *renamed, *found)
+    return done.unionByName(rest.join(cold, same, how).drop(*renamed))
+
+
 def with_group_count(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Attach the size of each row's group (null keys form a group too).
 
@@ -63,15 +79,21 @@ def with_group_count(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame
     counts = df.groupBy(*keys).agg(F.count("*").alias(name))
     total = counts.agg(F.sum(name)).scalar()
     heavy = F.col(name) * HOT_SHARE > total
+    side = counts.toDF(*[f"__k{i}" for i in range(len(keys))], name)
+    return _split_lookup(df, keys, side.where(heavy), side.where(~heavy), "inner")
+
+
+def lookup_join(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join to a table that holds each key once, whatever the skew of ``df``.
+
+    Only table rows of keys above 1/1000 of all rows are broadcast, at most 1000.
+    """
     renamed = [f"__k{i}" for i in range(len(keys))]
-    side = counts.toDF(*renamed, name)
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)])
-    hot = side.where(heavy)
-    first = df.join(F.broadcast(hot), same, "left")
-    done = first.where(F.col(name).isNotNull()).drop(*renamed)
-    rest = first.where(F.col(name).isNull()).drop(*renamed, name)
-    cold = rest.join(side.where(~heavy), same, "inner").drop(*renamed)
-    return done.unionByName(cold)
+    counts = df.groupBy(*keys).agg(F.count("*").alias("__n"))
+    total = counts.agg(F.sum("__n")).scalar()
+    heavy = counts.where(F.col("__n") * HOT_SHARE > total).drop("__n").toDF(*renamed)
+    side = table.withColumnsRenamed(dict(zip(keys, renamed)))
+    return _split_lookup(df, keys, heavy.join(side, renamed, "left"), side, "left")
 
 
 def not_in_history(df: DataFrame, column: str, history: DataFrame, seen: str) -> DataFrame:
@@ -100,7 +122,8 @@ def word_patterns(word_lists: dict[str, DataFrame], patterns: Sequence[Sequence[
         for name in pattern:
             total *= sizes[name]
         spark = numbered[pattern[0]].sparkSession
-        combos = spark.range(total).withColumn("text", F.lit(""))
+        slots = max(spark.sparkContext.defaultParallelism, total // COMBINATIONS_PER_TASK + 1)
+        combos = spark.range(0, total, 1, slots).withColumn("text", F.lit(""))
         block = total
         for name in pattern:
             block //= max(sizes[name], 1)

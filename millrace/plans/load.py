@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.groups import latest_per_key
-from ..operators.joins import with_group_count
+from ..operators.joins import lookup_join, with_group_count
 from ..session import cut_lineage
 from .spec import TableSpec
 
@@ -147,7 +147,7 @@ def validate(
     for name, (parent, parent_key) in (parents or {}).items():
         held = parent.select(F.col(parent_key).alias(name))
         orphans = df.select(name).where(F.col(name).isNotNull()).distinct().join(held, name, "left_anti")
-        out = out.join(orphans.withColumn(f"__o_{name}", F.lit(True)), name, "left")
+        out = lookup_join(out, orphans.withColumn(f"__o_{name}", F.lit(True)), [name])
         column = spec.column_map.get(name)
         add(F.col(f"__o_{name}"), f"{name} has no parent", column.enforced if column else True)
     out = out.withColumns(checks)

@@ -189,13 +189,10 @@ def ttl_lookup(df: DataFrame, key: str, ts: str, value: str, seconds: float, tie
     return marked.join(fresh, same).drop("__k", "__e", "edge_us").withColumnRenamed("is_edge", "is_refresh")
 
 
-def held_until(marked: DataFrame, key: str, seconds: float, before: DataFrame | None) -> DataFrame:
-    """Carry-over for the next batch: when each key may have its next edge."""
+def held_until(marked: DataFrame, key: str, seconds: float) -> DataFrame:
+    """Carry-over for the next batch: when each key with a new edge may have its next."""
     width = int(seconds * 1_000_000)
-    new = marked.where("is_edge").groupBy(key).agg((F.max("edge_us") + width).alias("until_us"))
-    if before is None:
-        return new
-    return before.unionByName(new).groupBy(key).agg(F.max("until_us").alias("until_us"))
+    return marked.where("is_edge").groupBy(key).agg((F.max("edge_us") + width).alias("until_us"))
 
 
 def debounce(df: DataFrame, key: str, ts: str, seconds: int, tie: str) -> DataFrame:

@@ -1,9 +1,10 @@
 """Streaming jobs: queue sweeper, change feed, throttle, debounce, live filter.
 
-State between micro-batches is a small versioned table.  A batch reads the
-newest version older than itself and writes its results and its new state under
-its own number, so a batch that is run again after a failure replaces its own
-output and changes nothing else.
+State between micro-batches is a versioned table.  A batch reads what older
+batches left and writes its results and the keys it changed under its own
+number, so a batch that is run again after a failure replaces its own output and
+changes nothing else.  Only changed keys are written; every so often they are
+folded into a full version.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.groups import latest_per_key
 from ..plans import staging
 from ..session import cut_lineage
 from ..sources import publish
@@ -31,6 +33,31 @@ def state_before(spark: SparkSession, base: str, name: str, batch_id: int) -> Da
     return spark.read.parquet(f"{base}/{name}/{older[0]}") if older else None
 
 
+COMPACT_EVERY = 50
+
+
+def read_state(spark: SparkSession, base: str, name: str, batch_id: int, keys: Sequence[str]) -> DataFrame | None:
+    """State per key before a batch: the last full version and the changes since."""
+    full = [v for v in publish.versions(spark, base, name) if v[2:] < stamp(batch_id)][:1]
+    since = full[0] if full else ""
+    changes = [v for v in publish.versions(spark, base, f"{name}_changes") if since < v and v[2:] < stamp(batch_id)]
+    paths = [f"{base}/{name}/{v}" for v in full] + [f"{base}/{name}_changes/{v}" for v in changes]
+    if not paths:
+        return None
+    return latest_per_key(spark.read.parquet(*paths), keys, ["state_batch"])
+
+
+def write_state(changes: DataFrame, held: DataFrame | None, base: str, name: str, batch_id: int, keys: Sequence[str]) -> None:
+    """Publish the keys a batch changed; now and then, the whole state too."""
+    spark = changes.sparkSession
+    marked = changes.withColumn("state_batch", F.lit(batch_id).cast("bigint"))
+    publish.publish_version(marked, base, f"{name}_changes", stamp(batch_id), retain=3 * COMPACT_EVERY)
+    if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+        written = spark.read.parquet(f"{base}/{name}_changes/v={stamp(batch_id)}")
+        whole = written if held is None else latest_per_key(held.unionByName(written), keys, ["state_batch"])
+        publish.publish_version(whole, base, name, stamp(batch_id))
+
+
 def run_available(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> None:
     """Work off everything that has arrived, then stop.
 
@@ -116,7 +143,7 @@ def process_changes(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        held = state_before(spark, base, "state", batch_id)
+        held = read_state(spark, base, "state", batch_id, ["item_id"])
         retry = state_before(spark, base, "dead", batch_id)
         items = batch if retry is None else retry.select(*batch.columns).unionByName(batch)
         tried = process(items)
@@ -133,12 +160,10 @@ def process_changes(
             .sortWithinPartitions("item_id", order)
             .mapInPandas(_judge, T.StructType([*kept, T.StructField("outcome", T.StringType())]))
         )
-        done = judged.where("outcome = 'processed'").select("item_id", "etag", "last_modified", F.col(order).alias("seq"))
-        known = done if held is None else held.unionByName(done)
-        last = F.max_by(F.struct("etag", "last_modified", "seq"), "seq")
-        state = known.groupBy("item_id").agg(last.alias("r")).select("item_id", "r.*")
+        done = judged.where("outcome = 'processed'").select("item_id", "etag", "last_modified", order)
+        last = latest_per_key(done, ["item_id"], [order]).drop(order)
         failed = judged.where("outcome = 'failed'").select(*batch.columns)
-        publish.publish_version(state, base, "state", stamp(batch_id))
+        write_state(last, held, base, "state", batch_id, ["item_id"])
         publish.publish_version(failed, base, "dead", stamp(batch_id))
         judged.write.mode("overwrite").parquet(f"{base}/outcomes/batch={stamp(batch_id)}")
 
@@ -149,9 +174,9 @@ def throttle_stream(base: str, key: str, ts: str, seconds: float, tie: str) -> C
     """Handler that lets an event through only after ``seconds`` since the key's last one."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        held = state_before(batch.sparkSession, base, "held", batch_id)
+        held = read_state(batch.sparkSession, base, "held", batch_id, [key])
         marked = cut_lineage(edges.mark_edges(batch, key, ts, seconds, tie, held))
-        publish.publish_version(edges.held_until(marked, key, seconds, held), base, "held", stamp(batch_id))
+        write_state(edges.held_until(marked, key, seconds), held, base, "held", batch_id, [key])
         out = marked.where("is_edge").drop("is_edge", "edge_us")
         out.write.mode("overwrite").parquet(f"{base}/emitted/batch={stamp(batch_id)}")
 
@@ -167,17 +192,15 @@ def ttl_stream(base: str, key: str, ts: str, value: str, seconds: float, tie: st
     width = int(seconds * 1_000_000)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        held = state_before(batch.sparkSession, base, "cache", batch_id)
+        held = read_state(batch.sparkSession, base, "cache", batch_id, [key])
         limits = None if held is None else held.select(key, (F.col("edge_us") + width).alias("until_us"))
         marked = cut_lineage(edges.mark_edges(batch, key, ts, seconds, tie, limits))
         new = marked.where("is_edge").select(key, "edge_us", F.col(value).alias("cached_value"))
-        every = new if held is None else held.unionByName(new)
+        every = new if held is None else held.select(*new.columns).unionByName(new)
         fresh = every.withColumnsRenamed({key: "__k", "edge_us": "__e"})
         same = F.col(key).eqNullSafe(F.col("__k")) & (F.col("edge_us") == F.col("__e"))
         answered = marked.join(fresh, same).drop("__k", "__e", "edge_us").withColumnRenamed("is_edge", "is_refresh")
-        last = F.max_by("cached_value", "edge_us").alias("cached_value")
-        state = every.groupBy(key).agg(F.max("edge_us").alias("edge_us"), last)
-        publish.publish_version(state, base, "cache", stamp(batch_id))
+        write_state(latest_per_key(new, [key], ["edge_us"]), held, base, "cache", batch_id, [key])
         answered.write.mode("overwrite").parquet(f"{base}/answered/batch={stamp(batch_id)}")
 
     return handle

@@ -25,6 +25,13 @@ def test_group_count_with_hot_and_null_keys(spark):
     assert got == {r["id"]: sizes[r["k"]] for r in frame.collect()}
 
 
+def test_lookup_with_hot_keys(spark):
+    frame = hot_frame(spark).withColumn("k", F.when(F.col("id") % 10 != 7, F.col("k")))
+    table = spark.createDataFrame([(i, f"v{i}") for i in range(0, 60)], "k bigint, v string")
+    got = {r["id"]: r["v"] for r in joins.lookup_join(frame, table, ["k"]).collect()}
+    assert got == {r["id"]: (f"v{r['k']}" if r["k"] is not None and r["k"] < 60 else None) for r in frame.collect()}
+
+
 def test_lists_in_parts_hold_everything_in_order(spark):
     frame = hot_frame(spark, 900)
     parts = groups.json_array_agg(frame, ["k"], F.col("id"), ["id"], "ids", part_rows=50)
@@ -196,6 +203,22 @@ def test_state_before_ignores_the_batch_itself(spark):
     assert feeds.state_before(spark, base, "s", 0) is None
 
 
+def test_state_is_kept_as_changes_and_folded(spark, monkeypatch):
+    monkeypatch.setattr(feeds, "COMPACT_EVERY", 3)
+    base = work_folder(spark, "fold-test")
+
+    def state(i):
+        held = feeds.read_state(spark, base, "s", i, ["k"])
+        return None if held is None else {r["k"]: r["v"] for r in held.collect()}
+
+    for i in range(7):
+        rows = spark.createDataFrame([(i % 4, i)], "k int, v int")
+        feeds.write_state(rows, feeds.read_state(spark, base, "s", i, ["k"]), base, "s", i, ["k"])
+    assert state(0) is None and state(1) == {0: 0}
+    assert state(7) == {0: 4, 1: 5, 2: 6, 3: 3} and state(6) == {0: 4, 1: 5, 2: 2, 3: 3}
+    assert publish.versions(spark, base, "s") == [f"v={feeds.stamp(5)}", f"v={feeds.stamp(2)}"]
+
+
 def test_changed_back_to_an_older_version_is_processed(spark):
     base = work_folder(spark, "changes-test")
     handle = feeds.process_changes(base, lambda d: d.withColumn("error", F.when(F.col("etag") == "bad", "x")), "seq")
