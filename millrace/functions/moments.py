@@ -23,17 +23,22 @@ def add_time(moment: Column, amount: int, unit: str) -> Column:
     return F.timestamp_add(unit.rstrip("s").upper(), F.lit(amount), moment)
 
 
-def _micros(moment: Column) -> Column:
-    # The literal is of the same kind as a zone-less timestamp, so no session zone is involved.
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("MICROSECOND", epoch, moment.cast("timestamp_ntz"))
+def micros(moment: Column) -> Column:
+    """Microseconds of the wall-clock time since 1970; no session zone is involved."""
+    wall = moment.cast("timestamp_ntz")
+    days = F.datediff(wall.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    minutes = days * 1440 + F.hour(wall) * 60 + F.minute(wall)
+    return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), wall) * 1_000_000).cast("bigint")
+
+
+def floor_div(value: Column, size: int) -> Column:
+    """Whole division rounded towards minus infinity, in integers."""
+    return F.call_function("div", value - F.pmod(value, F.lit(size)), F.lit(size))
 
 
 def date_diff(first: Column, second: Column, unit: str = "days") -> Column:
     """Whole units from ``first`` to ``second``, rounded towards minus infinity."""
-    span = SECONDS[unit] * 1_000_000
-    gap = _micros(second) - _micros(first)
-    return F.floor((gap - F.pmod(gap, F.lit(span))) / span).cast("bigint")
+    return floor_div(micros(second) - micros(first), SECONDS[unit] * 1_000_000)
 
 
 def format_date(moment: Column, pattern: str = "YYYY-MM-DD") -> Column:
@@ -53,12 +58,11 @@ def is_valid_date(text: Column) -> Column:
 
 def time_ago(moment: Column, now: Column) -> Column:
     """Age in the largest unit that fits, ``just now`` below a minute."""
-    gap = _micros(now) - _micros(moment)
-    seconds = F.floor((gap - F.pmod(gap, F.lit(1_000_000))) / 1_000_000)
+    seconds = floor_div(micros(now) - micros(moment), 1_000_000)
     out = F.lit("just now")
     for unit in ("minutes", "hours", "days", "weeks", "months", "years"):
         size = SECONDS[unit]
-        n = F.floor(seconds / size)
+        n = floor_div(seconds, size)
         label = F.concat(n, F.lit(f" {unit[:-1]}"), F.when(n > 1, "s").otherwise(""), F.lit(" ago"))
         out = F.when(seconds >= size, label).otherwise(out)
     return out

@@ -87,7 +87,12 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     """The last row of each key.
 
     A maximum over (order, row) combines on the map side, so a key with a third
-    of the rows is reduced before the shuffle; no window sort is needed.
+    of the rows is reduced before the shuffle; no window sort is needed.  The
+    keys come out as grouping columns, so a later filter on them goes below the
+    aggregate.
     """
-    row = F.max_by(F.struct(*df.columns), F.struct(*order_by))
-    return df.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(row.alias("__row")).select("__row.*")
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order_by)).alias("__row"))
+    return last.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])

@@ -10,6 +10,7 @@ from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BINS = 4096
 SMALL = 20_000
@@ -96,5 +97,9 @@ def remove_outliers(df: DataFrame, columns: Sequence[str], factor: float = 1.5)
         bounds = iqr_bounds(df, column, factor)
         if bounds is None:
             return df.where(F.lit(False))
-        df = df.where(F.col(column).between(*bounds))
+        low, high = bounds
+        if isinstance(df.schema[column].dataType, T.IntegralType):
+            # Whole numbers keep the comparison free of casts, so it can be pushed down.
+            low, high = math.ceil(low), math.floor(high)
+        df = df.where(F.col(column).between(low, high))
     return df

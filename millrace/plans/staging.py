@@ -165,9 +165,8 @@ def sync_nightly(
     """Merge the last staged row per integration id into the export table."""
     fields = ["first_name", "last_name", "birthdate", "sex"]
     rows = staged.select(F.col("id").alias("integration_id"), "stage_order", *fields)
-    last = load.last_rows(rows, ["integration_id"], ["stage_order"]).drop("stage_order")
     return load.upsert(
-        nightly, _stamped(last, at, user), ["integration_id"],
+        nightly, _stamped(rows, at, user), ["integration_id"], ["stage_order"],
         insert_new=insert_new, insert_only=("created_at", "created_by"),
     )
 

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.moments import floor_div, micros
+
 # A slice spans this many edge distances, so about 1/256 of the events are entries.
 SLICE_EDGES = 256
 NEVER = -(2**62)
@@ -137,11 +139,8 @@ def mark_edges(
     """
     width = int(seconds * 1_000_000)
     kind = df.schema[key].dataType
-    moment = F.col(ts).cast("timestamp_ntz")
-    us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), moment)
-    events = df.withColumns({"__key": F.col(key), "__us": us})
-    span = F.lit(width * SLICE_EDGES)
-    events = events.withColumn("__slice", ((F.col("__us") - F.pmod("__us", span)) / span).cast("bigint"))
+    events = df.withColumns({"__key": F.col(key), "__us": micros(F.col(ts))})
+    events = events.withColumn("__slice", floor_div(F.col("__us"), width * SLICE_EDGES))
     slim = events.select("__key", "__slice", "__us")
     entries = (
         slim.repartition("__key", "__slice")
@@ -204,10 +203,8 @@ def debounce(df: DataFrame, key: str, ts: str, seconds: int, tie: str) -> DataFr
     all rows of a key.
     """
     width = int(seconds * 1_000_000)
-    moment = F.col(ts).cast("timestamp_ntz")
-    us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), moment)
-    timed = df.withColumn("__us", us)
-    bucket = ((F.col("__us") - F.pmod("__us", F.lit(width))) / width).cast("bigint")
+    timed = df.withColumn("__us", micros(F.col(ts)))
+    bucket = floor_div(F.col("__us"), width)
     row = F.max_by(F.struct(*df.columns), F.struct("__us", tie))
     reduced = timed.groupBy(F.col(key).alias("__key"), bucket.alias("__bucket")).agg(
         row.alias("row"), F.max("__us").alias("last_us"), F.min("__us").alias("first_us")
