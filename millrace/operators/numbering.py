@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -17,8 +18,8 @@ def number_rows(
 
     The frame is range partitioned and sorted once and written to the shared
     folder, so positions cannot change when a task is run again.  The offsets
-    come from one row count per partition, which is small enough to collect and
-    to broadcast.
+    come from one row count per partition and go into the plan as one constant
+    array, so no join is needed.
     ``order_by`` should identify rows; ties get some order.
     """
     placed = cut_lineage(
@@ -27,18 +28,14 @@ def number_rows(
         # the id carries the partition in its upper bits and the row in its lower 33
         .withColumn("__part", F.shiftright("__pos", 33))
     )
-    sizes = placed.groupBy("__part").agg(F.count("*")).orderBy("__part").collect()
-    before, rows = 0, []
-    for part, size in sizes:
-        rows.append((part, before))
-        before += size
-    offsets = df.sparkSession.createDataFrame(rows, "__part bigint, __before bigint")
+    sizes = dict(placed.groupBy("__part").agg(F.count("*")).collect())
+    before, offsets = start, []
+    for part in range(max(sizes, default=-1) + 1):
+        offsets.append(before)
+        before += sizes.get(part, 0)
+    first = F.get(F.from_json(F.lit(json.dumps(offsets)), "array<bigint>"), F.col("__part").cast("int"))
     row = F.col("__pos").bitwiseAND(F.lit((1 << 33) - 1))
-    return (
-        placed.join(F.broadcast(offsets), "__part")
-        .withColumn(name, row + F.col("__before") + F.lit(start))
-        .drop("__pos", "__part", "__before")
-    )
+    return placed.withColumn(name, row + first).drop("__pos", "__part")
 
 
 def batch_ids(

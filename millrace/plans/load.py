@@ -29,12 +29,6 @@ def _shaped(df: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def last_rows(source: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """The last incoming row per key; rows with a null key part all stay."""
-    whole = _matchable(keys)
-    return latest_per_key(source.where(whole), keys, order_by).unionByName(source.where(~whole))
-
-
 def insert(target: DataFrame, source: DataFrame) -> DataFrame:
     return target.unionByName(_shaped(source, target))
 
@@ -61,13 +55,13 @@ def upsert(
     """
     if not keys:
         raise ValueError("an upsert needs at least one key column")
-    if order_by:
-        source = last_rows(source, keys, order_by)
     whole = _matchable(keys)
     known = set(source.columns)
+    lone, keyed = source.where(~whole), source.where(whole)
+    if order_by:
+        keyed = latest_per_key(keyed, keys, order_by)
     rest = [c for c in target.columns if c not in keys]
-    new = _shaped(source, target).where(whole)
-    new = new.select(*keys, F.lit(True).alias("__new"), *[F.col(c).alias(f"__n_{c}") for c in rest])
+    new = _shaped(keyed, target).select(*keys, F.lit(True).alias("__new"), *[F.col(c).alias(f"__n_{c}") for c in rest])
     old = target.where(whole).withColumn("__old", F.lit(True))
     how = "full_outer" if insert_new else "left"
     both = old.join(new, list(keys), how)
@@ -84,7 +78,7 @@ def upsert(
     merged = both.select(*[F.col(c) if c in keys else value(c) for c in target.columns])
     out = merged.unionByName(target.where(~whole))
     if insert_new:
-        out = out.unionByName(_shaped(source.where(~whole), target))
+        out = out.unionByName(_shaped(lone, target))
     return out
 
 
