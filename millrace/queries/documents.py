@@ -695,7 +695,7 @@ def json_enrich_orders(t):
     "A9 JS9 J12",
     """
     SELECT l_orderkey, 0::BIGINT AS part, '[' || string_agg(json_object('ItemNumber', l_linenumber, 'Part', l_partkey, 'Quantity', l_quantity::BIGINT)::VARCHAR, ','
-             ORDER BY l_linenumber, l_partkey, l_suppkey) || ']' AS lines
+             ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) || ']' AS lines
     FROM lineitem GROUP BY l_orderkey""",
 )
 def purchase_order_documents(t):
@@ -703,7 +703,7 @@ def purchase_order_documents(t):
         F.col("l_linenumber").alias("ItemNumber"), F.col("l_partkey").alias("Part"), F.col("l_quantity").cast("bigint").alias("Quantity")
     )
     return groups.json_array_agg(
-        t.lineitem, ["l_orderkey"], line, ["l_linenumber", "l_partkey", "l_suppkey"], "lines"
+        t.lineitem, ["l_orderkey"], line, ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"], "lines"
     )
 
 
