@@ -28,8 +28,11 @@ from .components import components
 
 #: Prefix bits counted for the top of the trie: at most 2**12 counts reach the driver.
 TOP_BITS = 12
+#: The trie's top is cut at this depth at least, so that small tables spread too and
+#: every fingerprint goes to the same number of pairs at all sizes below SUBTRIE * 16.
+LEAST_DEPTH = 4
 #: A subtrie is cut further (down to TOP_BITS) while it holds more fingerprints.
-SUBTRIE = 20_000
+SUBTRIE = 50_000
 #: Node pairs expanded at a time inside a task.
 CHUNK = 200_000
 #: Node pairs with at most so many member pairs are compared member by member.
@@ -151,7 +154,7 @@ def _top_pairs(counts: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray,
         depth, prefix = nodes.pop()
         span = 1 << (TOP_BITS - depth)
         held = counts[prefix * span : (prefix + 1) * span].sum()
-        if held > SUBTRIE and depth < TOP_BITS:
+        if (held > SUBTRIE or depth < LEAST_DEPTH) and depth < TOP_BITS:
             nodes += [(depth + 1, prefix * 2), (depth + 1, prefix * 2 + 1)]
         elif held:
             leaves.append((depth, prefix))
