@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import simhash
+from millrace.llm import mixing, pii, simhash
 from millrace.llm.common import stored
 
 
@@ -13,8 +13,20 @@ def _simhash(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return simhash.one_per_group(docs)
 
 
+def _pii(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Personal data is masked in every text."""
+    return pii.mask(docs)
+
+
+def _mixing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Every document as often as its source's target asks for."""
+    return mixing.repeated(docs)
+
+
 STAGES = [
     ("simhash_near_dedup", _simhash),
+    ("pii", _pii),
+    ("mixing", _mixing),
 ]
 
 #: Fingerprints, vectors and token ids have no SQL form.
