@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import mixing, pii, simhash
+from millrace.llm import mixing, neighbours, packing, pii, simhash
 from millrace.llm.common import stored
 
 
+def _quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that the classifier rejects go; it learns from ``labels``."""
+    labels = spark.read.parquet(f"{folder.rstrip('/')}/labels.parquet")
+    return neighbours.accepted(docs, neighbours.fit(docs, labels))
+
+
 def _simhash(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each near-duplicate group stays."""
     return simhash.one_per_group(docs)
@@ -23,10 +29,17 @@ def _mixing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return mixing.repeated(docs)
 
 
+def _packing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Token sequences of at most 1024."""
+    return packing.pack(docs)
+
+
 STAGES = [
+    ("quality_classifier", _quality),
     ("simhash_near_dedup", _simhash),
     ("pii", _pii),
     ("mixing", _mixing),
+    ("packing", _packing),
 ]
 
 #: Fingerprints, vectors and token ids have no SQL form.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pii, simhash
+from . import lengths, mixing, neighbours, packing, pii, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -41,3 +41,19 @@ def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op9_mixing")
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_table(spark, folder, "documents"))
+
+
+@_query("op3_lengths")
+def op3_lengths(spark: SparkSession, folder: str) -> DataFrame:
+    return lengths.at_every_limit(lengths.histogram(lengths.encoded_lengths(_table(spark, folder, "documents"))))
+
+
+@_query("op4_neighbours")
+def op4_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return neighbours.score(docs, neighbours.fit(docs, _table(spark, folder, "labels")))
+
+
+@_query("op5_packing")
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"))
