@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import caps, lengths, mixing, neighbours, packing, pii, simhash, topk
+from . import caps, lengths, lm, mixing, neighbours, packing, pii, simhash, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -84,3 +84,30 @@ QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <=
 @_query("op10_top_k", OP10_SQL)
 def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+OP2_SQL = """
+WITH payloads AS (
+  SELECT page_id, encode(coalesce(html, '')) AS body, sha1(encode(coalesce(html, ''))) AS hex FROM pages
+), digests AS (
+  SELECT page_id, octet_length(body) AS n, min(page_id) OVER (PARTITION BY hex) AS first_id, hex FROM payloads
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + CAST(((CAST('0x' || substr(hex, 1 + 5 * CAST(i // 4 AS INTEGER), 5) AS BIGINT)) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31 AS INTEGER), 1)),
+         'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM digests
+"""
+
+
+@_query("op2_warc", OP2_SQL)
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive(_table(spark, folder, "pages"))
+
+
+@_query("op1_gated_lm")
+def op1_gated_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score(_table(spark, folder, "documents"))
