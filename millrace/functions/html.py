@@ -124,7 +124,7 @@ def _read(page: str, dropped=DROPPED) -> _Page:
 
 
 def html_to_markdown(page: Column, strip_tags: tuple[str, ...] = ()) -> Column:
-    """Markdown of a web page; scripts, styles and ``strip_tags`` are left out."""
+    """Markdown of a web page without its styles, embedded code and ``strip_tags``."""
     dropped = (*DROPPED, *strip_tags)
 
     @F.pandas_udf("string")

@@ -7,6 +7,7 @@ struct (``from_json``), on a ``map<string,variant>`` or on a VARIANT.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Sequence
 
 import pandas as pd
@@ -323,14 +324,34 @@ def _patch(base, patch, delete_nulls: bool):
     return out
 
 
+#: Marks the text of a number while it is carried through, so that no digit changes.
+_NUMBER = "\x00number:"
+_MARKED = re.compile(r'"\\u0000number:([^"]*)"')
+
+
+def _carry(number: str) -> str:
+    return _NUMBER + number
+
+
+def _refuse(constant: str):
+    raise ValueError(f"{constant} is not JSON")
+
+
+def _loads(text: str):
+    return json.loads(text, parse_float=_carry, parse_int=_carry, parse_constant=_refuse)
+
+
 def _patcher(delete_nulls: bool) -> Callable:
     @F.pandas_udf("string")
     def apply(base: pd.Series, patch: pd.Series) -> pd.Series:
         def one(b, p):
             if b is None or p is None:
                 return None
-            merged = _patch(json.loads(b), json.loads(p), delete_nulls)
-            return json.dumps(merged, separators=(",", ":"), ensure_ascii=False)
+            try:
+                merged = _patch(_loads(b), _loads(p), delete_nulls)
+            except ValueError:
+                return None
+            return _MARKED.sub(r"\1", json.dumps(merged, separators=(",", ":"), ensure_ascii=False))
 
         return pd.Series([one(b, p) for b, p in zip(base, patch)], dtype=object)
 
@@ -341,7 +362,8 @@ def merge_patch(doc: Column, patch: Column) -> Column:
     """RFC 7396 merge patch: null deletes, objects recurse, anything else replaces.
 
     Documents have unknown shapes and a typed parse cannot tell null from
-    absent, so this runs as an Arrow-batched function.
+    absent, so this runs as an Arrow-batched function.  Numbers keep their text;
+    null where either side is no JSON.
     """
     return _patcher(True)(doc, patch)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 def search_lines(df: DataFrame, key: str, text: str, pattern: str) -> DataFrame:
     """Matching lines with their document and 1-based line number."""
-    lines = df.where(F.col(text).rlike(pattern)).select(key, F.posexplode(F.split(text, "\n")).alias("i", "line"))
+    lines = df.select(key, F.posexplode(F.split(text, "\n")).alias("i", "line"))
     return lines.where(F.col("line").rlike(pattern)).select(key, (F.col("i") + 1).alias("line_no"), "line")
 
 
@@ -42,7 +42,7 @@ def replace_text(df: DataFrame, text: str, find: str, replacement: str) -> DataF
 
 def context_lines(df: DataFrame, key: str, text: str, pattern: str, around: int) -> DataFrame:
     """Lines within ``around`` of a match, each once, with a flag for the match itself."""
-    split = df.where(F.col(text).rlike(pattern)).select(key, F.split(text, "\n").alias("lines"))
+    split = df.select(key, F.split(text, "\n").alias("lines"))
     hits = F.filter(
         F.transform(F.col("lines"), lambda l, i: F.when(l.rlike(pattern), i)), lambda i: i.isNotNull()
     )
@@ -69,7 +69,7 @@ def lines_between(df: DataFrame, key: str, text: str, start: str, end: str) -> D
     closing = f"\\n[^\\n]*(?:{end})[^\\n]*$"
     pattern = f"(?m){opening}(?:[\\s\\S]*?{closing}|[\\s\\S]*)"
     ranges = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    found = df.where(F.col(text).rlike(start)).select(key, F.posexplode(ranges).alias("r", "block"))
+    found = df.select(key, F.posexplode(ranges).alias("r", "block"))
     rows = found.select(key, (F.col("r") + 1).alias("range_no"), F.posexplode(F.split("block", "\n")).alias("i", "line"))
     return rows.select(key, "range_no", (F.col("i") + 1).alias("line_in_range"), "line")
 

@@ -69,14 +69,24 @@ def exact_quantiles(df: DataFrame, column: str, fractions: Sequence[float]) -> l
     values = df.select(F.col(column).cast("double").alias("v")).where(
         F.col("v").isNotNull() & ~F.isnan("v")
     )
-    n, low, high = values.agg(F.count("*"), F.min("v"), F.max("v")).first()
+    infinite = F.lit(math.inf)
+    finite = F.abs("v") < infinite
+    n, under, over, low, high = values.agg(
+        F.count("*"), F.count_if(F.col("v") == -infinite), F.count_if(F.col("v") == infinite),
+        F.min(F.when(finite, F.col("v"))), F.max(F.when(finite, F.col("v"))),
+    ).first()
     if n == 0:
         return [None for _ in fractions]
     places = [(n - 1) * q for q in fractions]
     left = [math.floor(p) for p in places]
     right = [min(i + 1, n - 1) for i in left]
-    at = _values_at(values, left + right, n, low, high)
-    return [at[i] + (at[j] - at[i]) * (p - i) for p, i, j in zip(places, left, right)]
+    # infinities are placed by rank; only finite values are searched by narrowing
+    at = {r: -math.inf if r < under else math.inf for r in left + right}
+    inner = [r - under for r in at if under <= r < n - over]
+    if inner:
+        found = _values_at(values.where(finite), inner, n - under - over, low, high)
+        at.update({r + under: v for r, v in found.items()})
+    return [at[i] if p == i or at[i] == at[j] else at[i] + (at[j] - at[i]) * (p - i) for p, i, j in zip(places, left, right)]
 
 
 def iqr_bounds(df: DataFrame, column: str, factor: float = 1.5) -> tuple[float, float] | None:

@@ -41,7 +41,7 @@ ZIP4_FROM = 5
 
 def choice(salt: str, key: Column, n: int) -> Column:
     """A number in [0, n) that depends only on the salt and the key."""
-    digest = F.substring(F.md5(F.concat(F.lit(salt), key.cast("string"))), 1, 6)
+    digest = F.substring(F.md5(F.concat(F.lit(salt), key.cast("string"))), 1, 15)
     return F.conv(digest, 16, 10).cast("bigint") % n
 
 

@@ -29,6 +29,18 @@ def _shaped(df: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
+def _single(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows, one for each key; a key that repeats stops the job (counted on the map side)."""
+    rest = [c for c in df.columns if c not in keys]
+    row = F.struct(F.lit(1).alias("__one"), *rest)
+    one = df.groupBy(*keys).agg(F.any_value(row).alias("__row"), F.count("*").alias("__n"))
+    message = F.concat_ws(" ", F.lit("several rows without an order for key"), *[F.col(k).cast("string") for k in keys])
+    kind = one.schema["__row"].dataType
+    checked = one.withColumn("__row", F.when(F.col("__n") > 1, F.raise_error(message).cast(kind)).otherwise(F.col("__row")))
+    checked = checked.where(F.col("__row.__one") == 1)
+    return checked.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
+
+
 def insert(target: DataFrame, source: DataFrame) -> DataFrame:
     return target.unionByName(_shaped(source, target))
 
@@ -50,7 +62,7 @@ def upsert(
 
     Null key parts match nothing: such rows go around the join, which also keeps
     a pile of them from landing in one task.  ``order_by`` picks the last of
-    several incoming rows per key.  ``insert_only`` columns (creation stamps)
+    several incoming rows per key; without it a repeated key stops the load.  ``insert_only`` columns (creation stamps)
     are not overwritten on a match.
     """
     if not keys:
@@ -58,8 +70,7 @@ def upsert(
     whole = _matchable(keys)
     known = set(source.columns)
     lone, keyed = source.where(~whole), source.where(whole)
-    if order_by:
-        keyed = latest_per_key(keyed, keys, order_by)
+    keyed = latest_per_key(keyed, keys, order_by) if order_by else _single(keyed, keys)
     rest = [c for c in target.columns if c not in keys]
     new = _shaped(keyed, target).select(*keys, F.lit(True).alias("__new"), *[F.col(c).alias(f"__n_{c}") for c in rest])
     old = target.where(whole).withColumn("__old", F.lit(True))
@@ -150,7 +161,7 @@ def validate(
         parts = [n for n, e in problems if e == enforced]
         if not parts:
             return F.lit(None).cast("string")
-        joined = F.substring(F.concat_ws("; ", *parts), 1, 4000)
+        joined = F.concat_ws("; ", *parts)
         return F.when(joined != "", joined)
 
     return out.withColumns({"error_msg": text(True), "warning_msg": text(False)}).select(

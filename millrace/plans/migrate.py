@@ -13,7 +13,7 @@ from ..sources import publish
 from . import load
 from .spec import spec_of
 
-REPORT = "table_name string, target_name string, status string, action string"
+REPORT = "table_name string, target_name string, status string, action string, added_columns string"
 
 
 def migrate(
@@ -24,6 +24,7 @@ def migrate(
     tables: Sequence[str] = ("*",),
     action: str = "reset",
     keys: Mapping[str, Sequence[str]] | None = None,
+    order_by: Mapping[str, Sequence[str]] | None = None,
     source_system: str = "crm",
     target_system: str = "relational",
 ) -> DataFrame:
@@ -31,7 +32,9 @@ def migrate(
 
     ``source`` maps table names to parquet paths.  Each table is one plan: read,
     rename to the target's names, load, publish as a new version.  A table that
-    cannot be read is skipped and listed; any other error stops the run.
+    cannot be read is skipped and listed; any other error stops the run.  Columns
+    the target lacks are added to it, empty in the rows it has, and reported.
+    ``order_by`` (in the target's names) picks the last of several rows per key.
     """
     names = list(source) if list(tables) == ["*"] else list(tables)
     named = spark.createDataFrame([(n,) for n in names], "name string")
@@ -48,17 +51,23 @@ def migrate(
         except AnalysisException as error:
             if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
-            report.append((name, goal, "skipped", action))
+            report.append((name, goal, "skipped", action, ""))
             continue
         held = publish.current(spark, target_base, goal)
         columns = held.columns if held is not None else list(canonical_names(spark, incoming.columns).values())
         renamed = rename_to_target(incoming, columns)
+        added: list[str] = []
         if held is None:
             loaded = spec_of(renamed, goal).apply(renamed)
         else:
-            loaded = load.load(held, renamed, action, (keys or {}).get(name, ()))
+            fresh = [c for c in renamed.columns if c not in held.columns]
+            spelled = canonical_names(spark, fresh) if fresh else {}
+            renamed = renamed.withColumnsRenamed(spelled)
+            added = list(spelled.values())
+            held = held.withColumns({c: F.lit(None).cast(renamed.schema[c].dataType) for c in added})
+            loaded = load.load(held, renamed, action, (keys or {}).get(name, ()), (order_by or {}).get(name))
         publish.publish_version(loaded, target_base, goal, stamp)
-        report.append((name, goal, "migrated", action))
+        report.append((name, goal, "migrated", action, ",".join(added)))
         written = publish.current(spark, target_base, goal).agg(F.count("*").alias("row_count"))
         row = written.select(F.lit(name).alias("table_name"), "row_count")
         counts = row if counts is None else counts.unionByName(row)

@@ -29,14 +29,21 @@ def shred_payload(
     """One NEW row per element of a JSON array; numeric fields must convert.
 
     Every field is read as text first.  A numeric field that does not convert
-    stops the job with ``fail_fast``, else the row carries an error message.
+    stops the job with ``fail_fast``, else the row carries an error message.  So
+    does a payload that is no JSON array: it gives one row without fields.
     """
     item = "array<struct<" + ", ".join(f"{n}: string" for n in fields) + ">>"
     carried = [c for c in payloads.columns if c != column]
+    parsed = F.from_json(column, item)
+    broken = F.col(column).isNotNull() & parsed.isNull()
+    lost = F.lit("payload is not a JSON array")
+    if fail_fast:
+        parsed = F.when(broken, F.raise_error(lost).cast(item)).otherwise(parsed)
+    items = F.coalesce(parsed, F.when(broken, F.array(F.lit(None).cast(item[6:-1]))))
     rows = payloads.select(
-        *carried, F.posexplode(F.from_json(column, item)).alias("item_no", "item")
-    ).select(*carried, "item_no", "item.*")
-    typed, bad = {}, []
+        *carried, F.when(broken, lost).alias("__lost"), F.posexplode(items).alias("item_no", "item")
+    ).select(*carried, "__lost", "item_no", "item.*")
+    typed, bad = {}, [F.col("__lost")]
     for name, kind in fields.items():
         if kind == "string":
             continue
@@ -47,10 +54,10 @@ def shred_payload(
             value = F.when(failed, F.raise_error(message).cast(kind)).otherwise(value)
         typed[name] = value
         bad.append(F.when(failed, message))
-    error = F.concat_ws("; ", *bad) if bad else F.lit("")
+    error = F.concat_ws("; ", *bad)
     return rows.withColumn("error_msg", F.when(error != "", error)).withColumns(
         {**typed, "status": F.lit("NEW")}
-    )
+    ).drop("__lost")
 
 
 def stage_records(df: DataFrame, order_by: Sequence[str], at: Column) -> DataFrame:

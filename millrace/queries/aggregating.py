@@ -12,16 +12,16 @@ from .registry import query
     "composite_key_report",
     "A1 A2 W1",
     """
-    SELECT l_orderkey, 0::BIGINT AS part, string_agg('P' || l_partkey, ' ' ORDER BY l_linenumber, 'P' || l_partkey) AS columns,
+    SELECT l_orderkey, string_agg('P' || l_partkey, ' ' ORDER BY l_linenumber, 'P' || l_partkey) AS columns,
            count(*) AS column_count, CASE WHEN count(*) > 1 THEN 'YES' ELSE 'NO' END AS composite
     FROM lineitem GROUP BY l_orderkey""",
 )
 def composite_key_report(t):
     columns = t.lineitem.select("l_orderkey", "l_linenumber", F.concat(F.lit("P"), "l_partkey").alias("column"))
-    lists = groups.ordered_list(columns, ["l_orderkey"], "column", ["l_linenumber", "column"], " ", "columns")
-    sizes = columns.groupBy("l_orderkey").agg(F.count("*").alias("column_count"))
-    flag = F.when(F.col("column_count") > 1, "YES").otherwise("NO")
-    return lists.join(sizes, "l_orderkey").withColumn("composite", flag)
+    lists = groups.ordered_list(
+        columns, ["l_orderkey"], "column", ["l_linenumber", "column"], " ", "columns", count="column_count"
+    )
+    return lists.withColumn("composite", F.when(F.col("column_count") > 1, "YES").otherwise("NO"))
 
 
 @query(
@@ -48,13 +48,13 @@ def nested_region_json(t):
     segments = t.customer.select("c_nationkey", "c_mktsegment").distinct()
     by_nation = groups.json_array_agg(
         segments, ["c_nationkey"], F.col("c_mktsegment"), ["c_mktsegment"], "segments"
-    ).drop("part")
+    )
     nations = t.nation.join(by_nation, F.col("n_nationkey") == F.col("c_nationkey"), "left")
     country = F.struct(
         F.col("n_nationkey").alias("code"), F.col("n_name").alias("name"),
         F.from_json("segments", "array<string>").alias("segments"),
     )
-    by_region = groups.json_array_agg(nations, ["n_regionkey"], country, ["n_name"], "countries").drop("part")
+    by_region = groups.json_array_agg(nations, ["n_regionkey"], country, ["n_name"], "countries")
     doc = F.concat(F.lit('{"region":"'), "r_name", F.lit('","countries":'), "countries", F.lit("}"))
     return t.region.join(by_region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("r_name").alias("region"), doc.alias("doc")
@@ -65,7 +65,7 @@ def nested_region_json(t):
     "arrayagg_nulls",
     "A9",
     """
-    SELECT o_custkey, 0::BIGINT AS part, '[' || string_agg(coalesce('"' || nullif(o_orderstatus, 'F') || '"', 'null'), ',' ORDER BY o_orderkey) || ']' AS with_nulls
+    SELECT o_custkey, '[' || string_agg(coalesce('"' || nullif(o_orderstatus, 'F') || '"', 'null'), ',' ORDER BY o_orderkey) || ']' AS with_nulls
     FROM orders GROUP BY o_custkey""",
 )
 def arrayagg_nulls(t):
@@ -79,7 +79,7 @@ def arrayagg_nulls(t):
     "objectagg_nations",
     "A10",
     """
-    SELECT r_name, 0::BIGINT AS part, '{' || string_agg('"' || n_name || '":' || n, ',' ORDER BY n_name) || '}' AS object FROM (
+    SELECT r_name, '{' || string_agg('"' || n_name || '":' || n, ',' ORDER BY n_name) || '}' AS object FROM (
       SELECT n_regionkey, n_name, count(*) AS n FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY 1, 2)
     JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""",
 )

@@ -694,7 +694,7 @@ def json_enrich_orders(t):
     "purchase_order_documents",
     "A9 JS9 J12",
     """
-    SELECT l_orderkey, 0::BIGINT AS part, '[' || string_agg(json_object('ItemNumber', l_linenumber, 'Part', l_partkey, 'Quantity', l_quantity::BIGINT)::VARCHAR, ','
+    SELECT l_orderkey, '[' || string_agg(json_object('ItemNumber', l_linenumber, 'Part', l_partkey, 'Quantity', l_quantity::BIGINT)::VARCHAR, ','
              ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) || ']' AS lines
     FROM lineitem GROUP BY l_orderkey""",
 )
@@ -720,3 +720,17 @@ def typed_document_leaves(t):
         F.col("`ShippingInstructions.Address.street`").alias("street"),
         F.col("`ShippingInstructions.Address.zipCode`").alias("zip"),
     )
+
+
+@query(
+    "json_mergepatch_numbers",
+    "JS11",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 0 THEN '{"a":1234567890123456' || o_orderkey || '.10,"b":' || o_orderkey || 'e400,"c":1.50}' END AS patched FROM orders""",
+)
+def json_mergepatch_numbers(t):
+    """Digits stay as written; a text that is no JSON gives null."""
+    k = F.col("o_orderkey")
+    doc = F.concat(F.lit('{"a":1234567890123456'), k, F.lit('.10,"b":7'), F.when(k % 5 > 0, "}").otherwise("")).alias("doc")
+    patch = F.concat(F.lit('{"b":'), k, F.lit('e400,"c":1.50}')).alias("patch")
+    rows = t.spread("orders").select("o_orderkey", doc, patch)
+    return rows.select("o_orderkey", js.merge_patch(F.col("doc"), F.col("patch")).alias("patched"))

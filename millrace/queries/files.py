@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import work_folder
@@ -101,8 +102,10 @@ def csv_export_text(t):
     path = work_folder(t.spark, "export")
     text = F.when(k % 4 == 0, "a;b").when(k % 4 == 1, 'say "hi"').when(k % 4 == 2, F.lit(None)).otherwise(" plain ")
     rows = t.customer.select(k.alias("id"), text.alias("text"), F.when(k % 5 != 0, F.col("c_nationkey")).alias("amount"))
-    delimited.export_csv(rows.repartition(1), path, "semicolon", "CRLF")
-    return t.spark.read.option("lineSep", "\n").text(path)
+    delimited.export_csv(rows, path, "semicolon", "CRLF")
+    lines = t.spark.read.option("lineSep", "\n").text(path)
+    # every file has the header; it is listed once
+    return lines.where(~F.col("value").startswith("id;")).union(lines.where(F.col("value").startswith("id;")).distinct())
 
 
 @query(
@@ -221,6 +224,39 @@ def sorted_export(t):
     path = work_folder(t.spark, "sorted")
     slim = t.orders.select("o_orderkey", "o_custkey")
     files.write_parquet(slim.repartitionByRange(4, "o_custkey").sortWithinPartitions("o_custkey"), path)
-    back = t.spark.read.parquet(path).select("o_custkey", F.col("_metadata.file_path").alias("file"))
-    spans = back.groupBy("file").agg(F.count("*").alias("n"), F.min("o_custkey").alias("lo"), F.max("o_custkey").alias("hi"))
-    return spans.agg(F.sum("n").alias("row_count"), F.every(F.col("lo") <= F.col("hi")).alias("sorted_files"))
+    back = t.spark.read.parquet(path).select("o_custkey", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+    before = F.lag("o_custkey").over(W.partitionBy("file").orderBy("place"))
+    steps = back.select((F.coalesce(before, F.col("o_custkey")) <= F.col("o_custkey")).alias("up"))
+    return steps.agg(F.count("*").alias("row_count"), F.every("up").alias("sorted_files"))
+
+
+@query(
+    "csv_line_ends",
+    "S1 S3 S5 S7",
+    """SELECT how, c_custkey AS id, c_name || chr(10) || '"x",' || chr(10) || 'y' AS note FROM customer
+       CROSS JOIN (SELECT unnest(['typed', 'folder', 'fast']) AS how)""",
+)
+def csv_line_ends(t):
+    """Text with line ends, quotes and delimiters survives an export and all three readers."""
+    path = work_folder(t.spark, "line-ends")
+    note = F.concat("c_name", F.lit('\n"x",\ny'))
+    delimited.export_csv(t.customer.select(F.col("c_custkey").alias("id"), note.alias("note")), path)
+    typed, _ = delimited.read_delimited(t.spark, path, {"id": "bigint", "note": "string"})
+    folder = delimited.load_all_csvs(t.spark, path)
+    fast = files.read_fast(t.spark, path, "id bigint, note string")
+    ways = {"typed": typed, "folder": folder, "fast": fast}
+    rows = [df.select(F.lit(how).alias("how"), F.col("id").cast("bigint").alias("id"), "note") for how, df in ways.items()]
+    return rows[0].union(rows[1]).union(rows[2])
+
+
+@query(
+    "csv_long_field",
+    "S8",
+    """SELECT s_suppkey, 1 AS record_no, length(s_name) * 20000 + 2 AS note_length, 'k' || s_suppkey AS id FROM supplier""",
+)
+def csv_long_field(t):
+    """Quoted fields of some hundred thousand characters, doubled quotes inside."""
+    long = F.concat(F.lit('"'), F.expr("repeat(s_name, 20000)"), F.lit('""\n"'))
+    text = F.concat(F.lit("note,id\n"), long, F.lit(",k"), "s_suppkey", F.lit("\n"))
+    rows = delimited.parse_csv_column(t.supplier.select("s_suppkey", text.alias("text")), "text", ["note", "id"])
+    return rows.select("s_suppkey", "record_no", F.length("note").alias("note_length"), "id")

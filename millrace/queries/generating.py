@@ -11,7 +11,7 @@ AS_OF = "2024-05-01"
 
 
 def ch(salt: str, key: str, n: int) -> str:
-    return f"(('0x' || substring(md5('{salt}' || {key}), 1, 6))::BIGINT % {n})"
+    return f"(('0x' || substring(md5('{salt}' || {key}), 1, 15))::BIGINT % {n})"
 
 
 def pk(salt: str, key: str, values) -> str:

@@ -335,6 +335,22 @@ def stage_bulk(t):
     return staged_rows(t).select("stage_id", "id", "first_name", "email_addr", "sex", "status", "error_msg")
 
 
+@query(
+    "stage_broken_payloads",
+    "M12",
+    f"""SELECT c_custkey, id, status, error_msg FROM (
+          SELECT c_custkey, i, CASE WHEN c_custkey % 7 > 0 THEN id END AS id, CASE WHEN c_custkey % 7 > 0 AND error_msg IS NULL THEN 'SUCCESS' ELSE 'ERROR' END AS status,
+                 CASE WHEN c_custkey % 7 = 0 THEN 'payload is not a JSON array' ELSE error_msg END AS error_msg FROM ({_STAGED}))
+        WHERE c_custkey % 7 > 0 OR i = 0""",
+)
+def stage_broken_payloads(t):
+    """Every seventh payload is cut short: each gives one ERROR row and none is lost."""
+    cut = F.when(F.col("c_custkey") % 7 == 0, F.expr("substr(payload, 1, 20)")).otherwise(F.col("payload"))
+    rows = staging.shred_payload(payloads(t).withColumn("payload", cut), "payload", FIELDS)
+    settled = staging.settle(staging.stage_records(rows, ["c_custkey", "item_no"], at()))
+    return settled.select("c_custkey", "id", "status", "error_msg")
+
+
 _PERSON = f"""
     st AS (SELECT * FROM ({_STAGED}) WHERE error_msg IS NULL),
     held AS (SELECT lpad((500 + s_suppkey)::VARCHAR, 9, '0') AS person_id, lpad(s_suppkey::VARCHAR, 9, '0') AS id,
@@ -481,10 +497,10 @@ def bucket_rows(t):
     "migrate_report",
     "M20 P2 P3",
     """
-    SELECT 'Region' AS table_name, 'SF_REGION' AS target_name, 'migrated' AS status, 'reset' AS action, count(*) AS row_count FROM region
-    UNION ALL SELECT 'saleOrder', 'SF_SALE_ORDER', 'migrated', 'reset', count(*) FROM orders
-    UNION ALL SELECT 'ora_supplier__c', 'SUPPLIER', 'migrated', 'reset', count(*) FROM supplier
-    UNION ALL SELECT 'missing', 'SF_MISSING', 'skipped', 'reset', NULL""",
+    SELECT 'Region' AS table_name, 'SF_REGION' AS target_name, 'migrated' AS status, 'reset' AS action, '' AS added_columns, count(*) AS row_count FROM region
+    UNION ALL SELECT 'saleOrder', 'SF_SALE_ORDER', 'migrated', 'reset', '', count(*) FROM orders
+    UNION ALL SELECT 'ora_supplier__c', 'SUPPLIER', 'migrated', 'reset', '', count(*) FROM supplier
+    UNION ALL SELECT 'missing', 'SF_MISSING', 'skipped', 'reset', '', NULL""",
 )
 def migrate_report(t):
     source = {
@@ -500,22 +516,24 @@ def migrate_report(t):
     "migrate_upsert_rows",
     "M20 M2",
     """
-    SELECT c_custkey AS "C_CUSTKEY", CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE 'old' END AS "C_NAME" FROM customer
-    UNION ALL SELECT 1000000000 + s_suppkey, s_name FROM supplier""",
+    SELECT c_custkey AS "C_CUSTKEY", CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE 'old' END AS "C_NAME",
+           CASE WHEN c_custkey % 2 = 0 THEN 2 END AS "FEED_NO" FROM customer
+    UNION ALL SELECT 1000000000 + s_suppkey, s_name, 2 FROM supplier""",
 )
 def migrate_upsert_rows(t):
-    """A second migration upserts into the table the first one made."""
+    """A second migration with repeated keys and a new column upserts into the table the first one made."""
     base = work_folder(t.spark, "migrate-upsert")
-    one, two = f"{base}/in1", f"{base}/in2"
-    t.customer.select("c_custkey", F.lit("old").alias("c_name")).write.parquet(one)
-    even = t.customer.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("cCustkey"), F.col("c_name").alias("C Name"))
-    new = t.supplier.select((F.col("s_suppkey") + 1000000000).alias("cCustkey"), F.col("s_name").alias("C Name"))
-    even.unionByName(new).write.parquet(two)
-    migrate.migrate(t.spark, {"people": one}, base, "1")
-    # The second feed spells the key its own way; it is the same canonical name.
-    feed = t.spark.read.parquet(two).withColumnsRenamed({"cCustkey": "C_CUSTKEY"})
-    feed.write.parquet(f"{base}/in3")
-    migrate.migrate(t.spark, {"people": f"{base}/in3"}, base, "2", action="upsert", keys={"people": ["C_CUSTKEY"]})
+    t.customer.select("c_custkey", F.lit("old").alias("c_name")).write.parquet(f"{base}/in1")
+    even = t.customer.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("C_CUSTKEY"), F.col("c_name").alias("C Name"))
+    new = t.supplier.select((F.col("s_suppkey") + 1000000000).alias("C_CUSTKEY"), F.col("s_name").alias("C Name"))
+    last = even.unionByName(new).withColumn("feedNo", F.lit(2))
+    first = last.withColumn("C Name", F.lit("first")).withColumn("feedNo", F.lit(1))
+    first.unionByName(last).write.parquet(f"{base}/in2")
+    migrate.migrate(t.spark, {"people": f"{base}/in1"}, base, "1")
+    migrate.migrate(
+        t.spark, {"people": f"{base}/in2"}, base, "2", action="upsert", keys={"people": ["C_CUSTKEY"]},
+        order_by={"people": ["FEED_NO"]},
+    )
     return publish.current(t.spark, base, "SF_PEOPLE")
 
 

@@ -267,3 +267,19 @@ def describe_tables(t):
 )
 def assert_one_order(t):
     return profile.expect_count(t.orders, F.col("o_orderkey") == 7, 1, "order 7 present once")
+
+
+@query(
+    "quantiles_with_infinities",
+    "P19",
+    """
+    WITH v AS (SELECT CASE WHEN l_linenumber = 7 THEN 'Infinity'::DOUBLE WHEN l_linenumber = 6 AND l_quantity < 3 THEN '-Infinity'::DOUBLE
+                      ELSE l_extendedprice END AS v FROM lineitem),
+    k AS (SELECT list(v ORDER BY v) AS vs, count(*) AS n FROM v)
+    SELECT vs[1] AS low, vs[((n - 1) // 2 + 1)::INTEGER] / 2 + vs[(n // 2 + 1)::INTEGER] / 2 AS middle, vs[n::INTEGER] AS high FROM k""",
+)
+def quantiles_with_infinities(t):
+    odd = F.when(F.col("l_linenumber") == 7, float("inf")).when((F.col("l_linenumber") == 6) & (F.col("l_quantity") < 3), float("-inf"))
+    values = t.lineitem.select(odd.otherwise(F.col("l_extendedprice")).alias("v"))
+    low, middle, high = quantiles.exact_quantiles(values, "v", [0.0, 0.5, 1.0])
+    return t.spark.range(1).select(F.lit(low).alias("low"), F.lit(middle).alias("middle"), F.lit(high).alias("high"))

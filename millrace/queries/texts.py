@@ -201,3 +201,25 @@ def null_byte_lines(t):
 
     dirty = F.replace("text", F.lit("\n"), F.lit("\x00\n"))
     return t.documents.select("doc_id", F.length(without_null_bytes(dirty)).alias("length"))
+
+
+@query(
+    "search_lines_anchored",
+    "F19",
+    f"SELECT doc_id, line_no::INTEGER AS line_no, line FROM ({_LINES}) WHERE regexp_matches(line, '^Th.*[a-z]\\.$')",
+)
+def search_lines_anchored(t):
+    """Anchors stand for the ends of a line, wherever it is in its document."""
+    return lines.search_lines(t.documents, "doc_id", "text", r"^Th.*[a-z]\.$")
+
+
+@query(
+    "grep_context_anchored",
+    "W4",
+    f"""
+    SELECT doc_id, line_no::INTEGER AS line_no, line, is_match FROM (
+      SELECT doc_id, line_no, line, m AS is_match, bool_or(m) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS near
+      FROM (SELECT *, regexp_matches(line, '^An') AS m FROM ({_LINES}))) WHERE near""",
+)
+def grep_context_anchored(t):
+    return lines.context_lines(t.documents, "doc_id", "text", "^An", 1)

@@ -34,9 +34,9 @@ def latest_per_key(t):
     "W6",
     """
     WITH p AS (SELECT event_id, user_id, lag(user_id) OVER (ORDER BY event_id) AS previous FROM events)
-    SELECT event_id, previous, CASE WHEN ('0x' || substring(md5('move' || event_id), 1, 6))::BIGINT % 10 < 2 AND previous IS NOT NULL
+    SELECT event_id, previous, CASE WHEN ('0x' || substring(md5('move' || event_id), 1, 15))::BIGINT % 10 < 2 AND previous IS NOT NULL
                       THEN previous ELSE user_id END AS owner
-    FROM p WHERE NOT (('0x' || substring(md5('move' || event_id), 1, 6))::BIGINT % 10 < 2 AND previous IS NULL)""",
+    FROM p WHERE NOT (('0x' || substring(md5('move' || event_id), 1, 15))::BIGINT % 10 < 2 AND previous IS NULL)""",
 )
 def previous_row(t):
     from ..plans.generate import choice

@@ -26,6 +26,7 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)

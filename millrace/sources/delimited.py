@@ -19,17 +19,19 @@ LINE_ENDINGS = {"LF": "\n", "CRLF": "\r\n"}
 
 def read_delimited(
     spark: SparkSession, path: str | list[str], columns: dict[str, str],
-    delimiter: str = ",", header: bool = True, date_mask: str = "yyyy-MM-dd",
+    delimiter: str = ",", header: bool = True, date_mask: str = "yyyy-MM-dd", multi_line: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """(typed rows, rejected rows with a reason).
 
     Columns are read as text, so a value that does not convert, or text longer
     than a column may hold, rejects its row instead of stopping the load.
-    Missing trailing fields are null.
+    Missing trailing fields are null.  Quoted fields may hold line ends; that
+    keeps a file in one split, so large inputs should be many files, or be read
+    with ``multi_line=False`` where no field holds a line end.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     raw = spark.read.schema(schema).csv(
-        path, sep=delimiter, header=header, quote='"', escape='"', mode="PERMISSIVE",
+        path, sep=delimiter, header=header, quote='"', escape='"', mode="PERMISSIVE", multiLine=multi_line,
         ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True,
     )
     typed: dict[str, Column] = {}
@@ -67,7 +69,8 @@ def headers(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
 
 
 def load_all_csvs(
-    spark: SparkSession, folder: str, pattern: str = "*.csv", delimiter: str = ",", infer: bool = False
+    spark: SparkSession, folder: str, pattern: str = "*.csv", delimiter: str = ",", infer: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Every matching file of a folder; the result has the union of all columns.
 
@@ -80,7 +83,7 @@ def load_all_csvs(
     frames = []
     for _, files in sorted(groups.items()):
         frames.append(
-            spark.read.csv(files, sep=delimiter, header=True, inferSchema=infer, quote='"', escape='"')
+            spark.read.csv(files, sep=delimiter, header=True, inferSchema=infer, quote='"', escape='"', multiLine=multi_line)
         )
     if not frames:
         raise FileNotFoundError(f"no file in {folder} matches {pattern}")
@@ -107,9 +110,10 @@ def parse_csv_column(df: DataFrame, column: str, wanted: Sequence[str], delimite
     """
     text = F.replace(F.col(column), F.lit("\r"), F.lit(""))
     d = "\\" + delimiter
-    record = r'(?:"[^"]*"|[^"\n])++'
+    # possessive and without alternatives per character: long fields neither recurse nor go back
+    record = r'(?:"[^"]*+"|[^"\n]++)++'
     records = F.regexp_extract_all(text, F.lit(record), F.lit(0))
-    field = rf'{d}("(?:[^"]|"")*"|[^{d}]*)'
+    field = rf'{d}("[^"]*+(?:""[^"]*+)*+"|[^{d}]*+)'
 
     def fields(line: Column) -> Column:
         parts = F.regexp_extract_all(F.concat(F.lit(delimiter), line), F.lit(field), F.lit(1))

@@ -18,10 +18,13 @@ def read_jsonl(spark: SparkSession, path: str, schema: str | None = None) -> Dat
     return reader.json(path)
 
 
-def read_fast(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Typed CSV with a header; types are inferred only when no schema is given."""
+def read_fast(spark: SparkSession, path: str, schema: str | None = None, multi_line: bool = True) -> DataFrame:
+    """Typed CSV with a header; types are inferred only when no schema is given.
+
+    ``multi_line=False`` lets Spark split files whose fields hold no line ends.
+    """
     reader = spark.read.schema(schema) if schema else spark.read.option("inferSchema", True)
-    return reader.csv(path, header=True)
+    return reader.csv(path, header=True, quote='"', escape='"', multiLine=multi_line)
 
 
 def read_table(

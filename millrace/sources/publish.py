@@ -36,26 +36,29 @@ def publish_version(
     stamp: str,
     retain: int = 3,
     check: Callable[[DataFrame], None] | None = None,
+    view: str | None = None,
 ) -> str:
-    """Write ``df`` as version ``stamp``, point the logical view at it, prune.
+    """Write ``df`` under a name no reader looks at, check it, then make it version ``stamp``.
 
-    The commit marker appears only after every task has written, which makes the
-    switch atomic.  If writing or ``check`` fails, the new version is removed and
-    the logical name stays on the old one.  ``retain`` keeps that many newest
-    versions; 0 keeps all.  Writing the same stamp again replaces it, so a
-    repeated micro-batch does no harm.
+    Readers see the old version until the rename.  If writing or ``check``
+    fails, what was written is removed and nothing changes.  ``retain`` keeps that
+    many newest versions; 0 keeps all.  Writing the same stamp again replaces it,
+    so a repeated micro-batch does no harm.  ``view`` names a temporary view that
+    is pointed at the new version.
     """
     spark = df.sparkSession
     path = f"{base}/{logical}/v={stamp}"
+    unseen = f"{base}/{logical}/_new/{stamp}"
     try:
-        df.write.mode("overwrite").parquet(path)
-        written = spark.read.parquet(path)
+        df.write.mode("overwrite").parquet(unseen)
         if check:
-            check(written)
+            check(spark.read.parquet(unseen))
+        storage.move_folder(spark, unseen, path)
     except Exception:
-        storage.delete_folder(spark, path)
+        storage.delete_folder(spark, unseen)
         raise
-    written.createOrReplaceTempView(logical)
+    if view:
+        spark.read.parquet(path).createOrReplaceTempView(view)
     if retain:
         for old in versions(spark, base, logical)[retain:]:
             storage.delete_folder(spark, f"{base}/{logical}/{old}")

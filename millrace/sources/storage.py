@@ -23,6 +23,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def move_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder; what stands at ``to`` is replaced."""
+    fs, source = _fs(spark, path)
+    _, target = _fs(spark, to)
+    if fs.exists(target):
+        fs.delete(target, True)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, target = _fs(spark, path)
     fs.delete(target, True)

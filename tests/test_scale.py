@@ -1,6 +1,8 @@
 """Operators under hot keys, ties and repeats, against brute force."""
 
 import numpy as np
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,14 +46,25 @@ def test_lists_in_parts_hold_everything_in_order(spark):
     for r in frame.orderBy("id").collect():
         wanted.setdefault(r["k"], []).append(r["id"])
     assert whole == wanted
-    same = groups.json_array_agg(frame, ["k"], F.col("id"), ["id"], "ids")
-    assert {r["part"] for r in same.collect()} == {0}
+    whole_rows = groups.json_array_agg(frame, ["k"], F.col("id"), ["id"], "ids")
+    assert whole_rows.columns == ["k", "ids"]
+    assert {r["k"]: json.loads(r["ids"]) for r in whole_rows.collect()} == wanted
+
+
+def test_one_group_a_thousand_times_as_large_stays_one_row(spark):
+    frame = spark.range(105_000).select("id", F.when(F.col("id") < 103_000, 0).otherwise(F.col("id") % 20).alias("k"))
+    lists = groups.ordered_list(frame, ["k"], "id", ["id"], " ", count="n").collect()
+    assert len(lists) == 20 and all(len(r["list"].split()) == r["n"] for r in lists)
+    objects = groups.json_object_agg(frame.withColumn("name", F.col("id") % 7), ["k"], "name", "id", order_by=["id"])
+    assert objects.count() == 20
 
 
 def test_object_with_repeated_keys(spark):
     frame = spark.createDataFrame([("g", "a", 1), ("g", "a", 2), ("g", "b", None)], "g string, k string, v int")
     assert groups.json_object_agg(frame, ["g"], "k", "v").first()["object"] == '{"a":2,"b":null}'
     assert groups.json_object_agg(frame, ["g"], "k", "v", absent_on_null=True).first()["object"] == '{"a":2}'
+    timed = spark.createDataFrame([("g", "a", 5, 1), ("g", "a", 2, 2)], "g string, k string, v int, at int")
+    assert groups.json_object_agg(timed, ["g"], "k", "v", order_by=["at"]).first()["object"] == '{"a":2}'
     with pytest.raises(Exception, match="repeated key"):
         groups.json_object_agg(frame, ["g"], "k", "v", unique_keys=True).collect()
 
@@ -185,9 +198,9 @@ def test_publish_keeps_the_old_version_on_failure(spark):
     def refuse(_):
         raise ValueError("no")
 
-    publish.publish_version(spark.range(3), base, "kept", "1")
+    publish.publish_version(spark.range(3), base, "kept", "1", view="kept")
     with pytest.raises(ValueError):
-        publish.publish_version(spark.range(5), base, "kept", "2", check=refuse)
+        publish.publish_version(spark.range(5), base, "kept", "2", check=refuse, view="kept")
     assert publish.current(spark, base, "kept").count() == 3
     assert spark.table("kept").count() == 3
     for i in range(2, 6):
