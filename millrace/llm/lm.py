@@ -37,25 +37,33 @@ FREQUENT, LONGEST = 1 << 17, 48
 #: Word classes, words in each, and classes of other words by shape.
 CLASSES, MEMBERS, SHAPES = 32, 64, 8
 OWN = CLASSES * MEMBERS
-#: Hidden units, steps of a window, lanes in training and scoring, tokens scored at a time.
-HIDDEN, STEPS, TRAIN_LANES, LANES, BATCH = 16, 32, 64, 192, 1_000_000
+#: Hidden units; steps of a window and lanes in training; the same in scoring, and tokens scored at a time.
+HIDDEN, STEPS, TRAIN_LANES, SCORE_STEPS, LANES, BATCH = 16, 32, 64, 128, 256, 3_000_000
 #: Rounds; each trains on its share of all training documents.  Of a document every
 #: THIN-th stretch of STRETCH tokens is used, from an offset that its id gives.
 ROUNDS, THIN, STRETCH, RATE = 2, 8, 64, 0.02
 #: Pieces of the weights and groups of tasks when the copies are averaged.
 PIECES, GROUPS = 8, 64
 
-_LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz") | frozenset(range(128, 256))
-_STOPS, _DIGITS = frozenset(b".,;:!?"), frozenset(b"0123456789")
+_LAST = [3] * 256
+for _kind, _bytes in enumerate((b"abcdefghijklmnopqrstuvwxyz" + bytes(range(128, 256)), b".,;:!?", b"0123456789")):
+    for _byte in _bytes:
+        _LAST[_byte] = _kind
 
 
 def shape(word: bytes) -> int:
     """One of eight classes: beyond ASCII or not, and the kind of the last byte."""
-    last = word[-1] if word else 97
-    kind = 0 if last in _LETTERS else 1 if last in _STOPS else 2 if last in _DIGITS else 3
+    kind = _LAST[word[-1]] if word else 0
     return kind if word.isascii() else kind + 4
 
 
+class _Places(dict):
+    """Places of frequent words; -1 for others."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
 @dataclass
 class Lexicon:
     """What is broadcast of the counts: frequent words, and sums for everything else."""
@@ -66,10 +74,10 @@ class Lexicon:
     distinct: int
     shape_tokens: np.ndarray  # per shape, of words that are not the model's own
     shape_words: np.ndarray
-    index: dict[bytes, int] = field(init=False)
+    index: _Places = field(init=False)
 
     def __post_init__(self) -> None:
-        self.index = {w: i for i, w in enumerate(self.words)}
+        self.index = _Places((w, i) for i, w in enumerate(self.words))
         shapes = np.array([shape(w) for w in self.words], np.int64)
         own = np.arange(len(self.words)) < OWN
         #: the model's token of each frequent word
@@ -152,7 +160,7 @@ class Net:
             grad.vc += hidden.T @ p
             grad.bc += p.sum(axis=0)
             back = p @ self.vc.T
-        order = np.argsort(kind, kind="stable")
+        order = np.argsort(kind.astype(np.uint8), kind="stable")
         ends = np.searchsorted(kind[order], np.arange(CLASSES + 1))
         for c in range(CLASSES):
             at = order[ends[c] : ends[c + 1]]
@@ -237,13 +245,11 @@ class Lanes:
         by_load = np.argsort(-load, kind="stable")
         self.load = load[by_load]
         self.at = [np.concatenate([np.arange(starts[t], starts[t] + lengths[t]) for t in held[k]]) for k in by_load]
-        self.begin = [np.cumsum([0] + [lengths[t] for t in held[k]])[:-1] for k in by_load]
+        self.inside = np.ones(int(self.load.sum()), np.float32)
+        self.inside[starts] = 0
 
     def windows(self, steps: int):
         """(token positions, 0 where a text begins else 1, 1 where there is a token) for each window."""
-        begins = np.zeros((self.count, int(self.load[0])), bool)
-        for k, b in enumerate(self.begin):
-            begins[k, b] = True
         for low in range(0, int(self.load[0]), steps):
             lanes = int(np.searchsorted(-self.load, -low, side="left"))
             high = min(low + steps, int(self.load[0]))
@@ -251,7 +257,7 @@ class Lanes:
             for k in range(lanes):
                 part = self.at[k][low:high]
                 at[: len(part), k], alive[: len(part), k] = part, 1
-            yield at, 1 - begins[:lanes, low:high].T.astype(np.float32), alive
+            yield at, self.inside[at], alive
 
 
 def log_probabilities(net: Net, texts: list[np.ndarray]) -> np.ndarray:
@@ -262,7 +268,7 @@ def log_probabilities(net: Net, texts: list[np.ndarray]) -> np.ndarray:
     before[np.cumsum([0, *lengths[:-1]])] = 0  # the end of a text stands before its first word
     lanes = Lanes(lengths, LANES)
     h, sums = np.zeros((lanes.count, HIDDEN), np.float32), np.zeros(len(texts))
-    for at, keep, alive in lanes.windows(STEPS):
+    for at, keep, alive in lanes.windows(SCORE_STEPS):
         out, _, h = net.states(before[at], keep, h[: at.shape[1]])
         there = alive.ravel() > 0
         places = at.ravel()[there]
@@ -378,7 +384,7 @@ def train(docs: DataFrame, lex: Lexicon) -> np.ndarray:
 def _tokens(lex: Lexicon, text: str | None) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """The model's tokens of a text, its places in the lexicon (-1: not frequent), and its words; END is last."""
     parts = words(text) + [END]
-    at = np.fromiter((lex.index.get(w, -1) for w in parts), np.int32, len(parts))
+    at = np.fromiter(map(lex.index.__getitem__, parts), np.int32, len(parts))
     tokens = lex.token[at]
     for k in np.flatnonzero(at < 0):
         tokens[k] = OWN + shape(parts[k])
