@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -160,6 +162,19 @@ def hash_sha512(t):
     return t.documents.select("doc_id", text.hash_text(F.col("text"), "sha512").alias("sha512"))
 
 
+_SHA512 = ", ".join(f"({k}, '{hashlib.sha512(str(k).encode()).hexdigest()}')" for k in range(100))
+
+
+@query(
+    "hash_sha512_keys",
+    "F10",
+    f"""SELECT o_orderkey, h.digest AS sha512 FROM orders JOIN (VALUES {_SHA512}) h(k, digest) ON o_orderkey % 100 = k""",
+)
+def hash_sha512_keys(t):
+    """SHA-512 of the keys' last two digits, against digests from another implementation."""
+    return t.orders.select("o_orderkey", text.hash_text((F.col("o_orderkey") % 100).cast("string"), "sha512").alias("sha512"))
+
+
 @query(
     "pseudonymise_customer",
     "F11",

@@ -90,7 +90,7 @@ def debounce_stream(t):
     base = work_folder(t.spark, "debounce")
     events = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id")
     stream = file_stream(t, events, "event_id", f"{base}/in")
-    feeds.debounce_stream(stream, "user_id", "ts", DAY // 2, "1 hour", f"{base}/out", f"{base}/checkpoint")
+    feeds.debounce_stream(stream, "user_id", "ts", DAY // 2, "1 hour", f"{base}/out", f"{base}/checkpoint", "event_id")
     return t.spark.read.schema(events.schema).parquet(f"{base}/out").select("user_id", "event_id")
 
 

@@ -191,6 +191,28 @@ def html_to_markdown(t):
     return t.spread("pages").select("page_id", html.html_to_markdown(F.col("html")).alias("markdown"))
 
 
+@query(
+    "markdown_of_built_pages",
+    "F17",
+    """
+    SELECT c_custkey, '# ' || c_name || chr(10) || chr(10) || 'In **' || c_mktsegment || '** since *' || c_nationkey || '* see [page ' || c_custkey
+             || '](/c/' || c_custkey || ')' || chr(10) || chr(10) || '- one' || chr(10) || '- ' || c_nationkey || chr(10) || chr(10) || '## End' || chr(10) || chr(10)
+             || CASE WHEN c_custkey % 2 = 0 THEN 'a & b' ELSE '`' || c_name || '`' END AS markdown
+    FROM customer""",
+)
+def markdown_of_built_pages(t):
+    """Pages made of table values, whose markdown can be written down by hand."""
+    k = F.col("c_custkey").cast("string")
+    last = F.when(F.col("c_custkey") % 2 == 0, "a &amp; b").otherwise(F.concat(F.lit("<code>"), "c_name", F.lit("</code>")))
+    page = F.concat(
+        F.lit("<html><head><style>p{}</style></head><body><h1>"), "c_name", F.lit("</h1><p>In <b>"), "c_mktsegment",
+        F.lit("</b> since <i>"), F.col("c_nationkey").cast("string"), F.lit('</i> see <a href="/c/'), k, F.lit('">page '), k,
+        F.lit("</a></p><script>var x = '<p>no</p>';</script><ul><li>one</li><li>"), F.col("c_nationkey").cast("string"),
+        F.lit("</li></ul><h2>End</h2><p>"), last, F.lit("</p></body></html>"),
+    )
+    return t.spread("customer").select("c_custkey", html.html_to_markdown(page).alias("markdown"))
+
+
 @query(
     "null_byte_lines",
     "P15 F19",

@@ -4,8 +4,8 @@ An event is an *edge* when at least ``seconds`` have passed since the previous
 edge of its key.  Each edge depends on the one before it, yet a key with a third
 of all rows must not be walked by one task.  So time is cut into slices: every
 (key, slice) first works out, for each event the walk could enter the slice at,
-when the walk leaves it; the slices of a key are then chained over these few
-entry rows; and at last every slice is walked on its own from its known start.
+when the walk leaves it; entries that leave alike are one row; the slices of a key
+are then chained over these few rows; and at last every slice is walked on its own from its known start.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ from pyspark.sql import types as T
 
 from ..functions.moments import floor_div, micros
 
-# A slice spans this many edge distances, so about 1/256 of the events are entries.
-SLICE_EDGES = 256
+# A slice spans this many edge distances.  The walks that enter it at different events
+# soon fall together, so it hands on one row for each way to leave it.
+SLICE_EDGES = 4
 NEVER = -(2**62)
 LONG = T.LongType()
 
@@ -45,8 +46,12 @@ def _runs(pdf: pd.DataFrame, columns) -> Iterator[tuple[int, int]]:
     yield from zip(starts, ends)
 
 
-def _entries(width: int):
-    """(key, slice) groups of sorted times -> the slice's entry events and where each leads."""
+def _entries(width: int, carried: bool):
+    """(key, slice) groups of sorted times -> the slice's entry events and where each leads.
+
+    A walk from the slice before enters within one width of the slice's start; one
+    that is carried over from an earlier batch may enter anywhere.
+    """
 
     def leave(times: np.ndarray) -> list[int]:
         following = np.searchsorted(times, times + width).tolist()
@@ -60,8 +65,11 @@ def _entries(width: int):
     def close(key, slice_no, parts) -> pd.DataFrame:
         times = np.unique(np.concatenate(parts))
         limit = slice_no * width * SLICE_EDGES + width
-        n = min(int(np.searchsorted(times, limit)) + 1, len(times))
-        return pd.DataFrame({"__key": [key] * n, "__slice": slice_no, "__entry": times[:n], "__exit": leave(times)[:n]})
+        n = len(times) if carried else min(int(np.searchsorted(times, limit)) + 1, len(times))
+        exits = np.array(leave(times)[:n])
+        # the last of several entries that leave alike stands for them
+        last = np.append(exits[1:] != exits[:-1], True)
+        return pd.DataFrame({"__key": [key] * int(last.sum()), "__slice": slice_no, "__entry": times[:n][last], "__exit": exits[last]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, parts = None, []
@@ -145,7 +153,7 @@ def mark_edges(
     entries = (
         slim.repartition("__key", "__slice")
         .sortWithinPartitions("__key", "__slice", "__us")
-        .mapInPandas(_entries(width), _schema(("__key", kind), ("__slice", LONG), ("__entry", LONG), ("__exit", LONG)))
+        .mapInPandas(_entries(width, held is not None), _schema(("__key", kind), ("__slice", LONG), ("__entry", LONG), ("__exit", LONG)))
     )
     if held is None:
         entries = entries.withColumn("__held", F.lit(None).cast("bigint"))
@@ -217,8 +225,8 @@ def debounce(df: DataFrame, key: str, ts: str, seconds: int, tie: str) -> DataFr
     return reduced.join(following, same, "left").where(quiet).select("row.*")
 
 
-def debounce_windows(stream: DataFrame, key: str, ts: str, seconds: int) -> DataFrame:
+def debounce_windows(stream: DataFrame, key: str, ts: str, seconds: int, tie: str) -> DataFrame:
     """The same on a watermarked stream, as session windows in append mode."""
     window = F.session_window(ts, f"{seconds} seconds")
-    row = F.max_by(F.struct(*stream.columns), F.struct(ts))
+    row = F.max_by(F.struct(*stream.columns), F.struct(ts, tie))
     return stream.groupBy(window, F.col(key).alias("__key")).agg(row.alias("row")).select("row.*")

@@ -58,19 +58,24 @@ def write_state(changes: DataFrame, held: DataFrame | None, base: str, name: str
         publish.publish_version(whole, base, name, stamp(batch_id))
 
 
-def run_available(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> None:
+def run_available(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> bool:
     """Work off everything that has arrived, then stop.
 
-    One checkpoint admits one running query, so a second start while the first
-    is still busy is refused by Spark.
+    A start while the same job is still busy in this session is ignored and
+    answers False; Spark itself admits one query per checkpoint.
     """
+    name = f"run {checkpoint}"
+    if any(q.name == name for q in stream.sparkSession.streams.active):
+        return False
     query = (
         stream.writeStream.foreachBatch(handle)
+        .queryName(name)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    return True
 
 
 def run_every(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None], seconds: int = 60):
@@ -207,10 +212,15 @@ def ttl_stream(base: str, key: str, ts: str, value: str, seconds: float, tie: st
 
 
 def debounce_stream(
-    stream: DataFrame, key: str, ts: str, seconds: float, delay: str, out: str, checkpoint: str
+    stream: DataFrame, key: str, ts: str, seconds: float, delay: str, out: str, checkpoint: str, tie: str
 ) -> None:
-    """Write the last event of each burst once the watermark has passed its end."""
-    quiet = edges.debounce_windows(stream.withWatermark(ts, delay), key, ts, seconds)
+    """Write the last event of each burst once the watermark has passed its end.
+
+    ``tie`` orders events of one time.  A burst that is open when the input ends
+    stays in the query's state and comes out with the next run that moves the
+    watermark past it.
+    """
+    quiet = edges.debounce_windows(stream.withWatermark(ts, delay), key, ts, seconds, tie)
     query = (
         quiet.writeStream.format("parquet").outputMode("append")
         .option("path", out).option("checkpointLocation", checkpoint)

@@ -144,7 +144,7 @@ def test_debounce_twins_agree_with_a_plain_walk(spark):
     }
     assert {r["i"] for r in edges.debounce(frame, "k", "ts", 30, "i").collect()} == wanted
     zoned = frame.withColumn("ts", F.col("ts").cast("timestamp"))
-    assert {r["i"] for r in edges.debounce_windows(zoned, "k", "ts", 30).collect()} == wanted
+    assert {r["i"] for r in edges.debounce_windows(zoned, "k", "ts", 30, "i").collect()} == wanted
 
 
 def test_ttl_uses_the_value_of_the_refresh(spark):
