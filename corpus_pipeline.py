@@ -15,8 +15,8 @@ def _quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def _simhash(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each near-duplicate group stays."""
-    return simhash.one_per_group(docs)
+    """One document of each group of similar texts (five-word shingles, 0.8) stays."""
+    return simhash.one_per_group(docs, simhash.similar_documents(docs, least=0.8, shingle=5))
 
 
 def _pii(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

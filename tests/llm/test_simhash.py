@@ -74,13 +74,63 @@ def test_whole_operator(spark, docs, monkeypatch):
     fps = [plain_fingerprint(t) for _, t in rows]
     want = sorted(zip([i for i, _ in rows], fps, smallest([i for i, _ in rows], fps), strict=True), key=str)
     assert sorted(((r["doc_id"], r["fp"] % 2**64, r["component_id"]) for r in got), key=str) == want
-    kept = simhash.one_per_group(docs(rows))
+    kept = simhash.one_per_group(docs(rows), simhash.near_duplicates(docs(rows)))
     assert {r["doc_id"] for r in kept.collect()} == {c if i is not None else None for i, _, c in want}
     assert simhash.near_duplicates(docs(rows).limit(0)).count() == 0
-    assert simhash.one_per_group(docs(rows).limit(0)).count() == 0
+    empty = docs(rows).limit(0)
+    assert simhash.one_per_group(empty, simhash.near_duplicates(empty)).count() == 0
 
 
 def test_components_of_long_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(50)] + [(7, 7), (None, 3), (201, 200), (201, 200)]
     got = {r["id"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100} | {200 + i: 100 for i in range(50)}
+
+
+def jaccard(a, b, k=5):
+    sets = []
+    for text in (a, b):
+        w = (text or "").encode().lower().split()
+        sets.append({tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))})
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def test_similar_documents_group_and_others_stay_apart(docs, monkeypatch):
+    monkeypatch.setattr(simhash, "SUBTRIE", 15)
+    monkeypatch.setattr(simhash, "AT_ONCE", 50)
+    rng = np.random.default_rng(11)
+    words = np.array([f"w{i}" for i in range(3000)])
+    rows, pairs = [], []
+    for k in range(60):
+        text = rng.choice(words, 200)
+        near = text.copy()
+        near[rng.choice(200, 3, replace=False)] = "changed"
+        far = text.copy()
+        far[rng.choice(200, 60, replace=False)] = "other"
+        rows += [(3 * k + i, " ".join(t)) for i, t in enumerate((text, near, far))]
+        pairs.append((3 * k, 3 * k + 1, 3 * k + 2))
+    rows += [(1000, None), (1001, ""), (1002, "a b"), (1003, "A  b"), (None, "a b"), (1002, "a b"), (1004, "lone words " * 30000)]
+    table = docs(rows).withColumn("node", F.lit(1)).withColumn("wide", F.lit("x"))
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(table).collect()}
+    text_of = dict(rows)
+    for a, b, c in pairs:
+        assert jaccard(text_of[a], text_of[b]) >= 0.8 and got[a] == got[b] == a
+        assert jaccard(text_of[a], text_of[c]) < 0.4 and got[c] == c
+    assert got[1000] == got[1001] == 1000 and got[1002] == got[1003] == got[None] == 1002 and got[1004] == 1004
+    kept = simhash.one_per_group(table, simhash.similar_documents(table))
+    assert kept.columns == table.columns
+    assert sorted(r["doc_id"] for r in kept.where("doc_id < 1000").collect()) == sorted(x for a, _, c in pairs for x in (a, c))
+    assert simhash.similar_documents(table.limit(0)).count() == 0
+
+
+def test_dense_clusters_of_equal_slices_in_pieces(monkeypatch):
+    monkeypatch.setattr(simhash, "AT_ONCE", 100)
+    keys = np.sort(np.repeat(np.arange(3, dtype=np.uint64) << np.uint64(50), 300))
+    seen = []
+
+    def near(i, j):
+        seen.append(len(i))
+        return np.ones(len(i), bool)
+
+    label = simhash._walk(keys, None, 2, near, 21)
+    assert (label == 0).all() and max(seen) <= 400 and sum(seen) < 20_000
