@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -137,23 +139,52 @@ def narrow_types(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast(chosen[c]).alias(c) if c in chosen else F.col(c) for c in df.columns])
 
 
-def _unconvertible(kind: str):
-    return lambda x: F.trim(x).try_cast(kind).isNull()
+def _split_types(text: str, separator: str) -> list[str]:
+    """Parts of a type expression at its outermost level."""
+    parts, depth = [""], 0
+    for c in text:
+        depth += (c in "<(") - (c in ">)")
+        if c == separator and depth == 0:
+            parts.append("")
+        else:
+            parts[-1] += c
+    return [p.strip() for p in parts]
+
+
+def _mismatch(value: Column, kind: str) -> Column:
+    """Whether a text that is not null is no value of ``kind``.
+
+    ``a | b`` is either; ``array<t>`` a JSON array or a comma separated list;
+    ``map<string,t>`` a JSON object; ``tuple<a, b>`` a JSON array of just these.
+    They nest.
+    """
+    either = _split_types(kind, "|")
+    if len(either) > 1:
+        return reduce(and_, [_mismatch(value, k) for k in either])
+    outer, _, inner = kind.partition("<")
+    inner = inner[:-1]
+    if outer == "array":
+        items = F.when(value.startswith("["), F.from_json(value, "array<string>")).otherwise(F.split(value, ","))
+        return items.isNull() | F.exists(items, lambda x: x.isNull() | _mismatch(F.trim(x), inner))
+    if outer == "map":
+        member = _split_types(inner, ",")[1]
+        items = F.from_json(value, "map<string,string>")
+        return items.isNull() | F.exists(F.map_values(items), lambda x: x.isNull() | _mismatch(x, member))
+    if outer == "tuple":
+        kinds = _split_types(inner, ",")
+        items = F.from_json(value, "array<string>")
+        wrong = [F.get(items, F.lit(i)).isNull() | _mismatch(F.get(items, F.lit(i)), k) for i, k in enumerate(kinds)]
+        return items.isNull() | (F.size(items) != len(kinds)) | reduce(or_, wrong)
+    return value.try_cast(kind).isNull()
 
 
 def conform_report(df: DataFrame, expected: dict[str, str]) -> DataFrame:
     """Values that do not convert to the expected type, per column.
 
-    ``expected`` maps a text column to a Spark type name; ``array<t>`` checks the
-    elements of a comma separated list.
+    ``expected`` maps a text column to a Spark type name or to a nested type
+    (``array``, ``map``, ``tuple``, alternatives with ``|``); nulls conform.
     """
-    checks: dict[str, Column] = {}
-    for name, kind in expected.items():
-        value = F.col(name)
-        if kind.startswith("array<"):
-            checks[name] = F.exists(F.split(value, ","), _unconvertible(kind[len("array<"):-1]))
-        else:
-            checks[name] = value.isNotNull() & value.try_cast(kind).isNull()
+    checks = {n: F.col(n).isNotNull() & F.coalesce(_mismatch(F.col(n), k), F.lit(True)) for n, k in expected.items()}
     wide = df.agg(
         F.count(F.lit(1)).alias("__rows"),
         *[F.count_if(c).alias(f"__bad_{n}") for n, c in checks.items()],
@@ -188,10 +219,26 @@ def member_types(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def describe_declared(spark: SparkSession, spec) -> DataFrame:
+    """What a table specification declares of each column: keys, references, nullability, defaults, limits."""
+    rows = [
+        (
+            spec.name, c.name, i, c.logical, c.primary_key, c.indexed or c.unique or c.primary_key, c.nullable and not c.primary_key,
+            c.references, c.default, c.max_length, list(c.enum_values) or None,
+        )
+        for i, c in enumerate(spec.columns, 1)
+    ]
+    return spark.createDataFrame(
+        rows,
+        "table_name string, column_name string, column_id int, logical_type string, primary_key boolean, indexed boolean, "
+        "nullable boolean, foreign_key string, default_value string, max_length int, allowed array<string>",
+    )
+
+
 def describe_frame(
     df: DataFrame, table: str, primary_key: Sequence[str] = ()
 ) -> DataFrame:
-    """Declared columns of a table joined with what one pass over the data shows."""
+    """Columns of a table joined with what one pass over the data shows."""
     names = df.columns
     keys = list(primary_key)
     wide = df.agg(

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from ..operators import profile, quantiles
+from ..plans.spec import ColumnSpec, TableSpec
 from .registry import query
 
 
@@ -283,3 +284,60 @@ def quantiles_with_infinities(t):
     values = t.lineitem.select(odd.otherwise(F.col("l_extendedprice")).alias("v"))
     low, middle, high = quantiles.exact_quantiles(values, "v", [0.0, 0.5, 1.0])
     return t.spark.range(1).select(F.lit(low).alias("low"), F.lit(middle).alias("middle"), F.lit(high).alias("high"))
+
+
+_NESTED = """
+    SELECT c_custkey, '{"a":' || c_nationkey || ',"b":' || CASE WHEN c_custkey % 13 = 0 THEN '"x"' ELSE '2' END || '}' AS members,
+           '[' || c_custkey || ',"' || CASE WHEN c_custkey % 17 = 0 THEN 'no date' ELSE '2024-01-02' END || '"' || CASE WHEN c_custkey % 19 = 0 THEN ',1' ELSE '' END || ']' AS pair,
+           CASE WHEN c_custkey % 7 = 0 THEN 'true' WHEN c_custkey % 11 = 0 THEN 'neither' ELSE c_custkey::VARCHAR END AS either,
+           '[[1,' || c_custkey || '],[' || CASE WHEN c_custkey % 23 = 0 THEN '"q"' ELSE '3' END || ']]' AS nested FROM customer"""
+
+
+@query(
+    "conform_report_nested",
+    "P22",
+    f"""
+    WITH d AS ({_NESTED}), n AS (SELECT count(*) AS checked, count_if(c_custkey % 13 = 0) AS a, count_if(c_custkey % 17 = 0 OR c_custkey % 19 = 0) AS b,
+      count_if(c_custkey % 11 = 0 AND c_custkey % 7 > 0) AS c, count_if(c_custkey % 23 = 0) AS e FROM d)
+    SELECT column_name, expected_type, checked, mismatched, mismatched = 0 AS conforms FROM (
+      SELECT 'members' AS column_name, 'map<string,int>' AS expected_type, checked, a AS mismatched FROM n
+      UNION ALL SELECT 'pair', 'tuple<bigint, date>', checked, b FROM n
+      UNION ALL SELECT 'either', 'bigint | boolean', checked, c FROM n
+      UNION ALL SELECT 'nested', 'array<array<int>>', checked, e FROM n)""",
+)
+def conform_report_nested(t):
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    last = F.when(k % 13 == 0, '"x"').otherwise("2")
+    day = F.when(k % 17 == 0, "no date").otherwise("2024-01-02")
+    rows = t.customer.select(
+        F.concat(F.lit('{"a":'), n, F.lit(',"b":'), last, F.lit("}")).alias("members"),
+        F.concat(F.lit("["), k, F.lit(',"'), day, F.lit('"'), F.when(k % 19 == 0, ",1").otherwise(""), F.lit("]")).alias("pair"),
+        F.when(k % 7 == 0, "true").when(k % 11 == 0, "neither").otherwise(k.cast("string")).alias("either"),
+        F.concat(F.lit("[[1,"), k, F.lit("],["), F.when(k % 23 == 0, '"q"').otherwise("3"), F.lit("]]")).alias("nested"),
+    )
+    expected = {"members": "map<string,int>", "pair": "tuple<bigint, date>", "either": "bigint | boolean", "nested": "array<array<int>>"}
+    return profile.conform_report(rows, expected)
+
+
+@query(
+    "describe_declared",
+    "M21",
+    """
+    SELECT column_name, column_id, logical_type, d.primary_key, indexed, nullable, foreign_key, default_value, max_length, null_count FROM (VALUES
+      ('o_orderkey', 1, 'integer', true, true, false, NULL, NULL, NULL), ('o_custkey', 2, 'integer', false, true, false, 'customer.c_custkey', NULL, NULL),
+      ('o_orderstatus', 3, 'string', false, false, true, NULL, 'O', 1))
+      d(column_name, column_id, logical_type, primary_key, indexed, nullable, foreign_key, default_value, max_length)
+    JOIN (SELECT 'o_orderkey' AS c, count(*) - count(o_orderkey) AS null_count FROM orders UNION ALL SELECT 'o_custkey', count(*) - count(o_custkey) FROM orders
+          UNION ALL SELECT 'o_orderstatus', count(*) - count(o_orderstatus) FROM orders) ON c = column_name""",
+)
+def describe_declared(t):
+    spec = TableSpec(
+        "orders",
+        (
+            ColumnSpec("o_orderkey", "integer", primary_key=True),
+            ColumnSpec("o_custkey", "integer", nullable=False, references="customer.c_custkey", indexed=True),
+            ColumnSpec("o_orderstatus", default="O", max_length=1),
+        ),
+    )
+    seen = profile.describe_frame(t.orders.select(*spec.names), "orders", ["o_orderkey"]).select("column_name", "null_count")
+    return profile.describe_declared(t.spark, spec).join(seen, "column_name").drop("table_name", "allowed")
