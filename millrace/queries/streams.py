@@ -124,7 +124,7 @@ def sweep_stream(t):
     base = work_folder(t.spark, "sweep")
     handler = feeds.sweep_queue(base, nightly_table(t), "SYNC", at())
     feeds.run_available(staged_stream(t, base), f"{base}/checkpoint", handler)
-    nightly = feeds.state_before(t.spark, base, "nightly", 10**9)
+    nightly = feeds.nightly_table(t.spark, base, nightly_table(t))
     return nightly.select("integration_id", "first_name", "sex", "created_by", "updated_by")
 
 

@@ -91,21 +91,42 @@ def run_every(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, i
 def sweep_queue(base: str, first: DataFrame, user: str, at) -> Callable[[DataFrame, int], None]:
     """Handler for NEW rows: settle each, merge the good ones, keep every outcome.
 
-    ``first`` is the export table before any batch.  Outcomes are partitioned by
+    ``first`` is the export table before any batch.  A batch reads and writes only
+    the keys it names; ``nightly_table`` puts the whole table together.  Rows
+    without a key match nothing and are kept apart.  Outcomes are partitioned by
     status, and a failed row never stops the batch.
     """
+    key = ["integration_id"]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         settled = cut_lineage(staging.settle(batch))
-        held = state_before(spark, base, "nightly", batch_id)
-        merged = staging.sync_nightly(held if held is not None else first, settled.where("status = 'SUCCESS'"), at, user)
-        publish.publish_version(merged, base, "nightly", stamp(batch_id))
+        good = settled.where("status = 'SUCCESS'")
+        ids = good.where("id IS NOT NULL").select(F.col("id").alias("integration_id")).distinct()
+        held = read_state(spark, base, "nightly", batch_id, key)
+        known = first.join(ids, key, "left_semi")
+        if held is not None:
+            changed = held.join(ids, key, "left_semi").select(*first.columns)
+            known = known.join(held, key, "left_anti").unionByName(changed)
+        merged = staging.sync_nightly(known, good.where("id IS NOT NULL"), at, user)
+        write_state(merged, held, base, "nightly", batch_id, key)
+        lone = staging.sync_nightly(first.limit(0), good.where("id IS NULL"), at, user)
+        lone.write.mode("overwrite").parquet(f"{base}/lone/batch={stamp(batch_id)}")
         settled.write.mode("overwrite").partitionBy("status").parquet(f"{base}/outcomes/batch={stamp(batch_id)}")
 
     return handle
 
 
+def nightly_table(spark: SparkSession, base: str, first: DataFrame) -> DataFrame:
+    """The export table after all batches of a sweep that started from ``first``."""
+    held = read_state(spark, base, "nightly", 2**62, ["integration_id"])
+    if held is None:
+        return first
+    lone = spark.read.schema(first.schema).parquet(f"{base}/lone")
+    kept = first.join(held.select("integration_id"), "integration_id", "left_anti").select(*first.columns)
+    return kept.unionByName(held.select(*first.columns)).unionByName(lone.select(*first.columns))
+
+
 def warm_baseline(stream: DataFrame, checkpoint: str) -> None:
     """Make what is there now the baseline: it is passed over, later arrivals are not."""
     run_available(stream, checkpoint, lambda batch, batch_id: None)

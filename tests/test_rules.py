@@ -66,3 +66,44 @@ def test_long_quoted_fields_parse(spark):
     text = 'a,b\n"' + 'x""\n' * 60_000 + '",1\n'
     row = delimited.parse_csv_column(spark.createDataFrame([(text,)], "t string"), "t", ["a", "b"]).first()
     assert len(row["a"]) == 180_000 and row["b"] == "1"
+
+
+def test_sweeps_change_only_the_keys_of_a_batch(spark):
+    from millrace.queries.loading import FIELDS
+    from millrace.streaming import feeds
+
+    base = work_folder(spark, "sweep-test")
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+
+    def batch(text):
+        rows = staging.shred_payload(spark.createDataFrame([(1, text)], "k int, p string"), "p", FIELDS)
+        return staging.stage_records(rows, ["k", "item_no"], at)
+
+    empty = staging.sync_nightly(
+        spark.createDataFrame([], "integration_id string, first_name string, last_name string, birthdate date, sex int, created_at timestamp_ntz, created_by string, updated_at timestamp_ntz, updated_by string"),
+        staging.settle(batch('[{"id":"a","first_name":"A"},{"id":"b","first_name":"B"}]')), at, "OLD",
+    )
+    handle = feeds.sweep_queue(base, empty, "SYNC", at)
+    handle(batch('[{"id":"b","first_name":"B1"},{"id":"c","first_name":"C1"},{"first_name":"lone"}]'), 0)
+    handle(batch('[{"id":"c","first_name":"C2"},{"id":"d","first_name":"D2"},{"first_name":"lone"}]'), 1)
+    handle(batch('[{"id":"c","first_name":"C2"},{"id":"d","first_name":"D2"},{"first_name":"lone"}]'), 1)  # run again
+    got = sorted(((r["integration_id"] or "", r["first_name"], r["created_by"]) for r in feeds.nightly_table(spark, base, empty).collect()))
+    assert got == [("", "lone", "SYNC"), ("", "lone", "SYNC"), ("a", "A", "OLD"), ("b", "B1", "OLD"), ("c", "C2", "SYNC"), ("d", "D2", "SYNC")]
+    changed = spark.read.parquet(f"{base}/nightly_changes/v={feeds.stamp(1)}")
+    assert {r["integration_id"] for r in changed.collect()} == {"c", "d"}
+
+
+def test_a_second_start_is_ignored_while_the_first_runs(spark):
+    from millrace.streaming import feeds
+
+    base = work_folder(spark, "busy")
+    spark.range(3).write.parquet(f"{base}/in")
+    seen = []
+
+    def handle(rows, _):
+        stream = spark.readStream.schema("id long").parquet(f"{base}/in")
+        seen.append(feeds.run_available(stream, f"{base}/checkpoint", handle))
+
+    stream = spark.readStream.schema("id long").parquet(f"{base}/in")
+    assert feeds.run_available(stream, f"{base}/checkpoint", handle) is True
+    assert seen == [False]
