@@ -99,21 +99,25 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long) for every row of ``docs``."""
+    """``doc_id, text_hash, fp`` (the 64 bits as a signed long) for every row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1)
             fps = np.fromiter((fingerprint(t.as_py(), shingle, seed) for t in texts), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps.view(np.int64))], ["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    return _texts(docs).mapInArrow(run, "doc_id long, text_hash long, fp long")
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 3, seed: int = 42) -> DataFrame:
-    """``doc_id, fp, component_id`` for every row of ``docs``.
+    """``doc_id, text_hash, fp, component_id`` for every row of ``docs``.
 
-    component_id is the smallest doc_id reachable over links of at most
+    text_hash tells rows of one id apart (``one_per_group``).  component_id is the smallest doc_id reachable over links of at most
     ``budget`` differing bits, the row's own included.  Null and empty texts have
     fingerprint 0 and link like any other; equal texts always meet.  A null
     doc_id is never the smallest one (a component of nothing else has null).
@@ -128,11 +132,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 3, seed: in
     joined = cut_lineage(joined)
     named = joined.join(joined.groupBy("root").agg(F.min("least_id").alias("component_id")), "root")
     named = cut_lineage(named.select(F.col("fp").alias("of_fp"), "component_id"))
-    return marked.join(named, marked["fp"] == named["of_fp"]).select("doc_id", "fp", "component_id")
+    return marked.join(named, marked["fp"] == named["of_fp"]).select("doc_id", "text_hash", "fp", "component_id")
 
 
 def similar_documents(docs: DataFrame, least: float = 0.8, shingle: int = 5, seed: int = 42) -> DataFrame:
-    """``doc_id, component_id`` for every row of ``docs``: groups of similar texts.
+    """``doc_id, text_hash, component_id`` for every row of ``docs``: groups of similar texts.
 
     Texts link where their wide fingerprints differ in no more bits than nine of ten
     pairs with a Jaccard similarity of ``least`` of their shingle sets do: about
@@ -147,10 +151,9 @@ def similar_documents(docs: DataFrame, least: float = 0.8, shingle: int = 5, see
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [wide_fingerprint(t.as_py(), shingle, seed) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["doc_id", "wide"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(made, pa.binary())], ["doc_id", "text_hash", "wide"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    marked = stored(rows.mapInArrow(mark, "doc_id long, wide binary"), "fingerprints")
+    marked = stored(_texts(docs).mapInArrow(mark, "doc_id long, text_hash long, wide binary"), "fingerprints")
     distinct = marked.groupBy("wide").agg(F.min("doc_id").alias("least_id"))
     distinct = cut_lineage(distinct.withColumn("node", F.monotonically_increasing_id()))
     roots = components(slice_links(distinct.select("node", "wide"), limit))
@@ -160,17 +163,26 @@ def similar_documents(docs: DataFrame, least: float = 0.8, shingle: int = 5, see
     joined = cut_lineage(joined)
     named = joined.join(joined.groupBy("root").agg(F.min("least_id").alias("component_id")), "root")
     named = cut_lineage(named.select(F.col("wide").alias("of_wide"), "component_id"))
-    return marked.join(named, F.col("wide") == F.col("of_wide")).select("doc_id", "component_id")
+    return marked.join(named, F.col("wide") == F.col("of_wide")).select("doc_id", "text_hash", "component_id")
 
 
 def one_per_group(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` with the row of the smallest doc_id of each group of ``found`` (``doc_id, component_id``).
+    """``docs`` with one row of each group of ``found``, that of the smallest doc_id; columns as they are.
 
-    Columns are those of ``docs``.  Rows that repeat the kept doc_id all stay;
-    rows with a null doc_id cannot be told apart and stay.
+    Of rows that repeat an id with its text one stays.  A row without an id goes if
+    its group has one with an id; else equal texts without an id become one.
     """
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    rows = found.groupBy("doc_id", "text_hash").agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows"))
+    goes = F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))
+    # only rows that go or repeat are looked up; all others pass
+    marked = rows.select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"), goes.alias("goes"), "rows").where("goes OR rows > 1")
+    held = {f"column_{i}": F.col(f"`{c}`") for i, c in enumerate(docs.columns)}
+    named = docs.select(*[c.alias(n) for n, c in held.items()], F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("hash"))
+    same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("hash") == F.col("of_hash"))
+    once = named.join(marked, same, "left_anti").select(*held)
+    again = named.join(marked.where("NOT goes"), same).groupBy("id", "hash").agg(F.any_value(F.struct(*held)).alias("row"))
+    more = again.select("row.*")
+    return once.union(more).toDF(*docs.columns)
 
 
 def slice_links(distinct: DataFrame, limit: int) -> DataFrame:
