@@ -98,13 +98,16 @@ class Model:
 
 def train(rows: np.ndarray, labels: np.ndarray, prior: float) -> Model:
     """Term weights from the sample's spread, and its leading singular vectors."""
-    if not len(rows):
+    if not (rows > 0).any():
+        rows, labels = rows[:0], labels[:0]
         return Model(np.ones(FEATURES, np.float32), np.zeros((FEATURES, 1), np.float32), np.zeros((0, 1), np.float32), labels, prior)
     seen = (rows > 0).sum(axis=0)
     weight = np.where(seen > 0, np.log((1 + len(rows)) / (1 + seen)) + 0.5, 0).astype(np.float32)
-    weighed = (rows * weight).astype(np.float64)
-    values, vectors = np.linalg.eigh(weighed.T @ weighed)
-    basis = vectors[:, ::-1][:, :DIMENSIONS].astype(np.float32)
+    terms = np.flatnonzero(seen)  # most trigrams of classes never occur
+    weighed = rows[:, terms] * weight[terms]
+    _, vectors = np.linalg.eigh((weighed.T @ weighed).astype(np.float64))
+    basis = np.zeros((FEATURES, min(DIMENSIONS, len(terms))), np.float32)
+    basis[terms] = vectors[:, ::-1][:, :DIMENSIONS]
     model = Model(weight, basis, np.zeros((0, basis.shape[1]), np.float32), labels, prior)
     return Model(weight, basis, model.project(rows), labels.astype(np.float64), prior)
 
@@ -128,12 +131,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [features(t.as_py()).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary()), batch.column(2)], ["doc_id", "terms", "label"])
-
-    got = chosen.select("doc_id", "text", "label").mapInArrow(run, "doc_id long, terms binary, label int").collect()
-    got = sorted(got, key=lambda r: (r["doc_id"], r["label"], r["terms"]))
-    rows = np.array([np.frombuffer(r["terms"], np.float32) for r in got]).reshape(-1, FEATURES)
+            made = [features(t.as_py()) for t in batch.column(1)]
+            terms = [np.flatnonzero(m).astype(np.uint16) for m in made]
+            shares = [m[t].tobytes() for m, t in zip(made, terms, strict=True)]
+            arrays = [batch.column(0), pa.array([t.tobytes() for t in terms], pa.binary()), pa.array(shares, pa.binary()), batch.column(2)]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "terms", "shares", "label"])
+
+    got = chosen.select("doc_id", "text", "label").mapInArrow(run, "doc_id long, terms binary, shares binary, label int").collect()
+    got = sorted(got, key=lambda r: (r["doc_id"], r["label"], r["terms"], r["shares"]))
+    rows = np.zeros((len(got), FEATURES), np.float32)
+    for row, r in zip(rows, got, strict=True):
+        row[np.frombuffer(r["terms"], np.uint16)] = np.frombuffer(r["shares"], np.float32)
     return train(rows, np.array([r["label"] for r in got], np.float64), 0.5 if prior is None else float(prior))
 
 
