@@ -12,8 +12,9 @@ gives m links and not m * m / 2.
 
 Two operators use this.  ``near_duplicates`` links 64-bit fingerprints that differ in
 a few bits.  ``similar_documents`` is for a stated similarity of shingle sets: its
-fingerprints have 256 bits, of which each of twelve slices has a trie of its own;
-what comes close in any slice is verified on all bits.
+fingerprints have 256 bits, of which each of twelve slices has a trie of its own.
+What comes close in any slice is a candidate if all bits allow it; a candidate is a
+link only if the shingle sets themselves are similar enough.
 """
 
 from __future__ import annotations
@@ -46,7 +47,10 @@ FEW = 16
 #: Member pairs compared at a time.
 AT_ONCE = 2_000_000
 #: Words of a wide fingerprint; its slices, their bits and the bits in which they may differ.
-WIDE, SLICES, SLICE_BITS, SLICE_BUDGET = 4, 12, 21, 2
+WIDE, SLICES, SLICE_BITS, SLICE_BUDGET = 4, 12, 21, 3
+#: A candidate's bits may differ by so many standard deviations more than the mean of a
+#: pair at the threshold, which is computed exactly for sets of up to EXACT shingles.
+SIGMAS, EXACT = 4, 64
 
 
 def shingle_hashes(parts: list[bytes], shingle: int, seed: int) -> np.ndarray:
@@ -76,23 +80,30 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(sums * 2 > total).tobytes(), "big")
 
 
-def wide_fingerprint(text: str | None, shingle: int = 5, seed: int = 42) -> bytes:
-    """256 majority bits over the distinct shingles of a text, as ``WIDE`` big-endian words.
+def wide_sketch(text: str | None, shingle: int = 5, seed: int = 42) -> tuple[bytes, int, list[int]]:
+    """256 majority bits over a text's distinct shingles, their number, and ``WIDE`` least hashes.
 
-    Every word of the fingerprint mixes the shingle hashes anew.  No words: zero.
+    The bits are ``WIDE`` big-endian words, each of which mixes the shingle hashes
+    anew; the least hashes are those of each mix.  No words: all zero.
     """
-    parts = words(text)
-    if not parts:
-        return bytes(8 * WIDE)
-    hashes = np.unique(shingle_hashes(parts, shingle, seed))
-    sums = np.zeros(64 * WIDE, np.int64)
+    hashes = shingle_set(text, shingle, seed)
+    if not len(hashes):
+        return bytes(8 * WIDE), 0, [0] * WIDE
+    sums, least = np.zeros(64 * WIDE, np.int64), np.full(WIDE, 2**64 - 1, np.uint64)
     for at in range(0, len(hashes), 16384):
         block = hashes[at : at + 16384, None] ^ (_ODD * np.arange(1, WIDE + 1, dtype=np.uint64))
         block = (block ^ (block >> np.uint64(31))) * _ODD
         block = (block ^ (block >> np.uint64(29))) * _ODD
         block ^= block >> np.uint64(32)
+        least = np.minimum(least, block.min(axis=0))
         sums += np.unpackbits(block.astype(">u8").view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
-    return np.packbits(sums * 2 > len(hashes)).tobytes()
+    return np.packbits(sums * 2 > len(hashes)).tobytes(), len(hashes), least.view(np.int64).tolist()
+
+
+def shingle_set(text: str | None, shingle: int = 5, seed: int = 42) -> np.ndarray:
+    """The sorted distinct shingle hashes of a text; none without words."""
+    parts = words(text)
+    return np.unique(shingle_hashes(parts, shingle, seed)) if parts else np.zeros(0, np.uint64)
 
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -138,32 +149,124 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 3, seed: in
 def similar_documents(docs: DataFrame, least: float = 0.8, shingle: int = 5, seed: int = 42) -> DataFrame:
     """``doc_id, text_hash, component_id`` for every row of ``docs``: groups of similar texts.
 
-    Texts link where their wide fingerprints differ in no more bits than nine of ten
-    pairs with a Jaccard similarity of ``least`` of their shingle sets do: about
-    ``least`` and, by the spread of the estimate, a few hundredths around it.  Of
-    pairs at exactly 0.8 the slices find 99.6 %, of closer ones more.  Null ids,
-    null and empty texts, repeats and empty tables as in ``near_duplicates``.
+    Texts link where the Jaccard similarity of their shingle sets is ``least`` or more;
+    every link is verified on the sets (as 64-bit hashes).  Wide fingerprints only find
+    the candidates.  Of pairs at exactly 0.8 they find 99.99 %, of closer ones more; of
+    4 shingles against the same and one more, the worst case, 99.8 %.  Null ids, null
+    and empty texts, repeats and empty tables as in ``near_duplicates``.
     """
-    angle = math.acos(2 * least / (1 + least)) / math.pi  # the share of bits in which such a pair differs
-    bits = 64 * WIDE
-    limit = int(bits * angle + 1.3 * math.sqrt(bits * angle * (1 - angle)))
+    limits = bit_limits(least)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [wide_fingerprint(t.as_py(), shingle, seed) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(made, pa.binary())], ["doc_id", "text_hash", "wide"])
-
-    marked = stored(_texts(docs).mapInArrow(mark, "doc_id long, text_hash long, wide binary"), "fingerprints")
-    distinct = marked.groupBy("wide").agg(F.min("doc_id").alias("least_id"))
-    distinct = cut_lineage(distinct.withColumn("node", F.monotonically_increasing_id()))
-    roots = components(slice_links(distinct.select("node", "wide"), limit))
-    joined = distinct.join(roots, F.col("node") == F.col("id"), "left").select(
-        "wide", "least_id", F.coalesce("root", "node").alias("root")
+            made = list(zip(*(wide_sketch(t.as_py(), shingle, seed) for t in batch.column(1)), strict=True)) or [(), (), ()]
+            columns = [pa.array(c, k) for c, k in zip(made, (pa.binary(), pa.int64(), pa.list_(pa.int64())), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], ["doc_id", "text_hash", "wide", "size", "least"])
+
+    texts = _texts(docs)
+    marked = stored(texts.mapInArrow(mark, "doc_id long, text_hash long, wide binary, size long, least array<long>"), "fingerprints")
+    nodes = marked.groupBy(F.col("text_hash").alias("node")).agg(
+        F.min("doc_id").alias("least_id"), *[F.any_value(c).alias(c) for c in ("wide", "size", "least")]
     )
+    nodes = cut_lineage(nodes)
+    # families of near copies first, so that the tries need not name all their pairs
+    sure = similar_pairs(texts, head_pairs(nodes, limits, least), least, shingle, seed)
+    roots = cut_lineage(components(sure))
+    known = nodes.join(roots, F.col("node") == F.col("id"), "left").select("node", "wide", "size", F.coalesce("root", "node").alias("family"))
+    more = similar_pairs(texts, slice_pairs(cut_lineage(known), limits, least), least, shingle, seed)
+    roots = components(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).union(more))
+    joined = nodes.join(roots, F.col("node") == F.col("id"), "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
     joined = cut_lineage(joined)
     named = joined.join(joined.groupBy("root").agg(F.min("least_id").alias("component_id")), "root")
-    named = cut_lineage(named.select(F.col("wide").alias("of_wide"), "component_id"))
-    return marked.join(named, F.col("wide") == F.col("of_wide")).select("doc_id", "text_hash", "component_id")
+    named = cut_lineage(named.select("node", "component_id"))
+    return marked.join(named, F.col("text_hash") == F.col("node")).select("doc_id", "text_hash", "component_id")
+
+
+def bit_limits(least: float) -> np.ndarray:
+    """How many bits may differ, by the sizes of two shingle sets (beyond EXACT: EXACT + 1); -1: no such pair.
+
+    Bits of a fingerprint are independent, so the differing ones are binomial; the
+    share is that of a pair of these sizes with as little in common as ``least`` allows.
+    """
+    bits, limits = 64 * WIDE, np.full((EXACT + 2, EXACT + 2), -1, np.int64)
+    limits[0, 0] = 0
+    chance = [np.array([math.comb(n, k) / 2**n for k in range(n + 1)]) for n in range(EXACT + 1)]
+
+    def majority(common: int, size: int) -> np.ndarray:
+        """The chance that more than half of a set votes 1, by the votes among the common part."""
+        own = chance[size - common]
+        return np.array([own[max(0, size // 2 + 1 - k) :].sum() for k in range(common + 1)])
+
+    for x in range(1, EXACT + 1):
+        for y in range(x, EXACT + 1):
+            common = math.ceil(least / (1 + least) * (x + y) - 1e-9)
+            if common <= x:
+                p, q = majority(common, x), majority(common, y)
+                share = float((chance[common] * (p * (1 - q) + q * (1 - p))).sum())
+                limits[x, y] = limits[y, x] = int(bits * share + SIGMAS * math.sqrt(bits * share * (1 - share)))
+    # the share falls towards that of the angle as sets grow, so the larger half of the table is enough for all beyond
+    angle = math.acos(2 * least / (1 + least)) / math.pi
+    beyond = max(int(bits * angle + SIGMAS * math.sqrt(bits * angle * (1 - angle))), int(limits[EXACT // 2 :, EXACT // 2 :].max()))
+    limits[EXACT + 1, 1:] = limits[1:, EXACT + 1] = beyond
+    return limits
+
+
+def _possible(limits: np.ndarray, least: float, wide: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs of wide fingerprints (rows of words) sizes and bits allow to be similar."""
+    x, y = size[i], size[j]
+    good = np.minimum(x, y) >= least * np.maximum(x, y) - 1e-9
+    at = np.flatnonzero(good)
+    allowed = limits[np.minimum(x[at], EXACT + 1), np.minimum(y[at], EXACT + 1)]
+    good[at] = np.bitwise_count(wide[i[at]] ^ wide[j[at]]).sum(axis=1, dtype=np.int64) <= allowed
+    return good
+
+
+def _wide_rows(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 8 * WIDE)
+
+
+def head_pairs(nodes: DataFrame, limits: np.ndarray, least: float) -> DataFrame:
+    """Candidates ``a, b``: each text and the smallest node that shares a least hash; at most WIDE for each."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = np.concatenate((_wide_rows(batch.column(1)), _wide_rows(batch.column(4)))).view(">u8").astype(np.uint64)
+            size = np.concatenate((batch.column(2).to_numpy(), batch.column(5).to_numpy()))
+            rows = np.arange(batch.num_rows)
+            good = pa.array(_possible(limits, least, both, size, rows, rows + batch.num_rows))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(3).filter(good)], ["a", "b"])
+
+    met = nodes.select(F.explode("least").alias("hash"), F.struct("node", "wide", "size").alias("own"))
+    heads = met.groupBy("hash").agg(F.min("own").alias("head"))
+    pairs = met.join(heads, "hash").where("own.node != head.node").select("own.node", "own.wide", "own.size", "head.node", "head.wide", "head.size")
+    return pairs.toDF("node", "wide", "size", "node_2", "wide_2", "size_2").mapInArrow(check, "a long, b long").distinct()
+
+
+def similar_pairs(texts: DataFrame, pairs: DataFrame, least: float, shingle: int, seed: int) -> DataFrame:
+    """Those of ``pairs`` (``a, b``, hashes of texts) whose shingle sets have a Jaccard similarity of ``least`` or more."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [shingle_set(t.as_py(), shingle, seed).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["node", "shingles"])
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for left, right in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = (np.frombuffer(s.as_py(), np.uint64) for s in (left, right))
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(common >= least * (len(x) + len(y) - common) - 1e-9)
+            take = pa.array(good, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(take), batch.column(1).filter(take)], ["a", "b"])
+
+    pairs = cut_lineage(pairs)
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    held = texts.join(needed, F.col("text_hash") == F.col("node"), "left_semi").groupBy("text_hash").agg(F.any_value("text").alias("text"))
+    known = stored(held.mapInArrow(sets, "node long, shingles binary"), "shingles")
+    left, right = known.toDF("node_a", "set_a"), known.toDF("node_b", "set_b")
+    joined = pairs.join(left, F.col("a") == F.col("node_a")).join(right, F.col("b") == F.col("node_b"))
+    return cut_lineage(joined.select("a", "b", "set_a", "set_b").mapInArrow(check, "a long, b long"))
 
 
 def one_per_group(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -185,9 +288,11 @@ def one_per_group(docs: DataFrame, found: DataFrame) -> DataFrame:
     return once.union(more).toDF(*docs.columns)
 
 
-def slice_links(distinct: DataFrame, limit: int) -> DataFrame:
-    """Links ``a, b`` of nodes (``node, wide``) that are close in a slice and differ in at most ``limit`` bits."""
-    bits = 64 * WIDE
+def slice_pairs(nodes: DataFrame, limits: np.ndarray, least: float) -> DataFrame:
+    """Candidates ``a, b``, each once: nodes of different families that are close in a slice and possibly similar.
+
+    ``nodes`` has ``node, wide, size, family``.
+    """
 
     def slices(wide: np.ndarray) -> np.ndarray:
         """The slices of wide fingerprints (rows of bytes), each at the top of 64 bits."""
@@ -196,20 +301,17 @@ def slice_links(distinct: DataFrame, limit: int) -> DataFrame:
         whole[:, :, :SLICE_BITS] = flat
         return np.packbits(whole, axis=2).view(">u8").reshape(-1, SLICES).astype(np.uint64)
 
-    def keys_of(column: pa.Array) -> np.ndarray:
-        return slices(np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, bits // 8))
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((SLICES, 1 << TOP_BITS), np.int64)
         for batch in batches:
-            top = (keys_of(batch.column(0)) >> np.uint64(64 - TOP_BITS)).astype(np.int64)
+            top = (slices(_wide_rows(batch.column(0))) >> np.uint64(64 - TOP_BITS)).astype(np.int64)
             for k in range(SLICES):
                 counts[k] += np.bincount(top[:, k], minlength=1 << TOP_BITS)
         k, prefix = np.nonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(prefix), pa.array(counts[k, prefix])], ["slice", "prefix", "n"])
 
     counts = np.zeros((SLICES, 1 << TOP_BITS), np.int64)
-    counted = distinct.select("wide").mapInArrow(count, "slice long, prefix long, n long")
+    counted = nodes.select("wide").mapInArrow(count, "slice long, prefix long, n long")
     for row in counted.groupBy("slice", "prefix").agg(F.sum("n").alias("n")).collect():  # at most 12 * 4096
         counts[row["slice"], row["prefix"]] = row["n"]
     tops = [_top_pairs(c, SLICE_BUDGET, 2) for c in counts]
@@ -217,31 +319,40 @@ def slice_links(distinct: DataFrame, limit: int) -> DataFrame:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = keys_of(batch.column(1))
+            keys = slices(_wide_rows(batch.column(1)))
             top = (keys >> np.uint64(64 - TOP_BITS)).astype(np.int64)
             for k, (node_of, first, pair, side) in enumerate(tops):
                 for at in range(0, len(keys), 4096):
                     rows, slots = _dealt(node_of[top[at : at + 4096, k]], first)
                     take = pa.array(rows + at)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(pair[slots] + int(first_pair[k])), pa.array(np.full(len(rows), k, np.int8)), pa.array(side[slots]), batch.column(0).take(take), batch.column(1).take(take)],
-                        ["pair", "slice", "side", "node", "wide"],
+                        [pa.array(pair[slots] + int(first_pair[k])), pa.array(np.full(len(rows), k, np.int8)), pa.array(side[slots]), *(c.take(take) for c in batch.columns)],
+                        ["pair", "slice", "side", "node", "wide", "size", "family"],
                     )
 
-    def walk(group: pd.DataFrame) -> pd.DataFrame:
-        wide = np.frombuffer(b"".join(group["wide"]), np.uint8).reshape(-1, bits // 8)
-        keys = slices(wide)[:, int(group["slice"].iloc[0])]
-        order = np.lexsort((keys, group["side"].to_numpy()))
-        left = int((group["side"] == 0).sum())
-        keys, node = keys[order], group["node"].to_numpy()[order]
-        whole = wide[order].view(">u8").astype(np.uint64)
-        near = lambda i, j: np.bitwise_count(whole[i] ^ whole[j]).sum(axis=1, dtype=np.int64) <= limit
-        label = _walk(keys[:left], keys[left:] if left < len(keys) else None, SLICE_BUDGET, near, SLICE_BITS)
-        linked = np.flatnonzero(label != np.arange(len(label)))
-        return pd.DataFrame({"a": node[linked], "b": node[label[linked]]})
-
-    dealt = distinct.select("node", "wide").mapInArrow(deal, "pair int, slice byte, side byte, node long, wide binary")
-    return dealt.groupBy("pair").applyInPandas(walk, "a long, b long")
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = pa.Table.from_batches(list(batches))
+        wide, side = _wide_rows(group["wide"]), group["side"].to_numpy()
+        k, keys = group["slice"][0].as_py(), slices(wide)
+        order = np.lexsort((keys[:, k], side))
+        keys, whole = keys[order], wide[order].view(">u8").astype(np.uint64)
+        node, size, family = (group[c].to_numpy()[order] for c in ("node", "size", "family"))
+        label, left = np.unique(family, return_inverse=True)[1], int((side == 0).sum())
+        right = keys[left:, k] if left < len(keys) else None
+        for i, j in _meetings(keys[:left, k], right, SLICE_BUDGET, label, SLICE_BITS):
+            near = (i < j) & (label[i] != label[j])
+            i, j = i[near], j[near]
+            near = np.bitwise_count(keys[i, k] ^ keys[j, k]) <= SLICE_BUDGET
+            i, j = i[near], j[near]
+            near = _possible(limits, least, whole, size, i, j)
+            i, j = i[near], j[near]
+            # a pair is named by the first slice in which it is close
+            first = (np.bitwise_count(keys[i, :k] ^ keys[j, :k]) > SLICE_BUDGET).all(axis=1)
+            if first.any():
+                yield pa.RecordBatch.from_arrays([pa.array(node[i[first]]), pa.array(node[j[first]])], ["a", "b"])
+
+    dealt = nodes.select("node", "wide", "size", "family").mapInArrow(deal, "pair int, slice byte, side byte, node long, wide binary, size long, family long")
+    return dealt.groupBy("pair").applyInArrow(walk, "a long, b long")
 
 
 def _dealt(nodes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -364,14 +475,27 @@ def walk_tries(left: np.ndarray, right: np.ndarray | None, budget: int) -> tuple
 
 def _walk(left: np.ndarray, right: np.ndarray | None, budget: int, near: Callable[[np.ndarray, np.ndarray], np.ndarray], levels: int = 64) -> np.ndarray:
     """Each member's smallest member over links of sorted keys that come close and pass ``near``."""
+    label = np.arange(len(left) + (0 if right is None else len(right)))
+    for i, j in _meetings(left, right, budget, label, levels):
+        good = near(i, j)
+        if good.any():
+            _unite(label, i[good], j[good])
+    return label
+
+
+def _meetings(left: np.ndarray, right: np.ndarray | None, budget: int, label: np.ndarray, levels: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Member pairs of sorted keys that come close, in lots; node pairs under one label are left out.
+
+    The taker may unite labels in place between lots.
+    """
     own = right is None
-    label = np.arange(len(left) + (0 if own else len(right)))
     if not len(left) or (not own and not len(right)):
-        return label
+        return
     a = _Trie(left, levels)
     b = a if own else _Trie(right, levels)
     shift = 0 if own else len(left)
-    runs = np.arange(len(label))  # members with equal neighbours share a number
+    number = lambda: np.cumsum(np.concatenate(([0], label[1:] != label[:-1])))
+    runs = number()  # members with equal neighbours share a number
     stack = [(0, np.zeros(1, np.int32), np.zeros(1, np.int32), np.zeros(1, np.int8))]
     deepest = min(len(a.child), len(b.child))
     while stack:
@@ -386,10 +510,8 @@ def _walk(left: np.ndarray, right: np.ndarray | None, budget: int, near: Callabl
         for xl_, xh_, yl_, yh_ in _pieces(xl[check], xh[check], yl[check], yh[check]):
             apart = ~((runs[xl_] == runs[xh_ - 1]) & (runs[yl_] == runs[yh_ - 1]) & (label[xl_] == label[yl_]))
             i, j = _members(xl_[apart], xh_[apart], yl_[apart], yh_[apart])
-            good = near(i, j)
-            if good.any():
-                _unite(label, i[good], j[good])
-                runs = np.cumsum(np.concatenate(([0], label[1:] != label[:-1])))
+            yield i, j
+            runs = number()
         go = ~(few | together)
         x, y, err = x[go], y[go], err[go]
         if not len(x):
@@ -404,7 +526,6 @@ def _walk(left: np.ndarray, right: np.ndarray | None, budget: int, near: Callabl
                 ok &= x != y
             found.append((cx[ok], cy[ok], err[ok] + np.int8(p != q)))
         stack.append((depth + 1, *(np.concatenate(k) for k in zip(*found, strict=True))))
-    return label
 
 
 def _pieces(xl: np.ndarray, xh: np.ndarray, yl: np.ndarray, yh: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
