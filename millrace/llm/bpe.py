@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import tiktoken
+from tokenizers import Tokenizer
 
 #: The vocabulary of byte_bpe_50k.json as ranks: the same ids, several times as fast.
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: The fast library fails on white space of a million characters; texts with runs of so many take the other.
+LONG_RUN = 250_000
 
 
 @lru_cache(maxsize=2)
@@ -20,7 +24,23 @@ def encoder(path: str) -> Callable[[str | None], bytes]:
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     encode = tiktoken.Encoding("given", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    return lambda text: np.array(encode(text), "<u4").tobytes() if text else b""
+
+    def ids(text: str | None) -> bytes:
+        if not text:
+            return b""
+        if len(text) >= LONG_RUN and any(m.end() - m.start() >= LONG_RUN for m in re.finditer(r"\s+", text)):
+            return np.array(_other(path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(encode(text), "<u4").tobytes()
+
+    return ids
+
+
+@lru_cache(maxsize=2)
+def _other(path: str) -> Tokenizer:
+    """The vocabulary's JSON file, which lies beside its ranks; markers in a text are plain text here too."""
+    tokenizer = Tokenizer.from_file(path.removesuffix(".tiktoken") + ".json")
+    tokenizer.encode_special_tokens = True
+    return tokenizer
 
 
 def vocabulary_path() -> str:

@@ -79,3 +79,9 @@ def test_best_fit_keeps_few_windows_open():
     assert [p[0] for p in packer.done] == [1, 2] and sorted(w[0] for w in packer.open) == [5, 6]
     packer.add(4, 6, 0, bytes(24))  # fits nowhere: tops the fullest up, the rest joins the other
     assert [p[:3] for p in packer.done[2:]] == [(0, 0, 6), (4, 0, 4)] and [w[0] for w in packer.open] == [7]
+
+
+def test_very_long_white_space(plain):
+    encode = bpe.encoder(bpe.vocabulary_path())
+    for text in ("a" + " " * 1_000_001 + "b", "a <|endoftext|>" + "\n" * 1_200_000 + "b  c", " " * (bpe.LONG_RUN - 1) + "x", " x" * bpe.LONG_RUN):
+        assert encode(text) == plain(text)
