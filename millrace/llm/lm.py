@@ -15,7 +15,7 @@ joined with the counts, so no task holds the vocabulary.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -39,9 +39,9 @@ CLASSES, MEMBERS, SHAPES = 32, 64, 8
 OWN = CLASSES * MEMBERS
 #: Hidden units; steps of a window and lanes in training; the same in scoring, and tokens scored at a time.
 HIDDEN, STEPS, TRAIN_LANES, SCORE_STEPS, LANES, BATCH = 16, 32, 64, 128, 256, 3_000_000
-#: Rounds; each trains on its share of all training documents.  Of a document every
-#: THIN-th stretch of STRETCH tokens is used, from an offset that its id gives.
-ROUNDS, THIN, STRETCH, RATE = 2, 8, 64, 0.02
+#: Rounds, each of which trains on its share of all training documents; the least that
+#: all lanes hold before they are read on; the learning rate.
+ROUNDS, AHEAD, RATE = 2, 1024, 0.02
 #: Pieces of the weights and groups of tasks when the copies are averaged.
 PIECES, GROUPS = 8, 64
 
@@ -205,20 +205,49 @@ class Net:
 
 
 class Trainer:
-    """Adam on one copy of the weights."""
+    """Adam on one copy of the weights; texts lie end to end on lanes that are read whole."""
 
     def __init__(self, flat: np.ndarray):
         self.net, self.grad = Net(flat.copy()), Net(np.zeros_like(flat))
         self.mean, self.square, self.steps = np.zeros_like(flat), np.zeros_like(flat), 0
-
-    def train(self, texts: list[np.ndarray], heads: list[int]) -> None:
-        """One pass over token stretches; ``heads`` are the tokens before them."""
-        lanes = Lanes([len(t) for t in texts], TRAIN_LANES)
-        tokens, before = np.concatenate(texts), np.concatenate([np.concatenate(([h], t[:-1])) for h, t in zip(heads, texts, strict=True)])
-        h = np.zeros((lanes.count, HIDDEN), np.float32)
-        for at, keep, alive in lanes.windows(STEPS):
-            h = self.net.learn(before[at], keep, tokens[at], alive, h[: at.shape[1]], self.grad)
+        self.held, self.load = [deque() for _ in range(TRAIN_LANES)], np.zeros(TRAIN_LANES, np.int64)
+        self.h = np.zeros((TRAIN_LANES, HIDDEN), np.float32)
+
+    def add(self, text: np.ndarray) -> None:
+        """Lay a text's tokens on the shortest lane; lanes that all reach far enough are read on."""
+        lane = int(self.load.argmin())
+        inside = np.arange(len(text)) > 0
+        self.held[lane].append(np.stack((text, np.concatenate(([0], text[:-1])), inside)).astype(np.int32))
+        self.load[lane] += len(text)
+        if (least := int(self.load.min())) >= AHEAD:
+            self.read(least // STEPS * STEPS)
+
+    def finish(self) -> None:
+        """Read what is left, to the end of the longest lane."""
+        while self.load.any():
+            self.read(min(int(self.load.max()), AHEAD))
+
+    def read(self, count: int) -> None:
+        """Train on the next ``count`` tokens of every lane in consecutive windows, the state carried on."""
+        order = np.argsort(-self.load, kind="stable")
+        loads = np.minimum(self.load[order], count)
+        rows = np.zeros((3, count, TRAIN_LANES), np.int32)
+        for k, lane in enumerate(order):
+            at, held = 0, self.held[lane]
+            while at < loads[k]:
+                part = held.popleft()
+                taken = part[:, : loads[k] - at]
+                rows[:, at : at + taken.shape[1], k] = taken
+                at += taken.shape[1]
+                if taken.shape[1] < part.shape[1]:
+                    held.appendleft(part[:, taken.shape[1] :])
+        h, alive, inside = self.h[order], (np.arange(count)[:, None] < loads).astype(np.float32), rows[2].astype(np.float32)
+        for low in range(0, count, STEPS):
+            at = np.s_[low : low + STEPS, : int((loads > low).sum())]
+            h[: at[1].stop] = self.net.learn(rows[1][at], inside[at], rows[0][at], alive[at], h[: at[1].stop], self.grad)
             self.step()
+        self.h[order] = h
+        self.load[order] -= loads
 
     def step(self) -> None:
         g, self.steps = self.grad.flat, self.steps + 1
@@ -344,20 +373,13 @@ def train(docs: DataFrame, lex: Lexicon) -> np.ndarray:
         given = context.broadcast(flat)
 
         def run(batches: Iterator[pa.RecordBatch], given=given) -> Iterator[pa.RecordBatch]:
-            trainer, tokens, texts, heads, held = Trainer(given.value), 0, [], [], 0
+            trainer, tokens = Trainer(given.value), 0
             for batch in batches:
-                for crc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                for text in batch.column(0):
                     ids = _tokens(shared.value, text.as_py())[0]
-                    for at in range(crc // 101 % THIN * STRETCH, len(ids), THIN * STRETCH):
-                        texts.append(ids[at : at + STRETCH])
-                        heads.append(int(ids[at - 1]) if at else 0)
-                        held += len(texts[-1])
-                if held >= 1 << 18:
-                    trainer.train(texts, heads)
-                    tokens, texts, heads, held = tokens + held, [], [], 0
-            if texts:
-                trainer.train(texts, heads)
-                tokens += held
+                    trainer.add(ids)
+                    tokens += len(ids)
+            trainer.finish()
             if tokens:
                 part = TaskContext.get().partitionId() % GROUPS
                 values = np.array_split(trainer.net.flat.astype(np.float64) * tokens, PIECES)
@@ -372,8 +394,7 @@ def train(docs: DataFrame, lex: Lexicon) -> np.ndarray:
             return pd.DataFrame({"piece": [rows["piece"].iloc[0]], "part": [0], "tokens": [rows["tokens"].sum()], "sums": [total.tobytes()]})
 
         kind = "piece long, part long, tokens double, sums binary"
-        crc = id_crc("doc_id").alias("crc")
-        mine = docs.where(F.pmod(F.floor(id_crc("doc_id") / 10), F.lit(ROUNDS)) == turn).select(crc, F.col("text").cast("string"))
+        mine = docs.where(F.pmod(F.floor(id_crc("doc_id") / 10), F.lit(ROUNDS)) == turn).select(F.col("text").cast("string"))
         summed = mine.mapInArrow(run, kind).groupBy("piece", "part").applyInPandas(add, kind).groupBy("piece").applyInPandas(add, kind)
         rows = sorted(summed.collect(), key=lambda r: r["piece"])
         if rows:

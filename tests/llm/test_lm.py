@@ -115,3 +115,31 @@ def test_odd_rows(docs):
     assert lm.score(table.limit(0)).count() == 0
     only = [i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0][:3]
     check(docs([(i, "nothing to learn from") for i in only]))
+
+
+def test_every_token_teaches_with_its_state(monkeypatch):
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(0, lm.OWN + 8, n).astype(np.int32) for n in [1, 5000, 3, 65, 64, 32, 31, 33] + [700] * 200]
+    trainer, seen = lm.Trainer(lm.Net.start(small_lexicon()).flat), []
+
+    def learn(self, before, keep, target, weight, h, grad):
+        # the state counts the tokens read of a text
+        out = h.copy()
+        for t in range(len(before)):
+            out = out * keep[t][:, None] + 1
+            seen.extend((int(n), int(x), int(y)) for n, x, y, w in zip(out[:, 0], before[t], target[t], weight[t], strict=True) if w)
+        return out
+
+    monkeypatch.setattr(lm.Net, "learn", learn)
+    for text in texts:
+        trainer.add(text)
+    trainer.finish()
+    want = [(k + 1, int(text[k - 1]) if k else 0, int(x)) for text in texts for k, x in enumerate(text)]
+    assert Counter(seen) == Counter(want)
+
+
+def test_short_documents_teach(docs):
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 10 and zlib.crc32(str(i).encode()) // 101 % 8][:40]
+    table = docs([(i, "only a few words") for i in ids])
+    lex = lm.lexicon(lm.count_words(table))
+    assert (lm.train(table, lex) != lm.Net.start(lex).flat).any()
