@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import caps, lengths, lm, mixing, neighbours, packing, pii, simhash, topk, warc
+from . import caps, fptree, lengths, lm, merkle, mixing, neighbours, packing, pii, simhash, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -111,3 +111,93 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op1_gated_lm")
 def op1_gated_lm(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score(_table(spark, folder, "documents"))
+
+
+OP11_SQL = r"""
+WITH folded AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS held FROM documents
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), sized AS (
+  SELECT r, doc_id, len(held) AS n, held FROM folded WHERE len(held) > 0
+), totals AS (
+  SELECT CAST(count(*) AS BIGINT) AS all_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM sized
+), counted AS (
+  SELECT r, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(held) AS term FROM sized) GROUP BY r, term
+), weighed AS (
+  SELECT term, CAST(floor(1000 * ln((2 * all_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, CAST(count(*) AS BIGINT) AS df FROM counted GROUP BY term), totals
+), scored AS (
+  SELECT a.item_id, s.r, any_value(s.doc_id) AS doc_id,
+         CAST(sum(w.w * ((1000000000 * c.tf) // (1000 * c.tf + 20 * (100 - 50 + (50 * s.n * t.all_docs) // t.all_terms)))) AS BIGINT) AS score
+  FROM asked a JOIN counted c ON a.term = c.term JOIN weighed w ON w.term = a.term JOIN sized s ON s.r = c.r, totals t
+  GROUP BY a.item_id, s.r
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 50
+"""
+
+
+@_query("op11_fp_tree", OP11_SQL)
+def op11_fp_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return fptree.rank(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+@_query("op12_levenshtein")
+def op12_levenshtein(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, folder, "labels")))
+
+
+def _op13_sql(levels: int = 8) -> str:
+    """The tree level by level; a tree of up to 8 ** ``levels`` leaves, and as many of trees."""
+    fields = " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "n_chars", "{text}"))
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = (
+        "xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)), lambda c, b: "
+        "list_reduce(range(8), lambda s, i: CASE WHEN s & 1 = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END, xor(c, b)), 4294967295), 4294967295)"
+    )
+    parts = [f"""
+WITH leaves AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, sha256({fields.format(text="text")}) AS leaf,
+         CASE WHEN {crc} % 3 = 0 THEN sha256({fields.format(text=lowered)}) END AS changed
+  FROM documents
+), t0 AS (
+  SELECT r, doc_id, lang, leaf, coalesce(changed, leaf) AS folded, '' AS proof,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p FROM leaves
+), n0 AS (
+  SELECT lang, p, leaf AS h, count(*) OVER (PARTITION BY lang) AS n FROM t0
+)"""]
+    step = """, runs{k} AS (
+  SELECT lang, p // 8 AS q, list(h ORDER BY p) AS hs, any_value(n) AS n FROM n{k} GROUP BY lang, p // 8
+), n{j} AS (
+  SELECT lang, q AS p, CASE WHEN n > 1 THEN sha256(array_to_string(hs, '')) ELSE hs[1] END AS h,
+         (any_value(n) OVER (PARTITION BY lang) + 7) // 8 AS n FROM runs{k}
+), t{j} AS (
+  SELECT t.* REPLACE (
+    CASE WHEN n > 1 THEN sha256(array_to_string(hs[:p % 8] || [folded] || hs[p % 8 + 2:], '')) ELSE folded END AS folded,
+    CASE WHEN n > 1 THEN proof || array_to_string(hs[:p % 8] || hs[p % 8 + 2:], '') ELSE proof END AS proof, p // 8 AS p)
+  FROM t{k} t JOIN runs{k} r ON t.lang IS NOT DISTINCT FROM r.lang AND t.p // 8 = r.q
+)"""
+    parts += [step.format(k=k, j=k + 1) for k in range(levels)]
+    j = levels + 1
+    parts.append(f""", n{j} AS (
+  SELECT '' AS lang, lang AS of_lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS p, h, count(*) OVER () AS n FROM n{levels}
+), t{j} AS (
+  SELECT r, doc_id, '' AS lang, leaf, folded, proof, o.p AS p, o.h AS subroot
+  FROM t{levels} t JOIN n{j} o ON t.lang IS NOT DISTINCT FROM o.of_lang
+)""")
+    parts += [step.format(k=k, j=k + 1) for k in range(j, j + levels)]
+    last = j + levels
+    parts.append(f"""
+SELECT doc_id, leaf, subroot, n.h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = n.h AS verified
+FROM t{last} t JOIN n{last} n ON t.lang = n.lang""")
+    return "".join(parts)
+
+
+@_query("op13_rank_manifest", _op13_sql())
+def op13_rank_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(_table(spark, folder, "documents"))
