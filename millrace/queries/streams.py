@@ -7,26 +7,29 @@ from pyspark.sql import functions as F
 from ..operators import lines
 from ..plans import staging
 from ..session import work_folder
-from ..streaming import edges, feeds
+from ..streaming import bursts, edges, feeds
 from .loading import FIELDS, at, nightly_sql, nightly_table, payloads
 from .registry import query
 
 DAY = 86400
 
 
-def drop_in_turn(df, order, path, parts=3):
-    """Write the rows as files that arrive one after the other in the given order."""
+def in_turn(df, order, path, parts=3):
+    """Write the rows in drops that arrive one after the other in the given order, each by all tasks."""
     low, high = df.agg(F.min(order), F.max(order)).first()
     step = (high - low) / parts
     for i in range(parts):
         after = F.col(order) >= F.lit(low + step * i)
         before = F.lit(True) if i == parts - 1 else F.col(order) < F.lit(low + step * (i + 1))
-        df.where(after & before).coalesce(1).write.mode("append").parquet(path)
+        df.where(after & before).write.mode("append").parquet(path)
+        yield i
 
 
-def file_stream(t, df, order, path, parts=3):
-    drop_in_turn(df, order, path, parts)
-    return t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+def work_off(t, df, order, base, handler, parts=3, where=None):
+    """Let the drops arrive; each is a batch of a run that starts where the last one stopped."""
+    for _ in in_turn(df, order, f"{base}/in", parts):
+        stream = t.spark.readStream.schema(df.schema).parquet(f"{base}/in")
+        feeds.run_available(where(stream) if where else stream, f"{base}/checkpoint", handler)
 
 
 _EDGES = """
@@ -55,8 +58,7 @@ def throttle_events(t):
 @query("throttle_stream", "R7 R2", _THROTTLED)
 def throttle_stream(t):
     base = work_folder(t.spark, "throttle")
-    stream = file_stream(t, slim_events(t), "event_id", f"{base}/in")
-    feeds.run_available(stream, f"{base}/checkpoint", feeds.throttle_stream(base, "user_id", "ts", DAY, "event_id"))
+    work_off(t, slim_events(t), "event_id", base, feeds.throttle_stream(base, "user_id", "ts", DAY, "event_id"))
     return t.spark.read.parquet(f"{base}/emitted").select("user_id", "event_id")
 
 
@@ -69,8 +71,7 @@ def ttl_lookup(t):
 @query("ttl_stream", "R9", _CACHED)
 def ttl_stream(t):
     base = work_folder(t.spark, "ttl")
-    stream = file_stream(t, slim_events(t), "event_id", f"{base}/in")
-    feeds.run_available(stream, f"{base}/checkpoint", feeds.ttl_stream(base, "user_id", "ts", "value", DAY, "event_id"))
+    work_off(t, slim_events(t), "event_id", base, feeds.ttl_stream(base, "user_id", "ts", "value", DAY, "event_id"))
     return t.spark.read.parquet(f"{base}/answered").select("event_id", "is_refresh", "cached_value")
 
 
@@ -80,17 +81,20 @@ def debounce_events(t):
     return edges.debounce(events, "user_id", "ts", DAY // 2, "event_id").select("user_id", "event_id")
 
 
-@query(
-    "debounce_stream",
-    "R8",
-    f"""SELECT q.user_id, q.event_id FROM ({_QUIET}) q JOIN events e USING (event_id)
-        WHERE e.ts + INTERVAL 12 HOUR <= date_trunc('millisecond', (SELECT max(ts) FROM events)) - INTERVAL 1 HOUR""",
-)
+@query("debounce_stream", "R8", _QUIET)
 def debounce_stream(t):
+    """The drops, then the closing row that ends all bursts; every run starts from the last one's checkpoint."""
     base = work_folder(t.spark, "debounce")
     events = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id")
-    stream = file_stream(t, events, "event_id", f"{base}/in")
-    feeds.debounce_stream(stream, "user_id", "ts", DAY // 2, "1 hour", f"{base}/out", f"{base}/checkpoint", "event_id")
+
+    def run():
+        stream = t.spark.readStream.schema(events.schema).parquet(f"{base}/in")
+        feeds.debounce_stream(stream, "user_id", "ts", DAY // 2, "1 hour", f"{base}/out", f"{base}/checkpoint", "event_id")
+
+    for _ in in_turn(events, "event_id", f"{base}/in"):
+        run()
+    bursts.closing_row(events, "ts", DAY // 2, 3600).write.mode("append").parquet(f"{base}/in")
+    run()
     return t.spark.read.schema(events.schema).parquet(f"{base}/out").select("user_id", "event_id")
 
 
@@ -108,22 +112,20 @@ def late_rows(t):
     base = work_folder(t.spark, "late")
     old = F.expr("ts - INTERVAL 20 DAYS")
     events = t.events.select("event_id", F.when(F.col("event_id") % 50 == 0, old).otherwise(F.col("ts")).alias("ts"))
-    stream = file_stream(t, events, "event_id", f"{base}/in")
-    feeds.run_available(stream, f"{base}/checkpoint", feeds.route_late(base, "ts", DAY))
+    work_off(t, events, "event_id", base, feeds.route_late(base, "ts", DAY))
     return t.spark.read.parquet(f"{base}/routed").select("event_id", F.col("late").cast("boolean").alias("late"))
 
 
-def staged_stream(t, base):
+def staged(t):
     rows = staging.shred_payload(payloads(t), "payload", FIELDS)
-    staged = staging.stage_records(rows, ["c_custkey", "item_no"], at())
-    return file_stream(t, staged, "stage_order", f"{base}/in")
+    return staging.stage_records(rows, ["c_custkey", "item_no"], at())
 
 
 @query("sweep_stream", "R1 R2 R3 M14 M18", nightly_sql("FULL"))
 def sweep_stream(t):
     base = work_folder(t.spark, "sweep")
     handler = feeds.sweep_queue(base, nightly_table(t), "SYNC", at())
-    feeds.run_available(staged_stream(t, base), f"{base}/checkpoint", handler)
+    work_off(t, staged(t), "stage_order", base, handler)
     nightly = feeds.nightly_table(t.spark, base, nightly_table(t))
     return nightly.select("integration_id", "first_name", "sex", "created_by", "updated_by")
 
@@ -137,7 +139,7 @@ def sweep_stream(t):
 def sweep_statuses(t):
     base = work_folder(t.spark, "sweep")
     handler = feeds.sweep_queue(base, nightly_table(t), "SYNC", at())
-    feeds.run_available(staged_stream(t, base), f"{base}/checkpoint", handler)
+    work_off(t, staged(t), "stage_order", base, handler)
     return t.spark.read.parquet(f"{base}/outcomes").groupBy("status").agg(F.count("*").alias("n"))
 
 
@@ -159,6 +161,10 @@ def judged_sql(source: str) -> str:
     SELECT event_id AS seq, CASE WHEN held = etag THEN 'skipped' ELSE 'processed' END AS outcome FROM p"""
 
 
+def wanted(items):
+    return feeds.only_endings(items, "name", [".xlsx", ".xlsm"])
+
+
 def no_errors(items):
     return items.withColumn("error", F.lit(None).cast("string"))
 
@@ -166,9 +172,7 @@ def no_errors(items):
 @query("change_feed", "R4 R5", judged_sql("SELECT * FROM events"))
 def change_feed(t):
     base = work_folder(t.spark, "feed")
-    stream = file_stream(t, changed_items(t), "seq", f"{base}/in")
-    wanted = feeds.only_endings(stream, "name", [".xlsx", ".xlsm"])
-    feeds.run_available(wanted, f"{base}/checkpoint", feeds.process_changes(base, no_errors, "seq"))
+    work_off(t, changed_items(t), "seq", base, feeds.process_changes(base, no_errors, "seq"), where=wanted)
     return t.spark.read.parquet(f"{base}/outcomes").select("seq", "outcome")
 
 
@@ -184,10 +188,10 @@ def change_feed_baseline(t):
     middle = items.agg(F.avg("seq")).first()[0]
     items.where(F.col("seq") < middle).write.parquet(f"{base}/in")
     stream = t.spark.readStream.schema(items.schema).parquet(f"{base}/in")
-    wanted = feeds.only_endings(stream, "name", [".xlsx", ".xlsm"])
-    feeds.warm_baseline(wanted, f"{base}/checkpoint")
+    stream = wanted(stream)
+    feeds.warm_baseline(stream, f"{base}/checkpoint")
     items.where(F.col("seq") >= middle).write.mode("append").parquet(f"{base}/in")
-    feeds.run_available(wanted, f"{base}/checkpoint", feeds.process_changes(base, no_errors, "seq"))
+    feeds.run_available(stream, f"{base}/checkpoint", feeds.process_changes(base, no_errors, "seq"))
     return t.spark.read.parquet(f"{base}/outcomes").select("seq", "outcome")
 
 
@@ -206,9 +210,7 @@ def change_feed_failures(t):
     def process(items):
         return items.withColumn("error", F.when(F.col("seq") % 11 == 3, "cannot read"))
 
-    stream = file_stream(t, changed_items(t), "seq", f"{base}/in", parts=1)
-    wanted = feeds.only_endings(stream, "name", [".xlsx", ".xlsm"])
-    feeds.run_available(wanted, f"{base}/checkpoint", feeds.process_changes(base, process, "seq"))
+    work_off(t, changed_items(t), "seq", base, feeds.process_changes(base, process, "seq"), 1, wanted)
     return t.spark.read.parquet(f"{base}/outcomes").select("seq", "outcome")
 
 

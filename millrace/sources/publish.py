@@ -1,7 +1,15 @@
-"""Versioned tables: write a new version beside the old ones, then switch."""
+"""Versioned tables: write a new version beside the old ones, then name it in a manifest.
+
+A version's rows are in a folder of their own that never changes.  What makes it a
+version is a small manifest that names the folder.  It is written last, and for a
+new stamp only if no other writer has done so, so readers see a version whole or not
+at all, and nothing is renamed, which object stores cannot do in one step.
+"""
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,23 +18,36 @@ from pyspark.sql import functions as F
 from . import storage
 
 
+def _manifests(base: str, logical: str) -> str:
+    return f"{base}/{logical}/_manifest"
+
+
 def versions(spark: SparkSession, base: str, logical: str) -> list[str]:
-    """Names of complete versions, newest first.
+    """Names of versions, newest first.
 
-    A version is complete once its commit marker exists, so a crashed or
-    half-written version is never seen.
+    A version is there once its manifest is, so a crashed or half-written version
+    is never seen.
     """
-    folder = f"{base}/{logical}"
-    names = [n for n in storage.child_folders(spark, folder) if n.startswith("v=")]
-    return [n for n in sorted(names, reverse=True) if storage.exists(spark, f"{folder}/{n}/_SUCCESS")]
+    names = storage.child_files(spark, _manifests(base, logical))
+    return sorted({n.rpartition(".")[0] for n in names if n.startswith("v=")}, reverse=True)
+
+
+def _newest(spark: SparkSession, base: str, logical: str, version: str) -> str | None:
+    """The manifest that counts for a version: the one with the highest edition."""
+    names = [n for n in storage.child_files(spark, _manifests(base, logical)) if n.rpartition(".")[0] == version]
+    return max(names, default=None)
+
+
+def read_version(spark: SparkSession, base: str, logical: str, version: str) -> DataFrame:
+    """The rows of a version as its newest manifest names them."""
+    text = storage.read_text(spark, f"{_manifests(base, logical)}/{_newest(spark, base, logical, version)}")
+    return spark.read.parquet(f"{base}/{logical}/{json.loads(text)['folder']}")
 
 
 def current(spark: SparkSession, base: str, logical: str) -> DataFrame | None:
-    """The newest complete version, or None before the first publish."""
+    """The newest version, or None before the first publish."""
     names = versions(spark, base, logical)
-    if not names:
-        return None
-    return spark.read.parquet(f"{base}/{logical}/{names[0]}")
+    return read_version(spark, base, logical, names[0]) if names else None
 
 
 def publish_version(
@@ -38,39 +59,58 @@ def publish_version(
     check: Callable[[DataFrame], None] | None = None,
     view: str | None = None,
 ) -> str:
-    """Write ``df`` under a name no reader looks at, check it, then make it version ``stamp``.
+    """Write ``df`` to a folder that no reader knows, check it, then make it version ``stamp``.
 
-    Readers see the old version until the rename.  If writing or ``check``
-    fails, what was written is removed and nothing changes.  ``retain`` keeps that
-    many newest versions; 0 keeps all.  Writing the same stamp again replaces it,
-    so a repeated micro-batch does no harm.  ``view`` names a temporary view that
-    is pointed at the new version.
+    If writing or ``check`` fails, what was written is removed and nothing changes.
+    ``retain`` keeps that many newest versions; 0 keeps all.  Publishing the same
+    stamp again adds an edition of it that replaces the one before, so a repeated
+    micro-batch does no harm; rows of the edition replaced stay until the next
+    version goes out, for readers that have begun.  Of writers that publish one
+    edition at the same time the first wins and the others go on to the next.
+    ``view`` names a temporary view that is pointed at the new version.
     """
     spark = df.sparkSession
-    path = f"{base}/{logical}/v={stamp}"
-    unseen = f"{base}/{logical}/_new/{stamp}"
+    folder = f"rows-{stamp}-{uuid.uuid4().hex}"
+    path = f"{base}/{logical}/{folder}"
     try:
-        df.write.mode("overwrite").parquet(unseen)
+        df.write.mode("errorifexists").parquet(path)
         if check:
-            check(spark.read.parquet(unseen))
-        storage.move_folder(spark, unseen, path)
+            check(spark.read.parquet(path))
     except Exception:
-        storage.delete_folder(spark, unseen)
+        storage.delete_folder(spark, path)
         raise
+    text = json.dumps({"folder": folder})
+    while True:
+        before = _newest(spark, base, logical, f"v={stamp}")
+        edition = 0 if before is None else int(before.rpartition(".")[2]) + 1
+        if storage.write_text(spark, f"{_manifests(base, logical)}/v={stamp}.{edition:06d}", text, replace=False):
+            break
     if view:
         spark.read.parquet(path).createOrReplaceTempView(view)
-    if retain:
-        for old in versions(spark, base, logical)[retain:]:
-            storage.delete_folder(spark, f"{base}/{logical}/{old}")
+    _forget(spark, base, logical, stamp, retain)
     return path
 
 
+def _forget(spark: SparkSession, base: str, logical: str, stamp: str, retain: int) -> None:
+    """Remove versions beyond ``retain``, and replaced editions of versions other than ``stamp``."""
+    kept = versions(spark, base, logical)
+    kept = set(kept[:retain] if retain else kept)
+    at = _manifests(base, logical)
+    for name in storage.child_files(spark, at):
+        version = name.rpartition(".")[0]
+        if not name.startswith("v=") or (version in kept and (version == f"v={stamp}" or name == _newest(spark, base, logical, version))):
+            continue
+        folder = json.loads(storage.read_text(spark, f"{at}/{name}"))["folder"]
+        storage.delete_folder(spark, f"{at}/{name}")
+        storage.delete_folder(spark, f"{base}/{logical}/{folder}")
+
+
 def version_rows(spark: SparkSession, base: str, logical: str) -> DataFrame:
     """Row count of each complete version and which one is current."""
     names = versions(spark, base, logical)
     out = None
     for i, name in enumerate(names):
-        row = spark.read.parquet(f"{base}/{logical}/{name}").agg(F.count("*").alias("row_count")).select(
+        row = read_version(spark, base, logical, name).agg(F.count("*").alias("row_count")).select(
             F.lit(name[2:]).alias("version"), "row_count", F.lit(i == 0).alias("is_current")
         )
         out = row if out is None else out.unionByName(row)

@@ -18,6 +18,43 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())
 
 
+def child_files(spark: SparkSession, path: str) -> list[str]:
+    fs, target = _fs(spark, path)
+    if not fs.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isFile())
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file whole, as UTF-8."""
+    fs, target = _fs(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str, replace: bool = True) -> bool:
+    """Write a small file; without ``replace`` an existing one stays and the answer is False.
+
+    The creation is the file system's own, so of several writers one creates it.
+    """
+    fs, target = _fs(spark, path)
+    fs.mkdirs(target.getParent())
+    try:
+        stream = fs.create(target, replace)
+    except Exception as error:
+        if not replace and fs.exists(target):
+            return False
+        raise error
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, target = _fs(spark, path)
     return fs.exists(target)

@@ -1,50 +1,47 @@
 """Streaming jobs: queue sweeper, change feed, throttle, debounce, live filter.
 
-State between micro-batches is a versioned table.  A batch reads what older
-batches left and writes its results and the keys it changed under its own
+State between micro-batches is kept in hash buckets (``buckets.BucketState``): a
+batch reads the buckets of its keys and writes them and its results under its own
 number, so a batch that is run again after a failure replaces its own output and
-changes nothing else.  Only changed keys are written; every so often they are
-folded into a full version.
+changes nothing else.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.groups import latest_per_key
 from ..plans import staging
 from ..session import cut_lineage
 from ..sources import publish
-from . import edges
-
-
-def stamp(batch_id: int) -> str:
-    return f"{batch_id:012d}"
+from . import bursts, edges
+from .changes import judge_versions
+from .buckets import BucketState, stamp
 
 
 def state_before(spark: SparkSession, base: str, name: str, batch_id: int) -> DataFrame | None:
-    """The state the given batch starts from."""
+    """The small table that the given batch starts from."""
     older = [v for v in publish.versions(spark, base, name) if v[2:] < stamp(batch_id)]
-    return spark.read.parquet(f"{base}/{name}/{older[0]}") if older else None
+    return publish.read_version(spark, base, name, older[0]) if older else None
 
 
 COMPACT_EVERY = 50
 
 
 def read_state(spark: SparkSession, base: str, name: str, batch_id: int, keys: Sequence[str]) -> DataFrame | None:
-    """State per key before a batch: the last full version and the changes since."""
+    """A small state before a batch, whole: the last full version and the changes since."""
     full = [v for v in publish.versions(spark, base, name) if v[2:] < stamp(batch_id)][:1]
     since = full[0] if full else ""
     changes = [v for v in publish.versions(spark, base, f"{name}_changes") if since < v and v[2:] < stamp(batch_id)]
-    paths = [f"{base}/{name}/{v}" for v in full] + [f"{base}/{name}_changes/{v}" for v in changes]
-    if not paths:
+    tables = [publish.read_version(spark, base, name, v) for v in full]
+    tables += [publish.read_version(spark, base, f"{name}_changes", v) for v in changes]
+    if not tables:
         return None
-    return latest_per_key(spark.read.parquet(*paths), keys, ["state_batch"])
+    return latest_per_key(reduce(DataFrame.unionByName, tables), keys, ["state_batch"])
 
 
 def write_state(changes: DataFrame, held: DataFrame | None, base: str, name: str, batch_id: int, keys: Sequence[str]) -> None:
@@ -53,7 +50,7 @@ def write_state(changes: DataFrame, held: DataFrame | None, base: str, name: str
     marked = changes.withColumn("state_batch", F.lit(batch_id).cast("bigint"))
     publish.publish_version(marked, base, f"{name}_changes", stamp(batch_id), retain=3 * COMPACT_EVERY)
     if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
-        written = spark.read.parquet(f"{base}/{name}_changes/v={stamp(batch_id)}")
+        written = publish.read_version(spark, base, f"{name}_changes", f"v={stamp(batch_id)}")
         whole = written if held is None else latest_per_key(held.unionByName(written), keys, ["state_batch"])
         publish.publish_version(whole, base, name, stamp(batch_id))
 
@@ -88,43 +85,39 @@ def run_every(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, i
     )
 
 
-def sweep_queue(base: str, first: DataFrame, user: str, at) -> Callable[[DataFrame, int], None]:
+def sweep_queue(base: str, first: DataFrame, user: str, at, rows: int | None = None) -> Callable[[DataFrame, int], None]:
     """Handler for NEW rows: settle each, merge the good ones, keep every outcome.
 
-    ``first`` is the export table before any batch.  A batch reads and writes only
-    the keys it names; ``nightly_table`` puts the whole table together.  Rows
+    ``first`` is the export table before any batch; it is dealt to hash buckets once.
+    A batch reads and writes the buckets that its keys fall into, each bucket by a
+    worker of its own; ``nightly_table`` puts the whole table together.  Rows
     without a key match nothing and are kept apart.  Outcomes are partitioned by
-    status, and a failed row never stops the batch.
+    status, and a failed row never stops the batch.  ``rows`` is a bucket's size.
     """
-    key = ["integration_id"]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        settled = cut_lineage(staging.settle(batch))
-        good = settled.where("status = 'SUCCESS'")
-        ids = good.where("id IS NOT NULL").select(F.col("id").alias("integration_id")).distinct()
-        held = read_state(spark, base, "nightly", batch_id, key)
-        known = first.join(ids, key, "left_semi")
-        if held is not None:
-            changed = held.join(ids, key, "left_semi").select(*first.columns)
-            known = known.join(held, key, "left_anti").unionByName(changed)
-        merged = staging.sync_nightly(known, good.where("id IS NOT NULL"), at, user)
-        write_state(merged, held, base, "nightly", batch_id, key)
+        state = BucketState(spark, base, "nightly", ["integration_id"], first, rows)
+        settled = staging.settle(batch)
+        path = f"{base}/outcomes/batch={stamp(batch_id)}"
+        settled.write.mode("overwrite").partitionBy("status").parquet(path)
+        good = spark.read.schema(settled.schema).parquet(path).where("status = 'SUCCESS'")
+        named = good.where("id IS NOT NULL")
+        held = state.of(named.select(F.col("id").alias("integration_id")), batch_id)
+        state.write(staging.sync_nightly(held, named, at, user), batch_id)
         lone = staging.sync_nightly(first.limit(0), good.where("id IS NULL"), at, user)
         lone.write.mode("overwrite").parquet(f"{base}/lone/batch={stamp(batch_id)}")
-        settled.write.mode("overwrite").partitionBy("status").parquet(f"{base}/outcomes/batch={stamp(batch_id)}")
 
     return handle
 
 
 def nightly_table(spark: SparkSession, base: str, first: DataFrame) -> DataFrame:
     """The export table after all batches of a sweep that started from ``first``."""
-    held = read_state(spark, base, "nightly", 2**62, ["integration_id"])
+    held = BucketState(spark, base, "nightly", ["integration_id"]).all()
     if held is None:
         return first
     lone = spark.read.schema(first.schema).parquet(f"{base}/lone")
-    kept = first.join(held.select("integration_id"), "integration_id", "left_anti").select(*first.columns)
-    return kept.unionByName(held.select(*first.columns)).unionByName(lone.select(*first.columns))
+    return held.select(*first.columns).unionByName(lone.select(*first.columns))
 
 
 def warm_baseline(stream: DataFrame, checkpoint: str) -> None:
@@ -136,25 +129,6 @@ def only_endings(items: DataFrame, column: str, endings: Sequence[str]) -> DataF
     return items.where(F.lower(column).rlike("(" + "|".join(e.replace(".", r"\.") for e in endings) + ")$"))
 
 
-def _judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Versions of each item in order, compared with the last one processed."""
-    item, etag, modified, begun = None, "", "", False
-    for pdf in batches:
-        outcomes = []
-        columns = [pdf[c].tolist() for c in ("item_id", "etag", "last_modified", "error", "held_etag", "held_modified")]
-        for i, e, m, error, held_etag, held_modified in zip(*columns):
-            if not begun or i != item:
-                item, etag, modified, begun = i, held_etag or "", held_modified or "", True
-            if (etag and e == etag) or (modified and m == modified):
-                outcomes.append("skipped")
-            elif error is not None:
-                outcomes.append("failed")
-            else:
-                outcomes.append("processed")
-                etag, modified = e or "", m or ""
-        yield pdf.drop(columns=["held_etag", "held_modified"]).assign(outcome=outcomes)
-
-
 def process_changes(
     base: str, process: Callable[[DataFrame], DataFrame], order: str
 ) -> Callable[[DataFrame, int], None]:
@@ -169,29 +143,23 @@ def process_changes(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        held = read_state(spark, base, "state", batch_id, ["item_id"])
+        state = BucketState(spark, base, "state", ["item_id"])
         retry = state_before(spark, base, "dead", batch_id)
         items = batch if retry is None else retry.select(*batch.columns).unionByName(batch)
         tried = process(items)
+        held = state.of(items, batch_id)
         if held is None:
             tried = tried.withColumns({c: F.lit(None).cast("string") for c in ("held_etag", "held_modified")})
         else:
-            tried = tried.join(
-                held.select("item_id", F.col("etag").alias("held_etag"), F.col("last_modified").alias("held_modified")),
-                "item_id", "left",
-            )
-        kept = [f for f in tried.schema.fields if not f.name.startswith("held_")]
-        judged = cut_lineage(
-            tried.repartition("item_id")
-            .sortWithinPartitions("item_id", order)
-            .mapInPandas(_judge, T.StructType([*kept, T.StructField("outcome", T.StringType())]))
-        )
+            known = held.select("item_id", F.col("etag").alias("held_etag"), F.col("last_modified").alias("held_modified"))
+            tried = tried.join(known, "item_id", "left")
+        path = f"{base}/outcomes/batch={stamp(batch_id)}"
+        judged = judge_versions(tried, order)
+        judged.write.mode("overwrite").parquet(path)
+        judged = spark.read.schema(judged.schema).parquet(path)
         done = judged.where("outcome = 'processed'").select("item_id", "etag", "last_modified", order)
-        last = latest_per_key(done, ["item_id"], [order]).drop(order)
-        failed = judged.where("outcome = 'failed'").select(*batch.columns)
-        write_state(last, held, base, "state", batch_id, ["item_id"])
-        publish.publish_version(failed, base, "dead", stamp(batch_id))
-        judged.write.mode("overwrite").parquet(f"{base}/outcomes/batch={stamp(batch_id)}")
+        state.write(latest_per_key(done, ["item_id"], [order]).drop(order), batch_id)
+        publish.publish_version(judged.where("outcome = 'failed'").select(*batch.columns), base, "dead", stamp(batch_id))
 
     return handle
 
@@ -200,9 +168,9 @@ def throttle_stream(base: str, key: str, ts: str, seconds: float, tie: str) -> C
     """Handler that lets an event through only after ``seconds`` since the key's last one."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        held = read_state(batch.sparkSession, base, "held", batch_id, [key])
-        marked = cut_lineage(edges.mark_edges(batch, key, ts, seconds, tie, held))
-        write_state(edges.held_until(marked, key, seconds), held, base, "held", batch_id, [key])
+        state = BucketState(batch.sparkSession, base, "held", [key])
+        marked = cut_lineage(edges.mark_edges(batch, key, ts, seconds, tie, state.of(batch, batch_id)))
+        state.write(edges.held_until(marked, key, seconds), batch_id)
         out = marked.where("is_edge").drop("is_edge", "edge_us")
         out.write.mode("overwrite").parquet(f"{base}/emitted/batch={stamp(batch_id)}")
 
@@ -218,7 +186,8 @@ def ttl_stream(base: str, key: str, ts: str, value: str, seconds: float, tie: st
     width = int(seconds * 1_000_000)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        held = read_state(batch.sparkSession, base, "cache", batch_id, [key])
+        state = BucketState(batch.sparkSession, base, "cache", [key])
+        held = state.of(batch, batch_id)
         limits = None if held is None else held.select(key, (F.col("edge_us") + width).alias("until_us"))
         marked = cut_lineage(edges.mark_edges(batch, key, ts, seconds, tie, limits))
         new = marked.where("is_edge").select(key, "edge_us", F.col(value).alias("cached_value"))
@@ -226,8 +195,8 @@ def ttl_stream(base: str, key: str, ts: str, value: str, seconds: float, tie: st
         fresh = every.withColumnsRenamed({key: "__k", "edge_us": "__e"})
         same = F.col(key).eqNullSafe(F.col("__k")) & (F.col("edge_us") == F.col("__e"))
         answered = marked.join(fresh, same).drop("__k", "__e", "edge_us").withColumnRenamed("is_edge", "is_refresh")
-        write_state(latest_per_key(new, [key], ["edge_us"]), held, base, "cache", batch_id, [key])
         answered.write.mode("overwrite").parquet(f"{base}/answered/batch={stamp(batch_id)}")
+        state.write(latest_per_key(new, [key], ["edge_us"]), batch_id)
 
     return handle
 
@@ -239,15 +208,22 @@ def debounce_stream(
 
     ``tie`` orders events of one time.  A burst that is open when the input ends
     stays in the query's state and comes out with the next run that moves the
-    watermark past it.
+    watermark past it; ``bursts.closing_row`` is an input that does so for all.
     """
-    quiet = edges.debounce_windows(stream.withWatermark(ts, delay), key, ts, seconds, tie)
-    query = (
-        quiet.writeStream.format("parquet").outputMode("append")
-        .option("path", out).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    conf = stream.sparkSession.conf
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(setting, None)
+    conf.set(setting, bursts.STORE)
+    try:
+        query = (
+            bursts.last_of_bursts(stream, key, ts, seconds, delay, tie)
+            .writeStream.format("parquet").outputMode("append")
+            .option("path", out).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    finally:
+        conf.unset(setting) if before is None else conf.set(setting, before)
 
 
 def route_late(base: str, ts: str, delay_seconds: float) -> Callable[[DataFrame, int], None]:
