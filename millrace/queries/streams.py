@@ -14,22 +14,23 @@ from .registry import query
 DAY = 86400
 
 
-def in_turn(df, order, path, parts=3):
-    """Write the rows in drops that arrive one after the other in the given order, each by all tasks."""
+def drop_in_turn(df, order, path, parts=3):
+    """Write the rows in drops that arrive one after the other in the given order; returns the files of a drop."""
     low, high = df.agg(F.min(order), F.max(order)).first()
     step = (high - low) / parts
+    files = df.rdd.getNumPartitions()
     for i in range(parts):
         after = F.col(order) >= F.lit(low + step * i)
         before = F.lit(True) if i == parts - 1 else F.col(order) < F.lit(low + step * (i + 1))
-        df.where(after & before).write.mode("append").parquet(path)
-        yield i
+        df.where(after & before).repartition(files).write.mode("append").parquet(path)
+    return files
 
 
 def work_off(t, df, order, base, handler, parts=3, where=None):
-    """Let the drops arrive; each is a batch of a run that starts where the last one stopped."""
-    for _ in in_turn(df, order, f"{base}/in", parts):
-        stream = t.spark.readStream.schema(df.schema).parquet(f"{base}/in")
-        feeds.run_available(where(stream) if where else stream, f"{base}/checkpoint", handler)
+    """Let the drops arrive and work them off, a drop in a batch."""
+    files = drop_in_turn(df, order, f"{base}/in", parts)
+    stream = t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/in")
+    feeds.run_available(where(stream) if where else stream, f"{base}/checkpoint", handler)
 
 
 _EDGES = """
@@ -83,18 +84,15 @@ def debounce_events(t):
 
 @query("debounce_stream", "R8", _QUIET)
 def debounce_stream(t):
-    """The drops, then the closing row that ends all bursts; every run starts from the last one's checkpoint."""
+    """The drops, then a run from the checkpoint with the closing row that ends all bursts."""
     base = work_folder(t.spark, "debounce")
     events = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id")
-
-    def run():
-        stream = t.spark.readStream.schema(events.schema).parquet(f"{base}/in")
-        feeds.debounce_stream(stream, "user_id", "ts", DAY // 2, "1 hour", f"{base}/out", f"{base}/checkpoint", "event_id")
-
-    for _ in in_turn(events, "event_id", f"{base}/in"):
-        run()
+    files = drop_in_turn(events, "event_id", f"{base}/in")
+    stream = t.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/in")
+    job = (stream, "user_id", "ts", DAY // 2, "1 hour", f"{base}/out", f"{base}/checkpoint", "event_id")
+    feeds.debounce_stream(*job)
     bursts.closing_row(events, "ts", DAY // 2, 3600).write.mode("append").parquet(f"{base}/in")
-    run()
+    feeds.debounce_stream(*job)
     return t.spark.read.schema(events.schema).parquet(f"{base}/out").select("user_id", "event_id")
 
 

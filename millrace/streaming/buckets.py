@@ -15,7 +15,7 @@ batch deals all rows to twice as many or more.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,6 +71,14 @@ class BucketState:
         total = self.first.count()
         self._commit(self.first, -1, max(1, -(-total // self.rows)), {})
 
+    def _named(self, changes: DataFrame, buckets: int) -> set[int]:
+        return {r[0] for r in changes.select(self._bucket(buckets)).distinct().collect()}  # buckets, not keys
+
+    def _joined(self, rows: DataFrame, changes: DataFrame, how: str) -> DataFrame:
+        named = changes.select(*[F.col(k).alias(f"__of_{k}") for k in self.keys]).distinct()
+        same = [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in self.keys]
+        return rows.join(named, same, how)
+
     def touched(self, changes: DataFrame, before: int) -> DataFrame | None:
         """The rows whose bucket some key of ``changes`` falls into; None before there is a state."""
         self.start()
@@ -82,36 +90,39 @@ class BucketState:
         held = self.touched(changes, before)
         return None if held is None else self._joined(held, changes, "left_semi")
 
-    def _joined(self, rows: DataFrame, changes: DataFrame, how: str) -> DataFrame:
-        named = changes.select(*[F.col(k).alias(f"__of_{k}") for k in self.keys]).distinct()
-        same = [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in self.keys]
-        return rows.join(named, same, how)
-
-    def _named(self, changes: DataFrame, buckets: int) -> set[int]:
-        return {r[0] for r in changes.select(self._bucket(buckets)).distinct().collect()}  # buckets, not keys
-
     def all(self, before: int = 2**62) -> DataFrame | None:
         self.start()
         manifest = self.manifest(before)
         return None if manifest is None else self._rows(manifest)
 
-    def write(self, changes: DataFrame, batch_id: int) -> None:
-        """Put ``changes`` (one row per key) in the place of the rows with their keys."""
+    def update(self, changes: DataFrame, merge: Callable[[DataFrame], DataFrame], batch_id: int) -> None:
+        """Write the buckets of the keys of ``changes`` as ``merge`` makes them from all their rows.
+
+        ``merge`` may only add or change rows whose keys are among those of ``changes``.
+        There must be a state.
+        """
         self.start()
         manifest = self.manifest(batch_id)
-        if manifest is None:
-            total = changes.count()
-            self._commit(changes, batch_id, max(1, -(-total // self.rows)), {})
-            return
-        buckets, held = manifest["buckets"], dict(manifest["held"])
+        buckets, held = manifest["buckets"], manifest["held"]
         total = sum(rows for _, rows in held.values())
         if total > 2 * self.rows * buckets:
-            buckets, held, named = -(-total // self.rows), {}, None
-        else:
-            named = self._named(changes, buckets)
-        kept = self._joined(self._rows(manifest, named), changes, "left_anti")
-        changed = kept.unionByName(changes.select(*kept.columns))
-        self._commit(changed, batch_id, buckets, {b: v for b, v in held.items() if named is not None and int(b) not in named})
+            self._commit(merge(self._rows(manifest)), batch_id, -(-total // self.rows), {})
+            return
+        named = self._named(changes, buckets)
+        others = {b: v for b, v in held.items() if int(b) not in named}
+        self._commit(merge(self._rows(manifest, named)), batch_id, buckets, others)
+
+    def write(self, changes: DataFrame, batch_id: int) -> None:
+        """Put ``changes`` (one row per key) in the place of the rows with their keys."""
+        self.start()
+        if self.manifest(batch_id) is None:
+            self._commit(changes, batch_id, max(1, -(-changes.count() // self.rows)), {})
+            return
+
+        def replaced(rows: DataFrame) -> DataFrame:
+            return self._joined(rows, changes, "left_anti").unionByName(changes.select(*rows.columns))
+
+        self.update(changes, replaced, batch_id)
 
     def _commit(self, rows: DataFrame, batch_id: int, buckets: int, held: dict) -> None:
         """Write whole buckets, then the manifest that names them."""

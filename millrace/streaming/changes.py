@@ -109,9 +109,10 @@ def _judge(starts: dict[int, Version], kept: list[str]):
             outcomes = []
             columns = [batch.column(c).to_pylist() for c in ("__part", "item_id", "etag", "last_modified", "error", "held_etag", "held_modified")]
             for p, i, e, m, error, held_etag, held_modified in zip(*columns, strict=True):
-                if not begun:
+                if not begun and p in starts:
                     item, held, begun = i, starts[p], True
-                elif i != item:
+                elif not begun or i != item:
+                    begun = True
                     item, held = i, (held_etag or "", held_modified or "")
                 if _matches(held, e, m):
                     outcomes.append("skipped")
@@ -143,13 +144,17 @@ def judge_versions(tried: DataFrame, order: str) -> DataFrame:
     texts = {c: F.col(c).cast("string") for c in ("item_id", "etag", "last_modified", "error", "held_etag", "held_modified")}
     ranged = tried.withColumns(texts).repartitionByRange("item_id", order).sortWithinPartitions("item_id", order)
     placed = cut_lineage(ranged.withColumn("__part", F.spark_partition_id()))
-    slim = placed.select("__part", "item_id", "etag", "last_modified", "error", "held_etag", "held_modified")
-    pieces = slim.mapInArrow(_pieces, PIECE).collect()  # two rows for each partition at most
-    starts, firsts = _starts(pieces), {r["part"]: r["item_id"] for r in pieces if r["first"]}
+    starts, firsts = {}, {}
+    if placed.rdd.getNumPartitions() > 1:
+        slim = placed.select("__part", "item_id", "etag", "last_modified", "error", "held_etag", "held_modified")
+        pieces = slim.mapInArrow(_pieces, PIECE).collect()  # two rows for each partition at most
+        starts, firsts = _starts(pieces), {r["part"]: r["item_id"] for r in pieces if r["first"]}
     kept = [f for f in placed.schema.fields if f.name not in ("held_etag", "held_modified")]
     ends = [T.StructField(n, T.StringType()) for n in ("outcome", "__end_etag", "__end_modified")]
     while True:
         judged = cut_lineage(placed.mapInArrow(_judge(starts, [f.name for f in kept]), T.StructType([*kept, *ends])))
+        if len(starts) < 2:
+            return judged.drop("__part", "__end_etag", "__end_modified")
         exact = {r["__part"]: r for r in judged.where("__end_etag IS NOT NULL").select("__part", "item_id", "__end_etag", "__end_modified").collect()}
         better = dict(starts)
         parts = sorted(exact)

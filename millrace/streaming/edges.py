@@ -251,7 +251,9 @@ def _starts(slim: DataFrame, kind: T.DataType, width: int) -> DataFrame:
         low, high, span = low >> FAN_BITS, high >> FAN_BITS, span << FAN_BITS
         joined = levels[-1].withColumn("__parent", F.shiftright("__slice", FAN_BITS)).repartition("__key", "__parent")
         ordered = joined.sortWithinPartitions("__key", "__parent", "__slice", "__entry")
-        levels.append(cut_lineage(ordered.mapInArrow(_compose(width, span), steps)))
+        levels.append(ordered.mapInArrow(_compose(width, span), steps))
+        if high - low >> FAN_BITS:
+            levels[-1] = cut_lineage(levels[-1])  # composed further, and handed down through
     starts = None
     for level in reversed(levels):
         parent = F.lit(0).cast("bigint") if starts is None else F.shiftright("__slice", FAN_BITS)

@@ -11,13 +11,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.groups import latest_per_key
 from ..plans import staging
 from ..session import cut_lineage
-from ..sources import publish
+from ..sources import publish, storage
 from . import bursts, edges
 from .changes import judge_versions
 from .buckets import BucketState, stamp
@@ -98,15 +98,21 @@ def sweep_queue(base: str, first: DataFrame, user: str, at, rows: int | None = N
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         state = BucketState(spark, base, "nightly", ["integration_id"], first, rows)
-        settled = staging.settle(batch)
+        settled, seen = staging.settle(batch), Observation()
         path = f"{base}/outcomes/batch={stamp(batch_id)}"
-        settled.write.mode("overwrite").partitionBy("status").parquet(path)
-        good = spark.read.schema(settled.schema).parquet(path).where("status = 'SUCCESS'")
-        named = good.where("id IS NOT NULL")
-        held = state.of(named.select(F.col("id").alias("integration_id")), batch_id)
-        state.write(staging.sync_nightly(held, named, at, user), batch_id)
-        lone = staging.sync_nightly(first.limit(0), good.where("id IS NULL"), at, user)
-        lone.write.mode("overwrite").parquet(f"{base}/lone/batch={stamp(batch_id)}")
+        good = F.col("status") == "SUCCESS"
+        counted = settled.observe(
+            seen, F.count_if(good & F.col("id").isNotNull()).alias("named"), F.count_if(good & F.col("id").isNull()).alias("lone")
+        )
+        counted.write.mode("overwrite").partitionBy("status").parquet(path)
+        kept = spark.read.schema(settled.schema).parquet(path).where(good)
+        if seen.get.get("named"):
+            named = kept.where("id IS NOT NULL")
+            keys = named.select(F.col("id").alias("integration_id"))
+            state.update(keys, lambda held: staging.sync_nightly(held, named, at, user), batch_id)
+        if seen.get.get("lone"):
+            lone = staging.sync_nightly(first.limit(0), kept.where("id IS NULL"), at, user)
+            lone.write.mode("overwrite").parquet(f"{base}/lone/batch={stamp(batch_id)}")
 
     return handle
 
@@ -116,6 +122,8 @@ def nightly_table(spark: SparkSession, base: str, first: DataFrame) -> DataFrame
     held = BucketState(spark, base, "nightly", ["integration_id"]).all()
     if held is None:
         return first
+    if not storage.child_folders(spark, f"{base}/lone"):
+        return held.select(*first.columns)
     lone = spark.read.schema(first.schema).parquet(f"{base}/lone")
     return held.select(*first.columns).unionByName(lone.select(*first.columns))
 
@@ -153,13 +161,14 @@ def process_changes(
         else:
             known = held.select("item_id", F.col("etag").alias("held_etag"), F.col("last_modified").alias("held_modified"))
             tried = tried.join(known, "item_id", "left")
-        path = f"{base}/outcomes/batch={stamp(batch_id)}"
-        judged = judge_versions(tried, order)
-        judged.write.mode("overwrite").parquet(path)
-        judged = spark.read.schema(judged.schema).parquet(path)
-        done = judged.where("outcome = 'processed'").select("item_id", "etag", "last_modified", order)
-        state.write(latest_per_key(done, ["item_id"], [order]).drop(order), batch_id)
-        publish.publish_version(judged.where("outcome = 'failed'").select(*batch.columns), base, "dead", stamp(batch_id))
+        judged, seen = judge_versions(tried, order), Observation()
+        counts = [F.count_if(F.col("outcome") == o).alias(o) for o in ("processed", "failed")]
+        judged.observe(seen, *counts).write.mode("overwrite").parquet(f"{base}/outcomes/batch={stamp(batch_id)}")
+        if seen.get.get("processed"):
+            done = judged.where("outcome = 'processed'").select("item_id", "etag", "last_modified", order)
+            state.write(latest_per_key(done, ["item_id"], [order]).drop(order), batch_id)
+        if seen.get.get("failed") or retry is not None:
+            publish.publish_version(judged.where("outcome = 'failed'").select(*batch.columns), base, "dead", stamp(batch_id))
 
     return handle
 
