@@ -12,15 +12,20 @@ gives m links and not m * m / 2.
 
 Two operators use this.  ``near_duplicates`` links 64-bit fingerprints that differ in
 a few bits.  ``similar_documents`` is for a stated similarity of shingle sets: its
-fingerprints have 256 bits, of which each of twelve slices has a trie of its own.
-What comes close in any slice is a candidate if all bits allow it; a candidate is a
-link only if the shingle sets themselves are similar enough.
+fingerprints have several words, cut into slices with a trie each, and the width and
+number of slices follow the number of texts (``slice_plan``), so that a text meets
+about as many unrelated ones at any size.  What comes close in a slice is a candidate
+if the bits allow it, and a link only if the shingle sets are similar enough.  Neither
+leaves a task as a pair: the first walk names the members that have a candidate, the
+second has their shingle sets at hand and unites what it has verified in place.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -46,8 +51,11 @@ CHUNK = 200_000
 FEW = 16
 #: Member pairs compared at a time.
 AT_ONCE = 2_000_000
-#: Words of a wide fingerprint; its slices, their bits and the bits in which they may differ.
-WIDE, SLICES, SLICE_BITS, SLICE_BUDGET = 4, 12, 21, 3
+#: Words of a wide fingerprint at least (as many least hashes are kept), and bits in which slices may differ.
+WIDE, SLICE_BUDGET = 4, 3
+#: Unrelated texts that come close to a text in any slice, on average at most; the share
+#: of pairs at the threshold that come close in none; members of a group on average at most.
+MEETINGS, MISSED, GROUP = 4000, 1e-4, 100_000
 #: A candidate's bits may differ by so many standard deviations more than the mean of a
 #: pair at the threshold, which is computed exactly for sets of up to EXACT shingles.
 SIGMAS, EXACT = 4, 64
@@ -80,24 +88,24 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(sums * 2 > total).tobytes(), "big")
 
 
-def wide_sketch(text: str | None, shingle: int = 5, seed: int = 42) -> tuple[bytes, int, list[int]]:
-    """256 majority bits over a text's distinct shingles, their number, and ``WIDE`` least hashes.
+def wide_sketch(text: str | None, shingle: int = 5, seed: int = 42, wide: int = WIDE) -> tuple[bytes, int, list[int]]:
+    """Majority bits over a text's distinct shingles, their number, and ``WIDE`` least hashes.
 
-    The bits are ``WIDE`` big-endian words, each of which mixes the shingle hashes
-    anew; the least hashes are those of each mix.  No words: all zero.
+    The bits are ``wide`` big-endian words, each of which mixes the shingle hashes
+    anew; the least hashes are those of the first mixes.  No words: all zero.
     """
     hashes = shingle_set(text, shingle, seed)
     if not len(hashes):
-        return bytes(8 * WIDE), 0, [0] * WIDE
-    sums, least = np.zeros(64 * WIDE, np.int64), np.full(WIDE, 2**64 - 1, np.uint64)
+        return bytes(8 * wide), 0, [0] * WIDE
+    sums, least = np.zeros(64 * wide, np.int64), np.full(wide, 2**64 - 1, np.uint64)
     for at in range(0, len(hashes), 16384):
-        block = hashes[at : at + 16384, None] ^ (_ODD * np.arange(1, WIDE + 1, dtype=np.uint64))
+        block = hashes[at : at + 16384, None] ^ (_ODD * np.arange(1, wide + 1, dtype=np.uint64))
         block = (block ^ (block >> np.uint64(31))) * _ODD
         block = (block ^ (block >> np.uint64(29))) * _ODD
         block ^= block >> np.uint64(32)
         least = np.minimum(least, block.min(axis=0))
         sums += np.unpackbits(block.astype(">u8").view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
-    return np.packbits(sums * 2 > len(hashes)).tobytes(), len(hashes), least.view(np.int64).tolist()
+    return np.packbits(sums * 2 > len(hashes)).tobytes(), len(hashes), least[:WIDE].view(np.int64).tolist()
 
 
 def shingle_set(text: str | None, shingle: int = 5, seed: int = 42) -> np.ndarray:
@@ -152,14 +160,15 @@ def similar_documents(docs: DataFrame, least: float = 0.8, shingle: int = 5, see
     Texts link where the Jaccard similarity of their shingle sets is ``least`` or more;
     every link is verified on the sets (as 64-bit hashes).  Wide fingerprints only find
     the candidates.  Of pairs at exactly 0.8 they find 99.99 %, of closer ones more; of
-    4 shingles against the same and one more, the worst case, 99.8 %.  Null ids, null
+    4 shingles against the same and one more, the worst case, 99 %.  Null ids, null
     and empty texts, repeats and empty tables as in ``near_duplicates``.
     """
-    limits = bit_limits(least)
+    plan = slice_plan(docs.select(F.approx_count_distinct("text")).first()[0], least)
+    limits = bit_limits(least, plan.wide)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = list(zip(*(wide_sketch(t.as_py(), shingle, seed) for t in batch.column(1)), strict=True)) or [(), (), ()]
+            made = list(zip(*(wide_sketch(t.as_py(), shingle, seed, plan.wide) for t in batch.column(1)), strict=True)) or [(), (), ()]
             columns = [pa.array(c, k) for c, k in zip(made, (pa.binary(), pa.int64(), pa.list_(pa.int64())), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], ["doc_id", "text_hash", "wide", "size", "least"])
 
@@ -173,7 +182,7 @@ def similar_documents(docs: DataFrame, least: float = 0.8, shingle: int = 5, see
     sure = similar_pairs(texts, head_pairs(nodes, limits, least), least, shingle, seed)
     roots = cut_lineage(components(sure))
     known = nodes.join(roots, F.col("node") == F.col("id"), "left").select("node", "wide", "size", F.coalesce("root", "node").alias("family"))
-    more = similar_pairs(texts, slice_pairs(cut_lineage(known), limits, least), least, shingle, seed)
+    more = slice_links(texts, cut_lineage(known), plan, least, shingle, seed)
     roots = components(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).union(more))
     joined = nodes.join(roots, F.col("node") == F.col("id"), "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
     joined = cut_lineage(joined)
@@ -182,13 +191,13 @@ def similar_documents(docs: DataFrame, least: float = 0.8, shingle: int = 5, see
     return marked.join(named, F.col("text_hash") == F.col("node")).select("doc_id", "text_hash", "component_id")
 
 
-def bit_limits(least: float) -> np.ndarray:
+def bit_limits(least: float, wide: int = WIDE) -> np.ndarray:
     """How many bits may differ, by the sizes of two shingle sets (beyond EXACT: EXACT + 1); -1: no such pair.
 
     Bits of a fingerprint are independent, so the differing ones are binomial; the
     share is that of a pair of these sizes with as little in common as ``least`` allows.
     """
-    bits, limits = 64 * WIDE, np.full((EXACT + 2, EXACT + 2), -1, np.int64)
+    bits, limits = 64 * wide, np.full((EXACT + 2, EXACT + 2), -1, np.int64)
     limits[0, 0] = 0
     chance = [np.array([math.comb(n, k) / 2**n for k in range(n + 1)]) for n in range(EXACT + 1)]
 
@@ -222,7 +231,9 @@ def _possible(limits: np.ndarray, least: float, wide: np.ndarray, size: np.ndarr
 
 
 def _wide_rows(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 8 * WIDE)
+    """Wide fingerprints as rows of bytes."""
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1 if rows else 8 * WIDE)
 
 
 def head_pairs(nodes: DataFrame, limits: np.ndarray, least: float) -> DataFrame:
@@ -254,9 +265,7 @@ def similar_pairs(texts: DataFrame, pairs: DataFrame, least: float, shingle: int
         for batch in batches:
             good = []
             for left, right in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(s.as_py(), np.uint64) for s in (left, right))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(common >= least * (len(x) + len(y) - common) - 1e-9)
+                good.append(_similar(*(np.frombuffer(s.as_py(), np.uint64) for s in (left, right)), least))
             take = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(take), batch.column(1).filter(take)], ["a", "b"])
 
@@ -288,71 +297,151 @@ def one_per_group(docs: DataFrame, found: DataFrame) -> DataFrame:
     return once.union(more).toDF(*docs.columns)
 
 
-def slice_pairs(nodes: DataFrame, limits: np.ndarray, least: float) -> DataFrame:
-    """Candidates ``a, b``, each once: nodes of different families that are close in a slice and possibly similar.
+@dataclass(frozen=True)
+class SlicePlan:
+    """Slices of a wide fingerprint: their bits and number, blocks of a slice and those of them that must agree."""
 
-    ``nodes`` has ``node, wide, size, family``.
-    """
+    bits: int
+    slices: int
+    blocks: int
+
+    @property
+    def wide(self) -> int:
+        """Words that hold all slices."""
+        return max(WIDE, -(-self.bits * self.slices // 64))
+
+    @property
+    def combinations(self) -> list[tuple[int, ...]]:
+        """Of two slices within the budget at least so many blocks agree: one of these choices does."""
+        return list(combinations(range(self.blocks), self.blocks - SLICE_BUDGET))
 
-    def slices(wide: np.ndarray) -> np.ndarray:
+    def masks(self) -> np.ndarray:
+        """The bits of each choice of blocks, in a slice that stands at the top of 64 bits."""
+        cuts = np.linspace(0, self.bits, self.blocks + 1).astype(int)
+        ones = [((1 << int(b - a)) - 1) << int(64 - b) for a, b in zip(cuts, cuts[1:], strict=False)]
+        return np.array([sum(ones[k] for k in choice) for choice in self.combinations], np.uint64)
+
+    def keys(self, wide: np.ndarray) -> np.ndarray:
         """The slices of wide fingerprints (rows of bytes), each at the top of 64 bits."""
-        flat = np.unpackbits(wide, axis=1)[:, : SLICES * SLICE_BITS].reshape(-1, SLICES, SLICE_BITS)
+        flat = np.unpackbits(wide, axis=1)[:, : self.slices * self.bits].reshape(-1, self.slices, self.bits)
         whole = np.zeros((*flat.shape[:2], 64), np.uint8)
-        whole[:, :, :SLICE_BITS] = flat
-        return np.packbits(whole, axis=2).view(">u8").reshape(-1, SLICES).astype(np.uint64)
+        whole[:, :, : self.bits] = flat
+        return np.packbits(whole, axis=2).view(">u8").reshape(-1, self.slices).astype(np.uint64)
+
+
+def slice_plan(n: int, least: float) -> SlicePlan:
+    """Slices for ``n`` texts: as narrow as unrelated meetings allow, as many as recall needs.
+
+    A bit differs for a pair at the threshold with the chance of its angle; for
+    unrelated texts every second one does.
+    """
+    share = math.acos(2 * least / (1 + least)) / math.pi
+    for bits in range(16, 61):
+        within = [math.comb(bits, k) for k in range(SLICE_BUDGET + 1)]
+        close = sum(c * share**k * (1 - share) ** (bits - k) for k, c in enumerate(within))
+        slices = math.ceil(math.log(MISSED) / math.log(1 - close))
+        if n * slices * sum(within) / 2**bits <= MEETINGS:
+            break
+    blocks = next((m for m in range(SLICE_BUDGET + 1, 8) if n / 2 ** (bits * (m - SLICE_BUDGET) // m) <= GROUP), 8)
+    return SlicePlan(bits, slices, blocks)
+
+
+#: Words of a fingerprint that go along with a slice, to tell candidates from chance.
+CHECKED = 2
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((SLICES, 1 << TOP_BITS), np.int64)
-        for batch in batches:
-            top = (slices(_wide_rows(batch.column(0))) >> np.uint64(64 - TOP_BITS)).astype(np.int64)
-            for k in range(SLICES):
-                counts[k] += np.bincount(top[:, k], minlength=1 << TOP_BITS)
-        k, prefix = np.nonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(prefix), pa.array(counts[k, prefix])], ["slice", "prefix", "n"])
-
-    counts = np.zeros((SLICES, 1 << TOP_BITS), np.int64)
-    counted = nodes.select("wide").mapInArrow(count, "slice long, prefix long, n long")
-    for row in counted.groupBy("slice", "prefix").agg(F.sum("n").alias("n")).collect():  # at most 12 * 4096
-        counts[row["slice"], row["prefix"]] = row["n"]
-    tops = [_top_pairs(c, SLICE_BUDGET, 2) for c in counts]
-    first_pair = np.cumsum([0] + [int(pair.max(initial=-1)) + 1 for _, _, pair, _ in tops])
+
+def slice_links(texts: DataFrame, nodes: DataFrame, plan: SlicePlan, least: float, shingle: int, seed: int) -> DataFrame:
+    """Links ``a, b`` that connect nodes of different families whose shingle sets are similar enough.
+
+    ``nodes`` has ``node, wide, size, family``; ``texts`` has ``text`` and ``text_hash``,
+    the node.  A group holds the nodes that agree in a choice of blocks of a slice.  A
+    group gives at most one row for each member, first those with a candidate, then
+    the link of each that was united with another.
+    """
+    masks, short, limits = plan.masks(), bit_limits(least, CHECKED), bit_limits(least, plan.wide)
+    columns = ["node", "key", "check", "size", "family"]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = slices(_wide_rows(batch.column(1)))
-            top = (keys >> np.uint64(64 - TOP_BITS)).astype(np.int64)
-            for k, (node_of, first, pair, side) in enumerate(tops):
-                for at in range(0, len(keys), 4096):
-                    rows, slots = _dealt(node_of[top[at : at + 4096, k]], first)
-                    take = pa.array(rows + at)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(pair[slots] + int(first_pair[k])), pa.array(np.full(len(rows), k, np.int8)), pa.array(side[slots]), *(c.take(take) for c in batch.columns)],
-                        ["pair", "slice", "side", "node", "wide", "size", "family"],
-                    )
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group = pa.Table.from_batches(list(batches))
-        wide, side = _wide_rows(group["wide"]), group["side"].to_numpy()
-        k, keys = group["slice"][0].as_py(), slices(wide)
-        order = np.lexsort((keys[:, k], side))
-        keys, whole = keys[order], wide[order].view(">u8").astype(np.uint64)
-        node, size, family = (group[c].to_numpy()[order] for c in ("node", "size", "family"))
-        label, left = np.unique(family, return_inverse=True)[1], int((side == 0).sum())
-        right = keys[left:, k] if left < len(keys) else None
-        for i, j in _meetings(keys[:left, k], right, SLICE_BUDGET, label, SLICE_BITS):
+        for whole in batches:
+            for at in range(0, whole.num_rows, 8192):
+                batch = whole.slice(at, 8192)
+                wide = _wide_rows(batch.column(1))
+                keys, check = plan.keys(wide), pa.array(map(bytes, wide[:, : 8 * CHECKED]), pa.binary())
+                for k in range(plan.slices):
+                    for c, mask in enumerate(masks):
+                        # a group's number mixes the slice, the choice of blocks, and their bits
+                        group = ((keys[:, k] & mask) ^ np.uint64(k * len(masks) + c)).view(np.int64)
+                        rows = [pa.array(group), batch.column(0), pa.array(keys[:, k].view(np.int64)), check, batch.column(2), batch.column(3)]
+                        yield pa.RecordBatch.from_arrays([*rows, pa.array(np.full(len(group), k * len(masks) + c, np.int32))], ["group", *columns, "choice"])
+
+    def members(table: pa.Table, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The order by key, and each member's family as a number."""
+        order = np.argsort(keys, kind="stable")
+        return order, np.unique(table["family"].to_numpy()[order], return_inverse=True)[1]
+
+    def close(keys: np.ndarray, label: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for i, j in _meetings(keys, None, SLICE_BUDGET, label, plan.bits):
             near = (i < j) & (label[i] != label[j])
             i, j = i[near], j[near]
-            near = np.bitwise_count(keys[i, k] ^ keys[j, k]) <= SLICE_BUDGET
-            i, j = i[near], j[near]
-            near = _possible(limits, least, whole, size, i, j)
+            near = np.bitwise_count(keys[i] ^ keys[j]) <= SLICE_BUDGET
+            yield i[near], j[near]
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
+        keys = table["key"].to_numpy().view(np.uint64)
+        order, label = members(table, keys)
+        words_, size = _wide_rows(table["check"])[order].view(">u8").astype(np.uint64), table["size"].to_numpy()[order]
+        has = np.zeros(len(order), bool)
+        for i, j in close(keys[order], label):
+            open_ = ~(has[i] & has[j])  # members that have a candidate need no other
+            i, j = i[open_], j[open_]
+            good = _possible(short, least, words_, size, i, j)
+            has[i[good]] = has[j[good]] = True
+        yield from table.select(["group", "choice", "node"]).take(pa.array(order[has])).to_batches()
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [shingle_set(t.as_py(), shingle, seed).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["of_node", "shingles"])
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
+        k, c = divmod(table["choice"][0].as_py(), len(masks))
+        wide = _wide_rows(table["wide"])
+        keys = plan.keys(wide)
+        order, label = members(table, keys[:, k])
+        keys, wide, size, node = keys[order], wide[order].view(">u8").astype(np.uint64), table["size"].to_numpy()[order], table["node"].to_numpy()[order]
+        shingles = [np.frombuffer(x, np.uint64) for x in table["shingles"].take(pa.array(order)).to_pylist()]
+        firsts = np.unique(label, return_index=True)[1]
+        label = firsts[label]  # the family's first member
+        for i, j in close(keys[:, k], label):
+            near = _possible(limits, least, wide, size, i, j)
+            # a pair is judged in the first group in which it meets
+            near[near] = (np.bitwise_count(keys[i[near], :k] ^ keys[j[near], :k]) > SLICE_BUDGET).all(axis=1)
+            near[near] = (((keys[i[near], k] ^ keys[j[near], k])[:, None] & masks[:c]) != 0).all(axis=1)
             i, j = i[near], j[near]
-            # a pair is named by the first slice in which it is close
-            first = (np.bitwise_count(keys[i, :k] ^ keys[j, :k]) > SLICE_BUDGET).all(axis=1)
-            if first.any():
-                yield pa.RecordBatch.from_arrays([pa.array(node[i[first]]), pa.array(node[j[first]])], ["a", "b"])
+            lot = np.argsort(i, kind="stable")
+            for a, b in zip(i[lot].tolist(), j[lot].tolist(), strict=True):
+                if label[a] != label[b] and _similar(shingles[a], shingles[b], least):
+                    yield pa.RecordBatch.from_arrays([pa.array([node[a]]), pa.array([node[b]])], ["a", "b"])
+                    low, high = sorted((label[a], label[b]))
+                    label[label == high] = low
+
+    row = "group long, node long, key long, check binary, size long, family long, choice int"
+    dealt = nodes.select("node", "wide", "size", "family").mapInArrow(deal, row)
+    found = cut_lineage(dealt.groupBy("group", "choice").applyInArrow(find, "group long, choice int, node long"))
+    needed = found.select("node").distinct()
+    held = texts.join(needed, F.col("text_hash") == F.col("node"), "left_semi").groupBy("text_hash").agg(F.any_value("text").alias("text"))
+    known = stored(held.mapInArrow(sets, "of_node long, shingles binary"), "shingles")
+    met = found.join(nodes.select(F.col("node").alias("same_node"), "wide", "size", "family"), F.col("node") == F.col("same_node"))
+    met = met.join(known, F.col("node") == F.col("of_node")).select("group", "choice", "node", "wide", "size", "family", "shingles")
+    return cut_lineage(met.groupBy("group", "choice").applyInArrow(unite, "a long, b long"))
+
 
-    dealt = nodes.select("node", "wide", "size", "family").mapInArrow(deal, "pair int, slice byte, side byte, node long, wide binary, size long, family long")
-    return dealt.groupBy("pair").applyInArrow(walk, "a long, b long")
+def _similar(x: np.ndarray, y: np.ndarray, least: float) -> bool:
+    """Whether two sorted sets have a Jaccard similarity of ``least`` or more; empty sets only with each other."""
+    common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(x) and len(y) else 0
+    return common >= least * (len(x) + len(y) - common) - 1e-9
 
 
 def _dealt(nodes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

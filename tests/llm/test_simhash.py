@@ -163,16 +163,83 @@ def test_links_are_decided_by_the_shingle_sets(docs):
     assert all(got[k + 1] == k + 1 for k, j in want.items() if j < 0.8)
 
 
-def test_candidates_of_the_tries_alone(docs, monkeypatch):
-    """Pairs that share no least hash come from the slices, each once."""
-    monkeypatch.setattr(simhash, "SUBTRIE", 15)
+def links(docs, rows, families=None):
+    """What the slices link, without the pairs of shared least hashes that come before."""
+    texts = simhash._texts(docs(rows))
+    plan = simhash.slice_plan(len(rows), 0.8)
+    spark = texts.sparkSession
+    made = {h: t for h, t in texts.select("text_hash", "text").collect()}
+    of = {r["text_hash"]: families[r["doc_id"]] for r in texts.collect()} if families else {}
+    nodes = [(h, *simhash.wide_sketch(t, wide=plan.wide)[:2], of.get(h, h)) for h, t in made.items()]
+    nodes = spark.createDataFrame([(h, bytearray(w), n, f) for h, w, n, f in nodes], "node long, wide binary, size long, family long")
+    ids = {r["text_hash"]: r["doc_id"] for r in texts.collect()}
+    found = simhash.slice_links(texts, nodes, plan, 0.8, 5, 42).collect()
+    return [tuple(sorted((ids[r["a"]], ids[r["b"]]))) for r in found]
+
+
+def test_links_of_the_tries_alone(docs):
+    """Pairs at exactly 0.8 come from the slices, each once; pairs of one family do not."""
     rows = []
-    for k in range(100):
+    for k in range(300):
         text = [f"m{k}x{i}" for i in range(104)]
         rows += [(2 * k, " ".join(text[:84])), (2 * k + 1, " ".join(text))]
-    made = [(k, *simhash.wide_sketch(t)[:2], k) for k, t in rows]
-    nodes = docs([]).sparkSession.createDataFrame([(k, bytearray(w), n, f) for k, w, n, f in made], "node long, wide binary, size long, family long")
-    found = [tuple(sorted(r)) for r in simhash.slice_pairs(nodes, simhash.bit_limits(0.8), 0.8).collect()]
-    assert len(found) == len(set(found)) and set(found) >= {(2 * k, 2 * k + 1) for k in range(100)}
-    together = nodes.withColumn("family", F.floor(F.col("node") / 2))
-    assert not {(2 * k, 2 * k + 1) for k in range(100)} & {tuple(sorted(r)) for r in simhash.slice_pairs(together, simhash.bit_limits(0.8), 0.8).collect()}
+    found = links(docs, rows)
+    want = {(2 * k, 2 * k + 1) for k in range(300)}
+    assert len(found) == len(set(found)) and set(found) <= want
+    assert len(found) >= 297  # recall at the threshold
+    assert links(docs, rows, {i: i // 2 for i, _ in rows}) == []
+
+
+def test_a_crowd_below_the_threshold_gives_no_row_per_pair(docs):
+    """Texts that are all candidates of each other: links are verified and united inside the walk."""
+    rng = np.random.default_rng(5)
+    base = [f"c{i}" for i in range(120)]
+    rows = []
+    for k in range(200):  # a third are copies with one word changed, the others too far from each other
+        text, at = list(base), rng.choice(120, 1 if k % 3 == 0 else 8, replace=False)
+        for i in at:
+            text[i] = f"x{k}y{i}"
+        rows.append((k, " ".join(text)))
+    found = links(docs, rows)
+    sets = {i: jaccard_set(t) for i, t in rows}
+    close = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8}
+    assert set(found) <= close and len(close) > 2000
+    groups = components_of(close)
+    assert components_of(found) == groups
+    assert len(found) <= 40 * len(rows)  # a link for each member of a group of the walk, not for each pair
+
+
+def jaccard_set(text, k=5):
+    w = text.encode().lower().split()
+    return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))}
+
+
+def components_of(pairs):
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        root[find(a)] = find(b)
+    groups = {}
+    for x in list(root):
+        groups.setdefault(find(x), set()).add(x)
+    return sorted(map(sorted, groups.values()))
+
+
+def test_meetings_by_chance_stay_flat():
+    """Random fingerprints meet about as many others in all slices at any size; the plan's slices widen with it."""
+    rng = np.random.default_rng(9)
+    met = {}
+    for n in (20_000, 40_000, 80_000, 160_000):
+        plan = simhash.slice_plan(n, 0.8)
+        keys = rng.integers(0, 2**plan.bits, 20_000, dtype=np.uint64)
+        mine = rng.integers(0, 2**plan.bits, 50, dtype=np.uint64)
+        share = np.mean([(np.bitwise_count(keys ^ x) <= simhash.SLICE_BUDGET).mean() for x in mine])
+        met[n] = share * n * plan.slices
+        assert n / 2 ** (plan.bits / plan.blocks) <= simhash.GROUP
+    assert max(met.values()) <= 1.2 * simhash.MEETINGS and simhash.slice_plan(160_000, 0.8).bits > simhash.slice_plan(20_000, 0.8).bits
+    assert simhash.slice_plan(10**10, 0.8).blocks > 4  # groups stay bounded
