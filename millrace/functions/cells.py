@@ -28,6 +28,21 @@ def text_number(text: Column, kind: str = "double") -> Column:
     return F.when(plain.rlike(NUMBER_TEXT), plain.try_cast(kind))
 
 
+def exact_double(text: Column) -> Column:
+    """Number in text as a double; null for a whole number that a double cannot hold as it is written."""
+    value = text_number(text)
+    whole = text_number(text, "decimal(38,0)")
+    plain = strip(F.replace(text, F.lit(","), F.lit("")))
+    changed = plain.rlike(r"^[+-]?\d+$") & (whole.isNull() | (value.try_cast("decimal(38,0)") != whole))
+    return F.when(~F.coalesce(changed, F.lit(False)), value)
+
+
+def whole_number(text: Column) -> Column:
+    """Whole number in text, exact to 38 digits; anything with a fraction or an exponent is null."""
+    plain = strip(F.replace(text, F.lit(","), F.lit("")))
+    return F.when(plain.rlike(r"^[+-]?\d+$"), plain.try_cast("decimal(38,0)"))
+
+
 def yes_no(text: Column) -> Column:
     """'Y' for a true word, 'N' for any other text."""
     return F.when(text.isNotNull(), F.when(F.lower(strip(text)).isin(*TRUE_WORDS, "y"), "Y").otherwise("N"))
@@ -38,13 +53,17 @@ def normalise_cell(text: Column, kind: str) -> Column:
 
     Null bytes go first and blank text is null for every type.  ``number`` may
     name a decimal type (``decimal(15,2)``); ``clob`` keeps its outer spaces.
+    ``number`` is a double, and null for long whole numbers that it would change;
+    ``whole`` holds them exactly, ``text`` as they are.
     """
     clean = without_null_bytes(text)
     clean = F.when(clean.rlike(r"\S"), clean)
     if kind == "boolean":
         return yes_no(clean)
     if kind == "number":
-        return text_number(clean)
+        return exact_double(clean)
+    if kind == "whole":
+        return whole_number(clean)
     if kind.startswith("decimal"):
         return text_number(clean, kind)
     if kind == "date":

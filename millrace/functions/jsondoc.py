@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import compute_once
+from ..session import compute_once, cut_lineage
 
 MEMBERS = "map<string,variant>"
 
@@ -148,6 +148,43 @@ def descendants(value: Column, kind: T.DataType, name: str) -> Column:
     return None
 
 
+def deep_descendants(df: DataFrame, doc: str, name: str, out: str = "found") -> DataFrame:
+    """``df`` with every member called ``name`` at any depth of VARIANT ``doc``, as an array of JSON texts.
+
+    For documents of unknown shape: a recursive query opens objects and arrays level
+    by level.  Members stand in order of their paths, a parent before what is in it;
+    VARIANT keeps the members of an object by name.  No such member gives an empty
+    array; rows without a document give null.
+    """
+    spark = df.sparkSession
+    rows = cut_lineage(df.withColumn("__row", F.monotonically_increasing_id()))
+    nested = "schema_of_variant({}) RLIKE '^(OBJECT|ARRAY)'"
+    limit = "spark.sql.cteRecursionRowLimit"
+    before = spark.conf.get(limit, None)
+    spark.conf.set(limit, "-1")  # the rows are those of the documents
+    try:
+        found = spark.sql(
+            f"""
+            WITH RECURSIVE walk(row_no, path, member, value) AS (
+              SELECT __row, CAST(array() AS array<string>), CAST(NULL AS string), __doc FROM {{docs}}
+              UNION ALL
+              SELECT row_no, array_append(path, coalesce(e.key, lpad(CAST(e.pos AS string), 10, '0'))), e.key, e.value
+              FROM walk, LATERAL variant_explode(walk.value) AS e WHERE {nested.format("walk.value")}
+            )
+            SELECT row_no AS __of, array_sort(collect_list(struct(path, to_json(value) AS text))) AS __found
+            FROM walk WHERE member = :name GROUP BY row_no
+            """,
+            args={"name": name},
+            docs=rows.select("__row", F.col(doc).alias("__doc")),
+        )
+        found = cut_lineage(found)
+    finally:
+        spark.conf.unset(limit) if before is None else spark.conf.set(limit, before)
+    joined = rows.join(found, F.col("__row") == F.col("__of"), "left")
+    texts = F.coalesce(F.transform("__found", lambda x: x["text"]), F.array().cast("array<string>"))
+    return joined.withColumn(out, F.when(F.col(doc).isNotNull(), texts)).drop("__row", "__of", "__found")
+
+
 def _text(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
         return F.to_json(value)
@@ -324,13 +361,10 @@ def _patch(base, patch, delete_nulls: bool):
     return out
 
 
-#: Marks the text of a number while it is carried through, so that no digit changes.
-_NUMBER = "\x00number:"
-_MARKED = re.compile(r'"\\u0000number:([^"]*)"')
-
+class _Number(str):
+    """A number as it is written, so that no digit changes."""
 
-def _carry(number: str) -> str:
-    return _NUMBER + number
+    __slots__ = ()
 
 
 def _refuse(constant: str):
@@ -338,22 +372,49 @@ def _refuse(constant: str):
 
 
 def _loads(text: str):
-    return json.loads(text, parse_float=_carry, parse_int=_carry, parse_constant=_refuse)
+    return json.loads(text, parse_float=_Number, parse_int=_Number, parse_constant=_refuse)
+
+
+def _quoted(text: str) -> str:
+    out = json.dumps(text, ensure_ascii=False)
+    # a lone surrogate cannot be sent as it is; its escape is JSON all the same
+    return out if out.isascii() or not _SURROGATE.search(out) else json.dumps(text)
+
+
+_SURROGATE = re.compile("[\ud800-\udfff]")
+_CONSTANTS = {None: "null", True: "true", False: "false"}
+
+
+def _dumps(value) -> str:
+    if isinstance(value, _Number):
+        return str(value)
+    if isinstance(value, str):
+        return _quoted(value)
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{_quoted(k)}:{_dumps(v)}" for k, v in value.items()) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(_dumps, value)) + "]"
+    return _CONSTANTS[value]
 
 
 def _patcher(delete_nulls: bool) -> Callable:
-    @F.pandas_udf("string")
-    def apply(base: pd.Series, patch: pd.Series) -> pd.Series:
+    @F.pandas_udf("result string, error string")
+    def apply(base: pd.Series, patch: pd.Series) -> pd.DataFrame:
         def one(b, p):
             if b is None or p is None:
-                return None
+                return None, None
+            sides = []
+            for name, text in (("document", b), ("patch", p)):
+                try:
+                    sides.append(_loads(text))
+                except (ValueError, RecursionError) as error:
+                    return None, f"{name}: {error or 'nested too deep'}"[:200]
             try:
-                merged = _patch(_loads(b), _loads(p), delete_nulls)
-            except ValueError:
-                return None
-            return _MARKED.sub(r"\1", json.dumps(merged, separators=(",", ":"), ensure_ascii=False))
+                return _dumps(_patch(*sides, delete_nulls)), None
+            except RecursionError:
+                return None, "nested too deep"
 
-        return pd.Series([one(b, p) for b, p in zip(base, patch)], dtype=object)
+        return pd.DataFrame([one(b, p) for b, p in zip(base, patch, strict=True)], columns=["result", "error"], dtype=object)
 
     return apply
 
@@ -363,14 +424,19 @@ def merge_patch(doc: Column, patch: Column) -> Column:
 
     Documents have unknown shapes and a typed parse cannot tell null from
     absent, so this runs as an Arrow-batched function.  Numbers keep their text;
-    null where either side is no JSON.
+    null where either side is no JSON (``merge_patch_checked`` says which and why).
     """
+    return _patcher(True)(doc, patch)["result"]
+
+
+def merge_patch_checked(doc: Column, patch: Column) -> Column:
+    """``result`` and ``error`` of a merge patch; one of them is null, both are for a null side."""
     return _patcher(True)(doc, patch)
 
 
 def deep_merge(doc: Column, other: Column) -> Column:
     """Like :func:`merge_patch`, but null is a value and nothing is deleted."""
-    return _patcher(False)(doc, other)
+    return _patcher(False)(doc, other)["result"]
 
 
 # ---- tables from documents -----------------------------------------------------------

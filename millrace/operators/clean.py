@@ -132,7 +132,7 @@ def cast_record(df: DataFrame, field_types: dict[str, str]) -> DataFrame:
         elif kind == "time":
             value = F.regexp_replace(text, "Z$", "")
         elif target == "bigint":
-            number = text.try_cast("double")
+            number = text.try_cast("decimal(38,18)")  # holds every long as it is written
             value = F.when(number == F.floor(number), number.try_cast("bigint"))
         elif kind == "datetime":
             zoned = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2")
@@ -182,13 +182,13 @@ def ledger_pattern() -> str:
 
 def money_text(value: Column) -> Column:
     """``-$1,234.56`` style."""
-    bare = F.translate(value, " $,-", "").cast("decimal(18,2)")
+    bare = F.translate(value, " $,-", "").try_cast("decimal(38,2)")
     sign = F.when(value.startswith("-"), "-").otherwise("")
     return F.concat(sign, F.lit("$"), F.format_number(bare, 2))
 
 
 def parse_ledger_lines(df: DataFrame, line: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Ten fields of each ledger line, and the lines that do not parse.
+    """Ten fields of each ledger line, and the lines that do not parse or hold an amount beyond 36 digits.
 
     One regular expression pass packs the groups with a unit separator and one
     split takes them apart.  Blank lines are skipped.  With ``strict`` the first
@@ -199,12 +199,13 @@ def parse_ledger_lines(df: DataFrame, line: str, strict: bool = False) -> tuple[
         F.col(line), ledger_pattern(), UNIT.join(f"${i}" for i in range(1, 11))
     )
     split = compute_once(lines, __f=F.split(packed, UNIT))
-    good = F.size("__f") == 10
+    money = [1, 4, 5, 6, 7, 8, 9]
+    amounts = [money_text(F.get("__f", F.lit(i))).isNotNull() for i in money]
+    good = (F.size("__f") == 10) & reduce(lambda a, b: a & b, amounts)
     if strict:
         message = F.concat(F.lit("could not parse line: "), F.col(line))
         split = split.withColumn("__f", F.when(good, F.col("__f")).otherwise(F.raise_error(message)))
     names = [h.lower().replace(" ", "_") for h in LEDGER_HEADER]
-    money = {1, 4, 5, 6, 7, 8, 9}
     fields = {
         n: money_text(F.get("__f", F.lit(i))) if i in money else strip(F.get("__f", F.lit(i)))
         for i, n in enumerate(names)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,10 +25,13 @@ def equi_join(
     return joined.drop(*[right[b] for _, b in pairs])
 
 
-def join_row_counts(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Rows before and after a join, without producing the joined rows.
+HOWS = ("inner", "left", "right", "outer")
+
 
-    Both sides shrink to a count per key first; null keys never match.
+def all_join_row_counts(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """``how, rows_before, rows_after, change`` for every kind of join, without producing joined rows.
+
+    Both sides shrink to a count per key once; null keys never match.
     """
     a = left.groupBy(*on).agg(F.count("*").alias("__a"))
     b = right.groupBy(*on).agg(F.count("*").alias("__b"))
@@ -39,11 +42,17 @@ def join_row_counts(left: DataFrame, right: DataFrame, on: Sequence[str], how: s
         "left": n * F.greatest(m, F.lit(1)),
         "right": F.greatest(n, F.lit(1)) * m,
         "outer": F.when(n * m > 0, n * m).otherwise(n + m),
-    }[how]
-    return both.agg(
-        F.coalesce(F.sum("__a"), F.lit(0)).alias("rows_before"),
-        F.coalesce(F.sum(rows), F.lit(0)).alias("rows_after"),
-    ).withColumn("change", F.col("rows_after") - F.col("rows_before"))
+    }
+    sums = both.agg(
+        F.coalesce(F.sum("__a"), F.lit(0)).alias("rows_before"), *[F.coalesce(F.sum(rows[how]), F.lit(0)).alias(how) for how in HOWS]
+    )
+    each = F.inline(F.array(*[F.struct(F.lit(how).alias("how"), F.col(how).alias("rows_after")) for how in HOWS]))
+    return sums.select("rows_before", each).select("how", "rows_before", "rows_after", (F.col("rows_after") - F.col("rows_before")).alias("change"))
+
+
+def join_row_counts(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Rows before and after a join, without producing the joined rows."""
+    return all_join_row_counts(left, right, on).where(F.col("how") == how).drop("how")
 
 
 def safe_merge(
@@ -53,6 +62,25 @@ def safe_merge(
     return left.join(right, list(on), how), join_row_counts(left, right, on, how)
 
 
+def observed_merge(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner"
+) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """The merged rows, and a function that says how the row count moved once they have been written.
+
+    Both counts are taken while the join runs, so nothing is read for them; the
+    function waits for the first job that uses all merged rows.
+    """
+    before, after = Observation(), Observation()
+    counted = left.observe(before, F.count(F.lit(1)).alias("rows"))
+    merged = counted.join(right, list(on), how).observe(after, F.count(F.lit(1)).alias("rows"))
+
+    def report() -> dict[str, int]:
+        n, m = before.get.get("rows", 0), after.get.get("rows", 0)
+        return {"rows_before": n, "rows_after": m, "change": m - n}
+
+    return merged, report
+
+
 def _split_lookup(df: DataFrame, keys: Sequence[str], hot: DataFrame, cold: DataFrame, how: str) -> DataFrame:
     """Look rows up by key: a bounded broadcast for hot keys, a plain join for the rest.
 

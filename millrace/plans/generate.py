@@ -132,7 +132,8 @@ def _owned(who: DataFrame, salt: str, category: str) -> DataFrame:
     so the second one only has to step to another type.
     """
     moved = choice(salt, F.col("demographic_id"), 10) < MOVED_TENTHS
-    rows = with_previous(who, ["demographic_id"], {"demographic_id": "before"}).withColumn("moved", moved)
+    # people come in order of their number, and so do their rows
+    rows = with_previous(who, ["demographic_id"], {"demographic_id": "before"}, placed=True).withColumn("moved", moved)
     rows = rows.where(~(F.col("moved") & F.col("before").isNull()))
     owner = F.when(F.col("moved"), F.col("before")).otherwise(F.col("demographic_id"))
     owner_has_own = ~(choice(salt, owner, 10) < MOVED_TENTHS)
@@ -144,7 +145,7 @@ def _owned(who: DataFrame, salt: str, category: str) -> DataFrame:
 
 
 def gen_phone(who: DataFrame) -> DataFrame:
-    owned = number_rows(_owned(who, "phone", "PHONE_TYPE"), ["row_id"], "phone_id", STARTS["phone"])
+    owned = number_rows(_owned(who, "phone", "PHONE_TYPE"), ["row_id"], "phone_id", STARTS["phone"], placed=True)
     number = F.concat(digits("area", F.col("row_id"), 3), F.lit("-"), digits("line", F.col("row_id"), 4))
     return owned.select(
         "phone_id", F.col("owner_id").alias("demographic_id"), number.alias("phone"), F.col("type_id").alias("phone_type_id")
@@ -152,7 +153,7 @@ def gen_phone(who: DataFrame) -> DataFrame:
 
 
 def gen_address(who: DataFrame) -> DataFrame:
-    owned = number_rows(_owned(who, "address", "ADDRESS_TYPE"), ["row_id"], "address_id", STARTS["address"])
+    owned = number_rows(_owned(who, "address", "ADDRESS_TYPE"), ["row_id"], "address_id", STARTS["address"], placed=True)
     k = F.col("row_id")
     return owned.select(
         "address_id",

@@ -606,3 +606,58 @@ def audit_columns(t):
         fresh.where("o_orderstatus = 'F'"), "SYNC", at("2024-06-01 10:00:00"), existing=True
     )
     return fresh.where("o_orderstatus <> 'F'").unionByName(changed).drop("o_orderstatus")
+
+
+@query(
+    "cast_record_exact",
+    "P13",
+    """SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 9007199254740993 + o_orderkey WHEN 1 THEN 1500 WHEN 2 THEN NULL ELSE NULL END AS amount,
+         CASE o_orderkey % 4 WHEN 2 THEN '9223372036854775808' WHEN 3 THEN o_orderkey || '.5' END AS amount__raw,
+         (o_orderkey % 4 > 1)::INTEGER AS cast_failures FROM orders""",
+)
+def cast_record_exact(t):
+    """Longs beyond 2 ** 53 stay as they are; what is no long is kept aside."""
+    k = F.col("o_orderkey")
+    text = (
+        F.when(k % 4 == 0, (F.lit(9007199254740993) + k).cast("string")).when(k % 4 == 1, "1.5e3")
+        .when(k % 4 == 2, "9223372036854775808").otherwise(F.concat(k.cast("string"), F.lit(".5")))
+    )
+    return clean.cast_record(t.orders.select("o_orderkey", text.alias("amount")), {"amount": "long"})
+
+
+@query(
+    "normalise_long_numbers",
+    "P11",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderkey % 3 = 1 THEN o_orderkey + 0.25::DOUBLE ELSE 1234567 END AS as_number,
+         CASE WHEN o_orderkey % 3 = 0 THEN '90071992547409' || lpad((o_orderkey % 100)::VARCHAR, 2, '0') || '12345678901' WHEN o_orderkey % 3 = 2 THEN '1234567' END AS as_whole,
+         CASE WHEN o_orderkey % 3 = 0 THEN '90071992547409' || lpad((o_orderkey % 100)::VARCHAR, 2, '0') || '12345678901' WHEN o_orderkey % 3 = 1 THEN o_orderkey || '.25' ELSE '1,234,567' END AS as_text
+       FROM orders""",
+)
+def normalise_long_numbers(t):
+    """A double never takes a whole number that it would change; the exact kinds keep it."""
+    k = F.col("o_orderkey")
+    long = F.concat(F.lit("90071992547409"), F.lpad((k % 100).cast("string"), 2, "0"), F.lit("12345678901"))
+    text = F.when(k % 3 == 0, long).when(k % 3 == 1, F.concat(k.cast("string"), F.lit(".25"))).otherwise("1,234,567")
+    rows = t.orders.select("o_orderkey", *[text.alias(c) for c in ("as_number", "as_whole", "as_text")])
+    out = clean.normalise_cells(rows, {"as_number": "number", "as_whole": "whole", "as_text": "string"})
+    return out.withColumn("as_whole", F.col("as_whole").cast("string"))
+
+
+@query(
+    "ledger_oversized",
+    "P18",
+    """SELECT l_orderkey, l_linenumber, count(*) AS n, CASE WHEN l_linenumber = 2 THEN 'rejected' ELSE 'parsed' END AS outcome
+       FROM lineitem WHERE l_linenumber < 4 GROUP BY ALL""",
+)
+def ledger_oversized(t):
+    """Amounts of 17 digits are amounts; those that no decimal holds reject their line and stop nothing."""
+    rows = t.lineitem.where("l_linenumber < 4")
+    amount = F.when(F.col("l_linenumber") == 1, "12345678901234567.00").when(F.col("l_linenumber") == 2, F.concat(F.repeat(F.lit("9"), F.lit(40)), F.lit(".00"))).otherwise("10.00")
+    day = F.lit("01/02/2024")
+    fields = [day, amount, day, F.lit("PAYMENT"), *[F.lit("1.00")] * 6]
+    line = F.concat_ws("\t", *fields)
+    parsed, rejects = clean.parse_ledger_lines(rows.select("l_orderkey", "l_linenumber", line.alias("line")), "line")
+    both = parsed.select("l_orderkey", "l_linenumber", F.lit("parsed").alias("outcome")).unionByName(
+        rejects.select("l_orderkey", "l_linenumber", F.lit("rejected").alias("outcome"))
+    )
+    return both.groupBy("l_orderkey", "l_linenumber", "outcome").agg(F.count("*").alias("n"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import jsondoc as js
+from ..functions import jsonrows
 from ..functions.names import flatten_columns
 from ..operators import groups
 from ..session import compute_once
@@ -734,3 +735,68 @@ def json_mergepatch_numbers(t):
     patch = F.concat(F.lit('{"b":'), k, F.lit('e400,"c":1.50}')).alias("patch")
     rows = t.spread("orders").select("o_orderkey", doc, patch)
     return rows.select("o_orderkey", js.merge_patch(F.col("doc"), F.col("patch")).alias("patched"))
+
+
+@query(
+    "json_mergepatch_odd",
+    "JS11",
+    r"""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN '{"a":1,"b":"\u0000number:5"}' WHEN 1 THEN '{"a":1,"\u0000number:x":2}'
+          WHEN 2 THEN '{"a":"\ud800","b":' || o_orderkey || '}' WHEN 3 THEN '{"a":1,"q\"\\":{"deep":["x"]}}' END AS patched,
+          o_orderkey % 5 = 4 AS refused FROM orders""",
+)
+def json_mergepatch_odd(t):
+    """Any character in names and values, an escaped lone surrogate, and a text that is no JSON, which is reported."""
+    k = F.col("o_orderkey") % 5
+    doc = F.when(k == 2, r'{"a":"\ud800"}').when(k == 4, '{"a":1').otherwise('{"a":1}').alias("doc")
+    patch = (
+        F.when(k == 0, r'{"b":"\u0000number:5"}').when(k == 1, r'{"\u0000number:x":2}')
+        .when(k == 3, r'{"q\"\\":{"deep":["x"],"gone":null}}').otherwise(F.concat(F.lit('{"b":'), "o_orderkey", F.lit("}"))).alias("patch")
+    )
+    rows = t.spread("orders").select("o_orderkey", doc, patch)
+    both = compute_once(rows, done=js.merge_patch_checked(F.col("doc"), F.col("patch")))
+    return both.select("o_orderkey", F.col("done.result").alias("patched"), F.col("done.error").startswith("document: ").alias("refused")).fillna({"refused": False})
+
+
+@query(
+    "json_deep_descendants",
+    "JS18",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN '[]' ELSE '["' || o_custkey || '","{' || '\\"y\\":[{' || '\\"z\\":5}]}","5","[1,{' || '\\"z\\":' || o_orderkey || '}]","' || o_orderkey || '","null"]' END AS found
+       FROM orders""",
+)
+def json_deep_descendants(t):
+    """Members called z at depths one to seven, inside objects, arrays and each other; a shape per document."""
+    deep = F.concat(
+        F.lit('{"a":{"b":[[{"c":{"d":[{"z":'), "o_custkey", F.lit('}]}}],3],"c":{"z":{"y":[{"z":5}]}}},"z":[1,{"z":'), "o_orderkey", F.lit('}],"zz":{"z":null}}')
+    )
+    doc = F.when(F.col("o_orderkey") % 4 == 3, F.lit('{"x":[{"y":"z"}]}')).otherwise(deep)
+    rows = t.spread("orders").select("o_orderkey", F.parse_json(doc).alias("doc"))
+    return js.deep_descendants(rows, "doc", "z").select("o_orderkey", F.to_json("found").alias("found"))
+
+
+@query(
+    "json_rows_function",
+    "X3 JS6",
+    """WITH f AS (SELECT l_orderkey, l_linenumber, min(row(l_partkey, l_suppkey, l_quantity)) AS r FROM lineitem GROUP BY 1, 2),
+       n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS e FROM f)
+       SELECT o_orderkey, e::INTEGER AS element_no, l_linenumber::BIGINT AS line, r[3] AS quantity, 'P' || r[1] AS part,
+         CASE WHEN l_linenumber % 2 = 0 THEN '{"n":' || l_linenumber || '}' END AS extra
+       FROM orders LEFT JOIN n ON l_orderkey = o_orderkey AND o_orderkey % 7 > 0""",
+)
+def json_rows_function(t):
+    """The lines of order documents by a table function called from SQL; orders without lines keep a row."""
+    line = F.struct(
+        F.col("l_linenumber").alias("no"), F.col("l_quantity").alias("qty"),
+        F.struct(F.concat(F.lit("P"), "l_partkey").alias("code")).alias("part"),
+        F.when(F.col("l_linenumber") % 2 == 0, F.struct(F.col("l_linenumber").alias("n"))).alias("extra"),
+    )
+    first = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.min_by(line, F.struct("l_partkey", "l_suppkey", "l_quantity")).alias("line"))
+    lines = first.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("line")).alias("lines"))
+    orders = t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 7 > 0, F.to_json(F.struct(F.struct("lines").alias("order")))).alias("doc")
+    )
+    jsonrows.register(t.spark)
+    return t.spark.sql(
+        "SELECT * FROM json_rows(TABLE({docs}) PARTITION BY (o_orderkey), '$.order.lines[*]', "
+        "'line bigint no, quantity double qty, part string part.code, extra string')",
+        docs=orders,
+    )

@@ -260,3 +260,16 @@ def csv_long_field(t):
     text = F.concat(F.lit("note,id\n"), long, F.lit(",k"), "s_suppkey", F.lit("\n"))
     rows = delimited.parse_csv_column(t.supplier.select("s_suppkey", text.alias("text")), "text", ["note", "id"])
     return rows.select("s_suppkey", "record_no", F.length("note").alias("note_length"), "id")
+
+
+@query(
+    "csv_column_unclosed",
+    "S8",
+    """SELECT c_custkey, 1::INTEGER AS record_no, c_custkey::VARCHAR AS id, 'open' || chr(10) || '5,z' || c_custkey AS note FROM customer
+       UNION ALL SELECT c_custkey, 0, 'x', '"' FROM customer WHERE false""",
+)
+def csv_column_unclosed(t):
+    """A quote that is never closed runs to the end of the text; no record appears that was not there."""
+    text = F.concat(F.lit("id,note\n"), "c_custkey", F.lit(',"open\n5,z'), "c_custkey")
+    rows = delimited.parse_csv_column(t.customer.select("c_custkey", text.alias("text")), "text", ["id", "note"])
+    return rows.select("c_custkey", F.col("record_no").cast("int").alias("record_no"), "id", "note")

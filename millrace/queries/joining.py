@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import groups, joins
+from ..session import work_folder
 from .registry import query
 
 
@@ -53,11 +54,26 @@ def safe_merge_report(t):
     right = t.supplier.where("s_acctbal > 0").select(F.col("s_suppkey").alias("k")).unionAll(
         t.supplier.where("s_nationkey < 5").select("s_suppkey")
     )
-    out = None
-    for how in ("inner", "left", "right", "outer"):
-        row = joins.safe_merge(left, right, ["k"], how)[1].select(F.lit(how).alias("how"), "*")
-        out = row if out is None else out.unionByName(row)
-    return out
+    return joins.all_join_row_counts(left, right, ["k"])
+
+
+@query(
+    "safe_merge_observed",
+    "J3 A14",
+    """SELECT how, rows_before, rows_after, rows_after - rows_before AS change FROM (
+         SELECT 'inner' AS how, (SELECT count(*) FROM orders) AS rows_before, (SELECT count(*) FROM orders JOIN customer ON o_custkey = c_custkey AND c_custkey % 3 > 0) AS rows_after
+         UNION ALL SELECT 'outer', (SELECT count(*) FROM orders), (SELECT count(*) FROM orders FULL JOIN (SELECT * FROM customer WHERE c_custkey % 3 > 0) ON o_custkey = c_custkey))""",
+)
+def safe_merge_observed(t):
+    """Merged rows are written once; what they count comes from the same job."""
+    left = t.orders.select(F.col("o_custkey").alias("k"), "o_orderkey")
+    right = t.customer.where("c_custkey % 3 > 0").select(F.col("c_custkey").alias("k"), "c_name")
+    rows = []
+    for how in ("inner", "outer"):
+        merged, report = joins.observed_merge(left, right, ["k"], how)
+        merged.write.parquet(work_folder(t.spark, "merged"))
+        rows.append((how, *report().values()))
+    return t.spark.createDataFrame(rows, "how string, rows_before long, rows_after long, change long")
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Sequence
 from functools import reduce
 
@@ -11,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..fixed_values import MAX_TEXT_LENGTH
 from ..functions.names import strip
+from . import quoted
 
 # Delimiters and line endings an export may use.
 DELIMITERS = {"comma": ",", "tab": "\t", "semicolon": ";", "pipe": "|", "caret": "^", "backquote": "`"}
@@ -25,15 +28,12 @@ def read_delimited(
 
     Columns are read as text, so a value that does not convert, or text longer
     than a column may hold, rejects its row instead of stopping the load.
-    Missing trailing fields are null.  Quoted fields may hold line ends; that
-    keeps a file in one split, so large inputs should be many files, or be read
-    with ``multi_line=False`` where no field holds a line end.
+    Missing trailing fields are null.  Quoted fields may hold line ends; files are
+    read in blocks all the same (``quoted.records``).  ``multi_line=False`` saves the
+    search for record borders where no field holds a line end.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    raw = spark.read.schema(schema).csv(
-        path, sep=delimiter, header=header, quote='"', escape='"', mode="PERMISSIVE", multiLine=multi_line,
-        ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True,
-    )
+    raw = read_rows(spark, path, schema, delimiter, header, multi_line, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
     typed: dict[str, Column] = {}
     reasons = []
     for name, kind in columns.items():
@@ -52,20 +52,37 @@ def read_delimited(
     )
 
 
+def read_rows(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, delimiter: str = ",", header: bool = True, multi_line: bool = True, **options
+) -> DataFrame:
+    """The fields of every record by the given schema; a header record of each file is left out."""
+    if not multi_line:
+        return spark.read.schema(schema).csv(path, sep=delimiter, header=header, quote='"', escape='"', mode="PERMISSIVE", **options)
+    records = quoted.records(spark, path)
+    kept = records.where(~quoted.is_header()) if header else records
+    return parse_records(kept, schema, delimiter, **options)
+
+
+def parse_records(records: DataFrame, schema: T.StructType, delimiter: str, **options) -> DataFrame:
+    """Columns of ``record``, one delimited record each; quoted fields may hold line ends."""
+    wanted = {"sep": delimiter, "quote": '"', "escape": '"', "mode": "PERMISSIVE", **options}
+    row = F.from_csv("record", _ddl(schema), {k: str(v) for k, v in wanted.items()})
+    return records.select(row.alias("row")).select("row.*")
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
 def append_load(df: DataFrame, path: str, filler: Sequence[str] = ()) -> None:
     """Append rows to a table, leaving out columns that were read only to be skipped."""
     df.drop(*filler).write.mode("append").parquet(path)
 
 
 def headers(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """First line of every matching file: one scan, reduced on the map side."""
-    lines = spark.read.option("pathGlobFilter", pattern).text(folder).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("place"),
-    )
-    return lines.where("start = 0").groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    """``header, files``: the first records that occur, quoted line ends included, and the files that begin with each."""
+    firsts = quoted.records(spark, folder, pattern).where(quoted.is_header())
+    return firsts.groupBy(F.col("record").alias("header")).agg(F.sort_array(F.collect_list("file")).alias("files"))
 
 
 def load_all_csvs(
@@ -74,22 +91,28 @@ def load_all_csvs(
 ) -> DataFrame:
     """Every matching file of a folder; the result has the union of all columns.
 
-    Files are grouped by header, so there is one scan per distinct header and
-    not one per file.
+    Files are grouped by header, one row for each distinct one, so there is one scan
+    per header and not one per file.  ``infer`` looks for the types of columns.
     """
-    groups: dict[str, list[str]] = {}
-    for row in headers(spark, folder, pattern).orderBy("file").collect():  # one row per file
-        groups.setdefault(row["header"], []).append(row["file"])
     frames = []
-    for _, files in sorted(groups.items()):
-        frames.append(
-            spark.read.csv(files, sep=delimiter, header=True, inferSchema=infer, quote='"', escape='"', multiLine=multi_line)
-        )
+    for row in headers(spark, folder, pattern).orderBy("header").collect():
+        if infer or not multi_line:
+            read = spark.read.csv(row["files"], sep=delimiter, header=True, inferSchema=infer, quote='"', escape='"', multiLine=multi_line)
+        else:
+            read = read_rows(spark, row["files"], _text_columns(row["header"], delimiter), delimiter)
+        frames.append(read)
     if not frames:
         raise FileNotFoundError(f"no file in {folder} matches {pattern}")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _text_columns(header: str, delimiter: str) -> T.StructType:
+    """A text column for each field of a header record; nameless and repeated ones get their place."""
+    found = next(csv.reader(io.StringIO(header, newline=""), delimiter=delimiter))
+    names = [n if n and n not in found[:k] else f"{n}{k}" if n else f"_c{k}" for k, n in enumerate(found)]
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
 def export_csv(
     df: DataFrame, path: str, delimiter: str = "comma", line_ending: str = "LF", mode: str = "overwrite"
 ) -> None:
@@ -106,18 +129,24 @@ def parse_csv_column(df: DataFrame, column: str, wanted: Sequence[str], delimite
 
     The first record names the fields; fields may be quoted and then hold
     delimiters, line ends and doubled quotes; carriage returns are dropped;
-    missing fields are empty text.
+    missing fields are empty text.  A quote that is never closed runs to the end of
+    the text.
     """
     text = F.replace(F.col(column), F.lit("\r"), F.lit(""))
     d = "\\" + delimiter
     # possessive and without alternatives per character: long fields neither recurse nor go back
-    record = r'(?:"[^"]*+"|[^"\n]++)++'
+    record = r'(?:"[^"]*+(?:"|\z)|[^"\n]++)++'
     records = F.regexp_extract_all(text, F.lit(record), F.lit(0))
-    field = rf'{d}("[^"]*+(?:""[^"]*+)*+"|[^{d}]*+)'
+    field = rf'{d}("[^"]*+(?:""[^"]*+)*+(?:"|\z)|[^{d}]*+)'
 
     def fields(line: Column) -> Column:
         parts = F.regexp_extract_all(F.concat(F.lit(delimiter), line), F.lit(field), F.lit(1))
-        inner = lambda p: F.replace(F.substr(p, F.lit(2), F.length(p) - 2), F.lit('""'), F.lit('"'))
+
+        def inner(p: Column) -> Column:
+            quotes = F.length(p) - F.length(F.replace(p, F.lit('"'), F.lit("")))
+            held = F.substr(p, F.lit(2), F.length(p) - F.when(quotes % 2 == 0, 2).otherwise(1))
+            return F.replace(held, F.lit('""'), F.lit('"'))
+
         return F.transform(parts, lambda p: F.when(p.startswith('"'), inner(p)).otherwise(p))
 
     split = df.withColumn("__records", F.transform(records, fields))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .delimited import load_all_csvs
+from .delimited import load_all_csvs, read_rows
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -21,8 +21,12 @@ def read_jsonl(spark: SparkSession, path: str, schema: str | None = None) -> Dat
 def read_fast(spark: SparkSession, path: str, schema: str | None = None, multi_line: bool = True) -> DataFrame:
     """Typed CSV with a header; types are inferred only when no schema is given.
 
-    ``multi_line=False`` lets Spark split files whose fields hold no line ends.
+    With a schema, files are read in blocks also where quoted fields hold line ends;
+    to infer types from such files Spark reads each in one task, unless
+    ``multi_line=False`` says that no field holds one.
     """
+    if schema and multi_line:
+        return read_rows(spark, path, T.StructType.fromDDL(schema))
     reader = spark.read.schema(schema) if schema else spark.read.option("inferSchema", True)
     return reader.csv(path, header=True, quote='"', escape='"', multiLine=multi_line)
 
