@@ -84,18 +84,30 @@ class Model:
         return np.divide(latent, size, out=np.zeros_like(latent), where=size > 0)
 
     def vote(self, rows: np.ndarray) -> np.ndarray:
-        """A score for each row of features; a row without features gets the prior."""
+        """A score for each row of features; a row without features gets the prior.
+
+        Of equally similar labelled vectors the one with the smaller doc_id votes.
+        """
         if not len(self.labels):
             return np.full(len(rows), self.prior)
         close = self.project(rows) @ self.vectors.T
         k = min(VOTERS, len(self.labels))
-        best = np.argpartition(-close, k - 1, axis=1)[:, :k]
+        best = _nearest(close, k)
         power = np.maximum(np.take_along_axis(close, best, axis=1), 0).astype(np.float64) ** POWER
         total = power.sum(axis=1)
         voted = (power * self.labels[best]).sum(axis=1) / np.where(total > 0, total, 1)
         return np.where(total > 0, voted, self.prior)
 
 
+def _nearest(close: np.ndarray, k: int) -> np.ndarray:
+    """The ``k`` columns with the largest values of each row, ties to the first; in no order."""
+    best = np.argpartition(-close, k - 1, axis=1)[:, :k]
+    least = np.take_along_axis(close, best, axis=1).min(axis=1, keepdims=True)
+    for row in np.flatnonzero((close >= least).sum(axis=1) > k):  # more than one choice
+        best[row] = np.argsort(-close[row], kind="stable")[:k]
+    return best
+
+
 def train(rows: np.ndarray, labels: np.ndarray, prior: float) -> Model:
     """Term weights from the sample's spread, and its leading singular vectors."""
     if not (rows > 0).any():
@@ -116,7 +128,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: i
     """A model from at most ``per_label`` documents of each label, none of them held out.
 
     The documents of a label are those whose ids have the smallest hashes.  A
-    document with several labels counts by the largest; null labels do not count.
+    document with several labels counts by the largest; null labels do not count.  An
+    id in several rows is one document, that of its smallest text (null before all).
     """
     known = (
         labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (F.pmod(id_crc("doc_id"), F.lit(3)) != 1))
@@ -128,6 +141,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: i
     sample = [known.where(F.col("label") == k).orderBy(*order).limit(per_label) for k in (0, 1)]
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     chosen = rows.join(F.broadcast(sample[0].union(sample[1])), F.col("doc_id") == F.col("labelled_id"))
+    # one row for each id before anything is made of it, so the bound is one of rows
+    least = F.min(F.struct("text")).alias("least")
+    chosen = chosen.groupBy("doc_id", "label").agg(least).select("doc_id", "label", "least.text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

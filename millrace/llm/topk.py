@@ -152,8 +152,9 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10) -> DataFrame:
     dealt = _packed(rows, CANDIDATES).select(
         F.col("dim").alias("of_dim"), F.pmod(F.xxhash64("block", "dim"), F.lit(lanes)).cast("int").alias("of_lane"), "ids", "columns"
     )
-    # queries lead, so that a task meets all candidate blocks of its lane for one query block in a row
-    met = asked.join(dealt, (F.col("dim") == F.col("of_dim")) & (F.col("lane") == F.col("of_lane")))
+    # queries lead, so that a task meets all candidate blocks of its lane for one query block in a row; merged,
+    # because Spark's estimate of the exploded side is a lane's share, and it would be broadcast whole
+    met = asked.hint("merge").join(dealt, (F.col("dim") == F.col("of_dim")) & (F.col("lane") == F.col("of_lane")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, Best] = {}

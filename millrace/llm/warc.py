@@ -208,11 +208,15 @@ def read(index: DataFrame) -> DataFrame:
     """``page_id, headers, payload`` of every indexed record, read from its frame.
 
     A frame is opened once for all its records that the index names; a task gets
-    whole frames.  A revisit has the empty payload it was written with.
+    whole frames, about ``READ`` bytes of them, or fewer where that leaves cores idle.
+    A revisit has the empty payload it was written with.
     """
     place = ["bundle", "frame", "frame_offset", "frame_bytes"]
+    n, total = index.select(*place).distinct().agg(F.count("*"), F.coalesce(F.sum("frame_bytes"), F.lit(0))).first()
+    tasks = max(1, -(-total // READ), min(n, index.sparkSession.sparkContext.defaultParallelism))
     at = F.struct("record_offset", "record_bytes", "page_id").alias("at")
     frames = index.select(*place, at).groupBy(*place).agg(F.collect_list("at").alias("records"))
+    frames = frames.repartition(tasks, "bundle", "frame_offset")  # a stated number, which adaptive execution keeps
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
