@@ -130,6 +130,35 @@ def upsert_person(person: DataFrame, staged: DataFrame, at: Column, user: str) -
     return snapshot, links
 
 
+def link_people(person: DataFrame, staged: DataFrame) -> DataFrame:
+    """The links of ``upsert_person`` alone, made from key columns only.
+
+    For child tables: no person row is built or merged, and only new people are
+    numbered, on rows of a few columns.  Kept in the shared folder, so that several
+    children can use the same links.
+    """
+    whole = F.col("id").isNotNull() & F.col("email_addr").isNotNull()
+    nothing = F.lit(None).cast("bigint")
+    seen = staged.where(whole).groupBy("id", "email_addr").agg(F.min("stage_order").alias("first_seen"))
+    held = person.select("id", "email_addr", "person_id")
+    known = cut_lineage(seen.join(held, ["id", "email_addr"], "left").withColumn("stage_order", nothing))
+    lone = staged.where(~whole).select("id", "email_addr", F.col("stage_order").alias("first_seen"), nothing.alias("person_id"), "stage_order")
+    fresh = known.where("person_id is null").unionByName(lone).drop("person_id")
+    top = person.agg(F.max(F.col("person_id").cast("bigint"))).first()[0]
+    start = FIRST_PERSON if top is None else max(FIRST_PERSON, top + 1)
+    numbered = number_rows(fresh, ["first_seen"], "n", start).withColumn("person_id", F.lpad(F.col("n").cast("string"), 9, "0"))
+    names = ["id", "email_addr", "person_id", "stage_order"]
+    return known.where("person_id is not null").select(*names).unionByName(numbered.select(*names))
+
+
+def merge_people(
+    person: DataFrame, phone: DataFrame, address: DataFrame, staged: DataFrame, at: Column, user: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """New snapshots of the three tables; people are matched and numbered once for all of them."""
+    snapshot, links = upsert_person(person, staged, at, user)
+    return snapshot, merge_phone(phone, staged, links, at, user), merge_address(address, staged, links, at, user)
+
+
 def _with_person(rows: DataFrame, links: DataFrame) -> DataFrame:
     keyed = links.where("stage_order is null").drop("stage_order")
     own = links.where("stage_order is not null").select("stage_order", "person_id")

@@ -220,14 +220,24 @@ def read_listed_columns(t):
     "SELECT count(*) AS row_count, true AS sorted_files FROM orders",
 )
 def sorted_export(t):
-    """Every written file is sorted by key: neighbours never step down."""
+    """Every written file is sorted by key: neighbours never step down.
+
+    The number of files follows the input.  Rows are compared within blocks of a file,
+    then the blocks' ends with each other.
+    """
     path = work_folder(t.spark, "sorted")
     slim = t.orders.select("o_orderkey", "o_custkey")
-    files.write_parquet(slim.repartitionByRange(4, "o_custkey").sortWithinPartitions("o_custkey"), path)
-    back = t.spark.read.parquet(path).select("o_custkey", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
-    before = F.lag("o_custkey").over(W.partitionBy("file").orderBy("place"))
-    steps = back.select((F.coalesce(before, F.col("o_custkey")) <= F.col("o_custkey")).alias("up"))
-    return steps.agg(F.count("*").alias("row_count"), F.every("up").alias("sorted_files"))
+    files.write_parquet(slim.repartitionByRange("o_custkey").sortWithinPartitions("o_custkey"), path)
+    place = F.col("_metadata.row_index")
+    back = t.spark.read.parquet(path).select("o_custkey", F.col("_metadata.file_path").alias("file"), place.alias("place"), F.floor(place / 8192).alias("block"))
+    before = F.lag("o_custkey").over(W.partitionBy("file", "block").orderBy("place"))
+    steps = back.withColumn("up", F.coalesce(before, F.col("o_custkey")) <= F.col("o_custkey"))
+    ends = steps.groupBy("file", "block").agg(
+        F.count("*").alias("n"), F.every("up").alias("up"), F.min_by("o_custkey", "place").alias("first"), F.max_by("o_custkey", "place").alias("last")
+    )
+    last = F.lag("last").over(W.partitionBy("file").orderBy("block"))
+    joined = ends.select("n", (F.col("up") & (F.coalesce(last, F.col("first")) <= F.col("first"))).alias("up"))
+    return joined.agg(F.sum("n").alias("row_count"), F.every("up").alias("sorted_files"))
 
 
 @query(

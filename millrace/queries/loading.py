@@ -422,7 +422,7 @@ def upsert_person(t):
 def merge_phone(t):
     good = staged_rows(t).where("status = 'SUCCESS'")
     person, phone, _ = person_tables(t)
-    links = staging.upsert_person(person, good, at(), "LOADER")[1]
+    links = staging.link_people(person, good)
     return staging.merge_phone(phone, good, links, at(), "LOADER").select("person_id", "phone_type", "phone", "created_by")
 
 
@@ -440,11 +440,31 @@ def merge_phone(t):
 def merge_address(t):
     good = staged_rows(t).where("status = 'SUCCESS'")
     person, _, address = person_tables(t)
-    links = staging.upsert_person(person, good, at(), "LOADER")[1]
+    links = staging.link_people(person, good)
     merged = staging.merge_address(address, good, links, at(), "LOADER")
     return merged.select("person_id", "address_type", "address1", "city")
 
 
+@query(
+    "merge_people",
+    "M15 M16 M17",
+    f"""
+    WITH {_PERSON}, n AS (SELECT count(*) AS c FROM links WHERE fresh)
+    SELECT 'person' AS which, (SELECT count(*) FROM held) + (SELECT c FROM n) AS n_rows
+    UNION ALL SELECT 'phone', (SELECT count(*) FROM held) + (SELECT count(*) FROM placed WHERE phone IS NOT NULL AND phone_type IS NULL)
+      + (SELECT count(*) FROM (SELECT DISTINCT person_id, phone_type FROM placed WHERE phone IS NOT NULL AND phone_type IS NOT NULL) x
+         WHERE NOT (phone_type = 'MAIN' AND person_id IN (SELECT person_id FROM held)))
+    UNION ALL SELECT 'address', (SELECT count(*) FROM held) + (SELECT count(DISTINCT person_id) FROM placed
+      WHERE (address1 IS NOT NULL OR city IS NOT NULL) AND person_id NOT IN (SELECT person_id FROM held))""",
+)
+def merge_people(t):
+    """All three tables from one matching of people."""
+    good = staged_rows(t).where("status = 'SUCCESS'")
+    tables = staging.merge_people(*person_tables(t), good, at(), "LOADER")
+    named = [df.agg(F.count("*").alias("n_rows")).select(F.lit(which).alias("which"), "n_rows") for which, df in zip(("person", "phone", "address"), tables, strict=True)]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
 def nightly_table(t):
     return t.supplier.select(
         F.lpad(F.col("s_suppkey").cast("string"), 9, "0").alias("integration_id"),
