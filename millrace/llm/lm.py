@@ -38,7 +38,7 @@ FREQUENT, LONGEST = 1 << 17, 48
 CLASSES, MEMBERS, SHAPES = 32, 64, 8
 OWN = CLASSES * MEMBERS
 #: Hidden units; steps of a window and lanes in training; the same in scoring, and tokens scored at a time.
-HIDDEN, STEPS, TRAIN_LANES, SCORE_STEPS, LANES, BATCH = 16, 32, 64, 128, 256, 3_000_000
+HIDDEN, STEPS, TRAIN_LANES, SCORE_STEPS, LANES, BATCH = 16, 32, 256, 128, 256, 3_000_000
 #: Rounds, each of which trains on its share of all training documents; the least that
 #: all lanes hold before they are read on; the learning rate.
 ROUNDS, AHEAD, RATE = 2, 1024, 0.02
