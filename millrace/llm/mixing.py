@@ -76,7 +76,9 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3,
     """The sized documents and what each source takes.
 
     Returns ``doc_id, source, size, key`` for every row, ``source, source_size,
-    target, whole, cut_slice, cut_key`` for every source, and the number of sources.
+    target, whole, cut_slice, cut_key, cut_copies, cut_taken`` for every source, and the
+    number of sources.  Rows before the cut key are taken once more than ``whole``, and
+    so are ``cut_taken`` of the rows that share the cut key.
     """
     sized = stored(
         docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), order_key(seed).alias("key")),
@@ -103,19 +105,24 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3,
     inside = sized.withColumn("slice_of", _slice()).join(
         _side(cut, n), F.col("source").eqNullSafe(F.col("of")) & (F.col("slice_of") == F.col("slice"))
     )
-    upto = F.sum("size").over(W.partitionBy("of").orderBy("key").rowsBetween(W.unboundedPreceding, 0))
+    # rows that repeat an id and its text share a key: one group, whatever their number
+    groups = inside.groupBy("of", "key").agg(F.count("*").alias("copies"), F.any_value("size").alias("size"), F.any_value("left").alias("left"))
+    every = F.col("copies") * F.col("size")
+    before = F.coalesce(F.sum(every).over(W.partitionBy("of").orderBy("key").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     last = (
-        inside.select("of", "key", "size", "left")
-        .withColumn("upto", upto)
-        .where(F.col("upto") - F.col("size") / 2 <= F.col("left"))
-        .groupBy("of")
-        .agg(F.max("key").alias("cut_key"))
-        .withColumnRenamed("of", "last_of")
+        groups.withColumn("before", before)
+        .where(F.col("before") + every > F.col("left"))
+        .groupBy(F.col("of").alias("last_of"))
+        .agg(F.min(F.struct("key", "copies", "size", "left", "before")).alias("cut"))
+        .select(
+            "last_of", F.col("cut.key").alias("cut_key"), F.col("cut.copies").alias("cut_copies"),
+            F.floor((F.col("cut.left") - F.col("cut.before")) / F.col("cut.size") + 0.5).alias("cut_taken"),
+        )
     )
     done = (
         due.join(cut.select("of", F.col("slice").alias("cut_slice")), F.col("source").eqNullSafe(F.col("of")), "left")
         .join(last, F.col("source").eqNullSafe(F.col("last_of")), "left")
-        .select("source", "source_size", "target", "whole", "cut_slice", "cut_key")
+        .select("source", "source_size", "target", "whole", "cut_slice", "cut_key", "cut_copies", "cut_taken")
     )
     return sized, cut_lineage(done), n
 
@@ -124,38 +131,48 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3,
     """``doc_id, size, source_size, target, taken`` for every row of ``docs``.
 
     ``taken`` is the row's words times its repetitions: none is above ``epochs``.
-    A source's taken words differ from its target by at most one document (rows
-    that repeat an id with its text share an order key and are taken or left
-    together).  Null and empty texts have size 0 and take nothing; a source of
+    A source's taken words differ from its target by at most one document; of rows
+    that repeat an id with its text as many are taken as that needs.  Null and empty texts have size 0 and take nothing; a source of
     size 0 has target 0.  Null is a source of its own.  An empty table gives none.
     """
     sized, sources, n = plan(docs, weights, epochs, seed)
-    sources = sources.withColumnRenamed("source", "of")
-    joined = sized.join(_side(sources, n), F.col("source").eqNullSafe(F.col("of")))
-    return joined.select("doc_id", "size", "source_size", "target", (F.col("size") * _repetitions()).alias("taken"))
+    joined = _timed(sized, sources, n)
+    return joined.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
 
 
 def repeated(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3, seed: int = 17) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; columns as they are."""
     _, sources, n = plan(docs, weights, epochs, seed)
-    sources = sources.withColumnRenamed("source", "of")
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.col("source").cast("string").alias("source"),
         order_key(seed).alias("key"),
     )
-    joined = rows.join(_side(sources, n), F.col("source").eqNullSafe(F.col("of")))
-    often = joined.select("row", _repetitions().alias("times")).where("times > 0")
+    often = _timed(rows, sources, n).select("row", "times").where("times > 0")
     return often.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
 
 
-def _slice() -> Column:
-    return F.shiftright("key", 64 - SLICE_BITS)
+def _timed(rows: DataFrame, sources: DataFrame, n: int) -> DataFrame:
+    """Rows with ``source`` and ``key``, the columns of their source, and ``times``, their repetitions."""
+    joined = rows.join(_side(sources.withColumnRenamed("source", "of"), n), F.col("source").eqNullSafe(F.col("of")))
+    at_cut = F.coalesce((_slice() == F.col("cut_slice")) & (F.col("key") == F.col("cut_key")), F.lit(False))
+    split = at_cut & (F.col("cut_taken") > 0) & (F.col("cut_taken") < F.col("cut_copies"))
+    more = (_slice() < F.col("cut_slice")) | ((_slice() == F.col("cut_slice")) & (F.col("key") < F.col("cut_key"))) | (at_cut & (F.col("cut_taken") > 0))
+    times = lambda once: F.col("whole") + F.coalesce(once, F.lit(False)).cast("int")
+    if sources.where((F.col("cut_taken") > 0) & (F.col("cut_taken") < F.col("cut_copies"))).isEmpty():
+        return joined.withColumn("times", times(more))
+    # some of the rows that share a key: they are equal, so any order will do, as long as it is kept
+    copies = joined.where(split).withColumn("__id", F.monotonically_increasing_id())
+    numbered = number_rows(copies, ["of", "__id"], "__nth", start=0)
+    first = numbered.groupBy("of").agg(F.min("__nth").alias("__first")).withColumnRenamed("of", "__of")
+    met = numbered.join(_side(first, n), F.col("of").eqNullSafe(F.col("__of")))
+    chosen = met.withColumn("times", times(F.col("__nth") - F.col("__first") < F.col("cut_taken")))
+    others = joined.where(~F.coalesce(split, F.lit(False))).withColumn("times", times(more))
+    return others.unionByName(chosen.select(*others.columns))
 
 
-def _repetitions() -> Column:
-    more = (_slice() < F.col("cut_slice")) | ((_slice() == F.col("cut_slice")) & (F.col("key") <= F.col("cut_key")))
-    return F.col("whole") + F.coalesce(more, F.lit(False)).cast("int")
+def _slice() -> Column:
+    return F.shiftright("key", 64 - SLICE_BITS)
 
 
 def _side(sources: DataFrame, n: int) -> DataFrame:

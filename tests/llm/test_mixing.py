@@ -72,3 +72,17 @@ def test_repeated_rows_keep_columns(docs):
     assert got.columns == table.columns
     counts = {r["doc_id"]: r["count"] for r in got.groupBy("doc_id").count().collect()}
     assert counts == {k: v for k, v in taken.items() if v}
+
+
+def test_repeated_rows_meet_the_target(docs):
+    """A group of equal rows holds most of its source; as many of them are taken as the target needs."""
+    rows = [(7, "same text here now", "hot")] * 900 + [(10 + i, "w " * (1 + i % 5), "hot") for i in range(50)]
+    rows += [(2000 + i, "v " * 8, "other") for i in range(700)] + [(9000, "x y z", "third")] * 40
+    table = docs(rows)
+    got = check(table)
+    assert len({r["taken"] for r in got if r["doc_id"] == 7}) == 2  # some once more than others
+    counts = mixing.repeated(table).groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).collect()
+    sizes = defaultdict(int)
+    for r in got:
+        sizes[r["target"], r["source_size"]] += r["taken"]
+    assert sorted(r["n"] for r in counts) == sorted(sizes.values())

@@ -1,5 +1,6 @@
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from millrace.llm import neighbours
@@ -39,3 +40,29 @@ def test_odd_rows(spark, docs):
     assert neighbours.score(table.limit(0), one).count() == 0
     kept = neighbours.accepted(table, one)
     assert kept.columns == table.columns and kept.schema == table.schema and kept.count() <= len(rows)
+
+
+def test_votes_against_brute_force():
+    """The nearest labelled vectors by plain sorting, ties to the first, weighted by a power of their similarity."""
+    rng = np.random.default_rng(5)
+    rows = np.abs(rng.standard_normal((60, neighbours.FEATURES)).astype(np.float32))
+    rows[10:30] = rows[40:60]  # equal vectors
+    labels = rng.integers(0, 2, 60)
+    model = neighbours.train(rows, labels, 0.3)
+    asked = np.vstack((rows[:20] + 0.1 * np.abs(rng.standard_normal((20, neighbours.FEATURES)).astype(np.float32)), np.zeros((1, neighbours.FEATURES), np.float32)))
+    close = model.project(asked) @ model.vectors.T
+    want = []
+    for row in close:
+        best = sorted(range(60), key=lambda k: (-row[k], k))[: neighbours.VOTERS]
+        power = [max(float(row[k]), 0.0) ** neighbours.POWER for k in best]
+        want.append(sum(p * labels[k] for p, k in zip(power, best, strict=True)) / sum(power) if sum(power) else 0.3)
+    assert np.allclose(model.vote(asked), want, atol=1e-5)
+    tied = np.array([[1.0, 2.0, 2.0, 2.0, 0.0], [3.0, 3.0, 3.0, 3.0, 3.0]], np.float32)
+    assert [set(r) for r in neighbours._nearest(tied, 2).tolist()] == [{1, 2}, {0, 1}]
+
+
+def test_one_row_of_each_sampled_id(spark, docs):
+    rows = [(3, f"{k} words of one id that many rows share") for k in range(400)] + [(i, "plain " * (i % 9)) for i in range(10, 60)]
+    labels = spark.createDataFrame([(3, 1, 0), *[(i, i % 2, 0) for i in range(10, 60)]], LABELS)
+    model = neighbours.fit(docs(rows), labels, per_label=20)
+    assert len(model.labels) <= 40
