@@ -8,6 +8,7 @@ at all, and nothing is renamed, which object stores cannot do in one step.
 
 from __future__ import annotations
 
+import itertools
 import json
 import uuid
 from collections.abc import Callable
@@ -80,9 +81,9 @@ def publish_version(
         storage.delete_folder(spark, path)
         raise
     text = json.dumps({"folder": folder})
-    while True:
-        before = _newest(spark, base, logical, f"v={stamp}")
-        edition = 0 if before is None else int(before.rpartition(".")[2]) + 1
+    before = _newest(spark, base, logical, f"v={stamp}")
+    first = 0 if before is None else int(before.rpartition(".")[2]) + 1
+    for edition in itertools.count(first):  # one that is there belongs to another writer, or to one that stopped
         if storage.write_text(spark, f"{_manifests(base, logical)}/v={stamp}.{edition:06d}", text, replace=False):
             break
     if view:

@@ -19,10 +19,19 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
 
 
 def child_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files that hold something; one that is being written does not yet."""
     fs, target = _fs(spark, path)
     if not fs.exists(target):
         return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isFile())
+    return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isFile() and s.getLen())
+
+
+def child_sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Bytes of the files in each folder of ``path``."""
+    fs, target = _fs(spark, path)
+    if not fs.exists(target):
+        return {}
+    return {s.getPath().getName(): sum(f.getLen() for f in fs.listStatus(s.getPath())) for s in fs.listStatus(target) if s.isDirectory()}
 
 
 def read_text(spark: SparkSession, path: str) -> str:
@@ -60,17 +69,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def move_folder(spark: SparkSession, path: str, to: str) -> None:
-    """Rename a folder; what stands at ``to`` is replaced."""
-    fs, source = _fs(spark, path)
-    _, target = _fs(spark, to)
-    if fs.exists(target):
-        fs.delete(target, True)
-    fs.mkdirs(target.getParent())
-    if not fs.rename(source, target):
-        raise OSError(f"{path} could not be renamed to {to}")
-
-
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, target = _fs(spark, path)
     fs.delete(target, True)

@@ -3,13 +3,14 @@
 Rows of a state live in the bucket of their key.  A batch reads the buckets of the
 keys it names and writes these buckets anew under its own number; its manifest, a
 small file that is written last, says for each bucket in which batch's folder its
-rows are and how many.  So what a batch reads and writes follows the batch and the
+rows are and how long its files.  So what a batch reads and writes follows the batch and the
 size of a bucket, not the size of the state.
 
 A batch starts from the newest manifest before its own number.  When it runs again
 it replaces its own folder and manifest and nothing else.  The number of buckets
-follows the rows: once buckets hold more than twice ``ROWS`` on average, the next
-batch deals all rows to twice as many or more.
+follows the rows, by the bytes of a row when they were last dealt out: once buckets
+hold more than twice ``ROWS`` on average, the next batch deals all rows to twice as
+many or more.
 """
 
 from __future__ import annotations
@@ -42,9 +43,10 @@ class BucketState:
 
     def __init__(self, spark: SparkSession, base: str, name: str, keys: Sequence[str], first: DataFrame | None = None, rows: int | None = None):
         self.spark, self.folder, self.keys, self.first, self.rows = spark, f"{base}/{name}", list(keys), first, rows or ROWS
+        self._known: tuple[int, set[int]] | None = None
 
     def manifest(self, before: int) -> dict | None:
-        """The newest manifest of a batch below ``before``: bucket count, schema, and [batch, rows] of each bucket."""
+        """The newest manifest of a batch below ``before``: bucket count, schema, bytes of a row, and [batch, bytes] of each bucket."""
         names = [n for n in storage.child_files(self.spark, f"{self.folder}/manifest") if n.endswith(".json")]
         older = [n for n in names if n < f"{stamp(before)}.json"]
         return json.loads(storage.read_text(self.spark, f"{self.folder}/manifest/{max(older)}")) if older else None
@@ -68,11 +70,15 @@ class BucketState:
         """Deal ``first`` to buckets, unless that has been done."""
         if self.first is None or self.manifest(2**62) is not None:
             return
-        total = self.first.count()
-        self._commit(self.first, -1, max(1, -(-total // self.rows)), {})
+        self._lay_out(self.first, self.first.count(), -1)
 
     def _named(self, changes: DataFrame, buckets: int) -> set[int]:
-        return {r[0] for r in changes.select(self._bucket(buckets)).distinct().collect()}  # buckets, not keys
+        """The buckets that the keys of ``changes`` fall into."""
+        return {r[0] for r in changes.select(self._bucket(buckets)).distinct().collect()}
+
+    def _lay_out(self, rows: DataFrame, total: int, batch_id: int) -> None:
+        """Deal ``total`` rows to buckets anew."""
+        self._commit(rows, batch_id, max(1, -(-total // self.rows)), {}, total)
 
     def _joined(self, rows: DataFrame, changes: DataFrame, how: str) -> DataFrame:
         named = changes.select(*[F.col(k).alias(f"__of_{k}") for k in self.keys]).distinct()
@@ -83,7 +89,10 @@ class BucketState:
         """The rows whose bucket some key of ``changes`` falls into; None before there is a state."""
         self.start()
         manifest = self.manifest(before)
-        return None if manifest is None else self._rows(manifest, self._named(changes, manifest["buckets"]))
+        if manifest is None:
+            return None
+        self._known = (before, self._named(changes, manifest["buckets"]))
+        return self._rows(manifest, self._known[1])
 
     def of(self, changes: DataFrame, before: int) -> DataFrame | None:
         """The rows of the keys of ``changes``."""
@@ -104,19 +113,23 @@ class BucketState:
         self.start()
         manifest = self.manifest(batch_id)
         buckets, held = manifest["buckets"], manifest["held"]
-        total = sum(rows for _, rows in held.values())
+        total = int(sum(size for _, size in held.values()) / manifest["row_bytes"])
         if total > 2 * self.rows * buckets:
-            self._commit(merge(self._rows(manifest)), batch_id, -(-total // self.rows), {})
+            self._lay_out(merge(self._rows(manifest)), total, batch_id)
             return
-        named = self._named(changes, buckets)
+        # the keys that were asked for before this batch take in those that it changes
+        named = self._known[1] if self._known and self._known[0] == batch_id else self._named(changes, buckets)
         others = {b: v for b, v in held.items() if int(b) not in named}
-        self._commit(merge(self._rows(manifest, named)), batch_id, buckets, others)
+        self._commit(merge(self._rows(manifest, named)), batch_id, buckets, others, None, manifest["row_bytes"])
 
     def write(self, changes: DataFrame, batch_id: int) -> None:
-        """Put ``changes`` (one row per key) in the place of the rows with their keys."""
+        """Put ``changes`` (one row per key) in the place of the rows with their keys.
+
+        Keys that this object was asked for at the same batch must take in those of ``changes``.
+        """
         self.start()
         if self.manifest(batch_id) is None:
-            self._commit(changes, batch_id, max(1, -(-changes.count() // self.rows)), {})
+            self._lay_out(changes, changes.count(), batch_id)
             return
 
         def replaced(rows: DataFrame) -> DataFrame:
@@ -124,15 +137,17 @@ class BucketState:
 
         self.update(changes, replaced, batch_id)
 
-    def _commit(self, rows: DataFrame, batch_id: int, buckets: int, held: dict) -> None:
-        """Write whole buckets, then the manifest that names them."""
+    def _commit(self, rows: DataFrame, batch_id: int, buckets: int, held: dict, total: int | None = None, row_bytes: float = 0.0) -> None:
+        """Write whole buckets, then the manifest that names them; ``total`` counts the rows where all are written."""
         number = stamp(batch_id) if batch_id >= 0 else "first"
         path = f"{self.folder}/data/batch={number}"
         placed = rows.withColumn("bucket", self._bucket(buckets))
         placed.repartition("bucket").sortWithinPartitions("bucket", *self.keys).write.mode("overwrite").partitionBy("bucket").parquet(path)
-        counts = self.spark.read.parquet(path).groupBy("bucket").count().collect() if storage.child_folders(self.spark, path) else []
-        held = {**held, **{str(r["bucket"]): [number, r["count"]] for r in counts}}
-        text = json.dumps({"buckets": buckets, "schema": json.loads(rows.schema.json()), "held": held})
+        sizes = {n.removeprefix("bucket="): size for n, size in storage.child_sizes(self.spark, path).items() if n.startswith("bucket=")}
+        held = {**held, **{bucket: [number, size] for bucket, size in sizes.items()}}
+        if total is not None:
+            row_bytes = max(1.0, sum(sizes.values()) / max(1, total))
+        text = json.dumps({"buckets": buckets, "schema": json.loads(rows.schema.json()), "row_bytes": row_bytes, "held": held})
         storage.write_text(self.spark, f"{self.folder}/manifest/{number if batch_id >= 0 else '-'}.json", text)
         self._forget()
 

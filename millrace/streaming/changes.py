@@ -152,9 +152,10 @@ def judge_versions(tried: DataFrame, order: str) -> DataFrame:
     kept = [f for f in placed.schema.fields if f.name not in ("held_etag", "held_modified")]
     ends = [T.StructField(n, T.StringType()) for n in ("outcome", "__end_etag", "__end_modified")]
     while True:
-        judged = cut_lineage(placed.mapInArrow(_judge(starts, [f.name for f in kept]), T.StructType([*kept, *ends])))
+        judged = placed.mapInArrow(_judge(starts, [f.name for f in kept]), T.StructType([*kept, *ends]))
         if len(starts) < 2:
             return judged.drop("__part", "__end_etag", "__end_modified")
+        judged = cut_lineage(judged)
         exact = {r["__part"]: r for r in judged.where("__end_etag IS NOT NULL").select("__part", "item_id", "__end_etag", "__end_modified").collect()}
         better = dict(starts)
         parts = sorted(exact)

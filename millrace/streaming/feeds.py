@@ -163,7 +163,9 @@ def process_changes(
             tried = tried.join(known, "item_id", "left")
         judged, seen = judge_versions(tried, order), Observation()
         counts = [F.count_if(F.col("outcome") == o).alias(o) for o in ("processed", "failed")]
-        judged.observe(seen, *counts).write.mode("overwrite").parquet(f"{base}/outcomes/batch={stamp(batch_id)}")
+        path = f"{base}/outcomes/batch={stamp(batch_id)}"
+        judged.observe(seen, *counts).write.mode("overwrite").parquet(path)
+        judged = spark.read.schema(judged.schema).parquet(path)
         if seen.get.get("processed"):
             done = judged.where("outcome = 'processed'").select("item_id", "etag", "last_modified", order)
             state.write(latest_per_key(done, ["item_id"], [order]).drop(order), batch_id)

@@ -89,8 +89,10 @@ def test_sweeps_change_only_the_keys_of_a_batch(spark):
     handle(batch('[{"id":"c","first_name":"C2"},{"id":"d","first_name":"D2"},{"first_name":"lone"}]'), 1)  # run again
     got = sorted(((r["integration_id"] or "", r["first_name"], r["created_by"]) for r in feeds.nightly_table(spark, base, empty).collect()))
     assert got == [("", "lone", "SYNC"), ("", "lone", "SYNC"), ("a", "A", "OLD"), ("b", "B1", "OLD"), ("c", "C2", "SYNC"), ("d", "D2", "SYNC")]
-    changed = spark.read.parquet(f"{base}/nightly_changes/v={feeds.stamp(1)}")
-    assert {r["integration_id"] for r in changed.collect()} == {"c", "d"}
+    state = feeds.BucketState(spark, base, "nightly", ["integration_id"])
+    before, after = ({tuple(r) for r in state.all(batch).collect()} for batch in (1, 2))
+    named = empty.columns.index("integration_id")
+    assert {r[named] for r in before ^ after} == {"c", "d"}
 
 
 def test_a_second_start_is_ignored_while_the_first_runs(spark):
