@@ -270,14 +270,29 @@ def similar_pairs(texts: DataFrame, pairs: DataFrame, least: float, shingle: int
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(take), batch.column(1).filter(take)], ["a", "b"])
 
     pairs = cut_lineage(pairs)
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    held = texts.join(needed, F.col("text_hash") == F.col("node"), "left_semi").groupBy("text_hash").agg(F.any_value("text").alias("text"))
+    held = _texts_of(texts, pairs.select(F.explode(F.array("a", "b")).alias("node")))
     known = stored(held.mapInArrow(sets, "node long, shingles binary"), "shingles")
     left, right = known.toDF("node_a", "set_a"), known.toDF("node_b", "set_b")
     joined = pairs.join(left, F.col("a") == F.col("node_a")).join(right, F.col("b") == F.col("node_b"))
     return cut_lineage(joined.select("a", "b", "set_a", "set_b").mapInArrow(check, "a long, b long"))
 
 
+#: Rows of a few numbers that are sent to all tasks at most; more are joined.
+SENT = 500_000
+
+
+def _side(rows: DataFrame) -> DataFrame:
+    """A side of a join, kept; it is sent to all tasks if it is counted to be small, so that texts need not move."""
+    rows = cut_lineage(rows)
+    return F.broadcast(rows) if rows.count() <= SENT else rows
+
+
+def _texts_of(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``text_hash, text`` of the named nodes, each once."""
+    needed = _side(nodes.distinct())
+    return texts.join(needed, F.col("text_hash") == F.col("node"), "left_semi").groupBy("text_hash").agg(F.any_value("text").alias("text"))
+
+
 def one_per_group(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of ``found``, that of the smallest doc_id; columns as they are.
 
@@ -288,6 +303,7 @@ def one_per_group(docs: DataFrame, found: DataFrame) -> DataFrame:
     goes = F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))
     # only rows that go or repeat are looked up; all others pass
     marked = rows.select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"), goes.alias("goes"), "rows").where("goes OR rows > 1")
+    marked = _side(marked)
     held = {f"column_{i}": F.col(f"`{c}`") for i, c in enumerate(docs.columns)}
     named = docs.select(*[c.alias(n) for n, c in held.items()], F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("hash"))
     same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("hash") == F.col("of_hash"))
@@ -346,10 +362,6 @@ def slice_plan(n: int, least: float) -> SlicePlan:
     return SlicePlan(bits, slices, blocks)
 
 
-#: Words of a fingerprint that go along with a slice, to tell candidates from chance.
-CHECKED = 2
-
-
 def slice_links(texts: DataFrame, nodes: DataFrame, plan: SlicePlan, least: float, shingle: int, seed: int) -> DataFrame:
     """Links ``a, b`` that connect nodes of different families whose shingle sets are similar enough.
 
@@ -358,46 +370,52 @@ def slice_links(texts: DataFrame, nodes: DataFrame, plan: SlicePlan, least: floa
     group gives at most one row for each member, first those with a candidate, then
     the link of each that was united with another.
     """
-    masks, short, limits = plan.masks(), bit_limits(least, CHECKED), bit_limits(least, plan.wide)
-    columns = ["node", "key", "check", "size", "family"]
+    masks, limits = plan.masks(), bit_limits(least, plan.wide)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 8192):
                 batch = whole.slice(at, 8192)
-                wide = _wide_rows(batch.column(1))
-                keys, check = plan.keys(wide), pa.array(map(bytes, wide[:, : 8 * CHECKED]), pa.binary())
+                keys = plan.keys(_wide_rows(batch.column(1)))
                 for k in range(plan.slices):
                     for c, mask in enumerate(masks):
                         # a group's number mixes the slice, the choice of blocks, and their bits
                         group = ((keys[:, k] & mask) ^ np.uint64(k * len(masks) + c)).view(np.int64)
-                        rows = [pa.array(group), batch.column(0), pa.array(keys[:, k].view(np.int64)), check, batch.column(2), batch.column(3)]
-                        yield pa.RecordBatch.from_arrays([*rows, pa.array(np.full(len(group), k * len(masks) + c, np.int32))], ["group", *columns, "choice"])
-
-    def members(table: pa.Table, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The order by key, and each member's family as a number."""
-        order = np.argsort(keys, kind="stable")
-        return order, np.unique(table["family"].to_numpy()[order], return_inverse=True)[1]
-
-    def close(keys: np.ndarray, label: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for i, j in _meetings(keys, None, SLICE_BUDGET, label, plan.bits):
-            near = (i < j) & (label[i] != label[j])
-            i, j = i[near], j[near]
-            near = np.bitwise_count(keys[i] ^ keys[j]) <= SLICE_BUDGET
-            yield i[near], j[near]
+                        choice = pa.array(np.full(len(group), k * len(masks) + c, np.int32))
+                        yield pa.RecordBatch.from_arrays([pa.array(group), *batch.columns, choice], ["group", "node", "wide", "size", "family", "choice"])
+
+    class Members:
+        """The members of a group in the order of their slice, with their families as numbers."""
+
+        def __init__(self, table: pa.Table):
+            self.slice, self.blocks = divmod(table["choice"][0].as_py(), len(masks))
+            wide = _wide_rows(table["wide"])
+            keys = plan.keys(wide)
+            self.order = np.argsort(keys[:, self.slice], kind="stable")
+            self.keys, self.wide = keys[self.order], wide[self.order].view(">u8").astype(np.uint64)
+            self.size = table["size"].to_numpy()[self.order]
+            first, label = np.unique(table["family"].to_numpy()[self.order], return_index=True, return_inverse=True)[1:]
+            self.label = first[label]  # the family's first member
+
+        def candidates(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            """Pairs of different families that may be similar and meet in no group before this one."""
+            label, mine = self.label, self.keys[:, self.slice]
+            for i, j in _meetings(mine, None, SLICE_BUDGET, label, plan.bits):
+                near = (i < j) & (label[i] != label[j])
+                near[near] = np.bitwise_count(mine[i[near]] ^ mine[j[near]]) <= SLICE_BUDGET
+                near[near] = _possible(limits, least, self.wide, self.size, i[near], j[near])
+                i, j = i[near], j[near]
+                first = (np.bitwise_count(self.keys[i, : self.slice] ^ self.keys[j, : self.slice]) > SLICE_BUDGET).all(axis=1)
+                first &= (((mine[i] ^ mine[j])[:, None] & masks[: self.blocks]) != 0).all(axis=1)
+                yield i[first], j[first]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
-        keys = table["key"].to_numpy().view(np.uint64)
-        order, label = members(table, keys)
-        words_, size = _wide_rows(table["check"])[order].view(">u8").astype(np.uint64), table["size"].to_numpy()[order]
-        has = np.zeros(len(order), bool)
-        for i, j in close(keys[order], label):
-            open_ = ~(has[i] & has[j])  # members that have a candidate need no other
-            i, j = i[open_], j[open_]
-            good = _possible(short, least, words_, size, i, j)
-            has[i[good]] = has[j[good]] = True
-        yield from table.select(["group", "choice", "node"]).take(pa.array(order[has])).to_batches()
+        members = Members(table)
+        has = np.zeros(table.num_rows, bool)
+        for i, j in members.candidates():
+            has[i] = has[j] = True
+        yield from table.select(["group", "choice", "node"]).take(pa.array(members.order[has])).to_batches()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -406,32 +424,24 @@ def slice_links(texts: DataFrame, nodes: DataFrame, plan: SlicePlan, least: floa
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
-        k, c = divmod(table["choice"][0].as_py(), len(masks))
-        wide = _wide_rows(table["wide"])
-        keys = plan.keys(wide)
-        order, label = members(table, keys[:, k])
-        keys, wide, size, node = keys[order], wide[order].view(">u8").astype(np.uint64), table["size"].to_numpy()[order], table["node"].to_numpy()[order]
-        shingles = [np.frombuffer(x, np.uint64) for x in table["shingles"].take(pa.array(order)).to_pylist()]
-        firsts = np.unique(label, return_index=True)[1]
-        label = firsts[label]  # the family's first member
-        for i, j in close(keys[:, k], label):
-            near = _possible(limits, least, wide, size, i, j)
-            # a pair is judged in the first group in which it meets
-            near[near] = (np.bitwise_count(keys[i[near], :k] ^ keys[j[near], :k]) > SLICE_BUDGET).all(axis=1)
-            near[near] = (((keys[i[near], k] ^ keys[j[near], k])[:, None] & masks[:c]) != 0).all(axis=1)
-            i, j = i[near], j[near]
+        members = Members(table)
+        label, node = members.label, table["node"].to_numpy()[members.order]
+        shingles = [np.frombuffer(x, np.uint64) for x in table["shingles"].take(pa.array(members.order)).to_pylist()]
+        links = []
+        for i, j in members.candidates():
             lot = np.argsort(i, kind="stable")
             for a, b in zip(i[lot].tolist(), j[lot].tolist(), strict=True):
                 if label[a] != label[b] and _similar(shingles[a], shingles[b], least):
-                    yield pa.RecordBatch.from_arrays([pa.array([node[a]]), pa.array([node[b]])], ["a", "b"])
+                    links.append((a, b))
                     low, high = sorted((label[a], label[b]))
                     label[label == high] = low
+        ends = np.array(links, np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(node[ends[:, 0]]), pa.array(node[ends[:, 1]])], ["a", "b"])
 
-    row = "group long, node long, key long, check binary, size long, family long, choice int"
+    row = "group long, node long, wide binary, size long, family long, choice int"
     dealt = nodes.select("node", "wide", "size", "family").mapInArrow(deal, row)
     found = cut_lineage(dealt.groupBy("group", "choice").applyInArrow(find, "group long, choice int, node long"))
-    needed = found.select("node").distinct()
-    held = texts.join(needed, F.col("text_hash") == F.col("node"), "left_semi").groupBy("text_hash").agg(F.any_value("text").alias("text"))
+    held = _texts_of(texts, found.select("node"))
     known = stored(held.mapInArrow(sets, "of_node long, shingles binary"), "shingles")
     met = found.join(nodes.select(F.col("node").alias("same_node"), "wide", "size", "family"), F.col("node") == F.col("same_node"))
     met = met.join(known, F.col("node") == F.col("of_node")).select("group", "choice", "node", "wide", "size", "family", "shingles")
