@@ -31,6 +31,8 @@ from .common import stored
 
 #: Bytes of records in a frame, and of frames in a bundle, from which the next one starts.
 FRAME, BUNDLE = 1 << 20, 1 << 28
+#: Bytes of compressed frames that a task reads back.
+READ = 32 << 20
 #: Digests shared by more pages than this fraction of all are looked up by broadcast: at most 1000.
 HOT_SHARE = 1000
 
