@@ -4,7 +4,6 @@ import re
 from collections import Counter
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import fptree
@@ -54,10 +53,9 @@ def corpus(n, seed=1):
     return docs, items
 
 
-@pytest.mark.parametrize("most", [64, 4096])
-def test_against_brute_force(spark, docs, monkeypatch, most):
-    monkeypatch.setattr(fptree, "DOCUMENTS", most)
-    monkeypatch.setattr(fptree, "ITEM_BYTES", 300)  # several blocks of items
+def test_against_brute_force(spark, docs, monkeypatch):
+    monkeypatch.setattr(fptree, "DOCUMENTS", 64)
+    monkeypatch.setattr(fptree, "ITEM_BYTES", 600)  # several blocks of items
     rows, items = corpus(900)
     asked = spark.createDataFrame(items, "item_id long, text string")
     assert found(docs(rows), asked, 7) == brute(rows, items, 7)

@@ -63,7 +63,7 @@ def table(spark, rows):
     return spark.createDataFrame(rows, DOCS).repartition(4)
 
 
-@pytest.mark.parametrize(("n", "langs"), [(1, ["en"]), (8, ["en"]), (9, ["en"]), (1400, ["en", "en", "en", "de", None]), (120, [f"l{k}" for k in range(75)])])
+@pytest.mark.parametrize(("n", "langs"), [(9, ["en"]), (1400, ["en", "en", "en", "de", None]), (120, [f"l{k}" for k in range(75)])])
 def test_against_brute_force(spark, n, langs):
     rng = random.Random(n)
     ids = rng.sample(range(-(10**6), 10**7), n) if n > 9 else range(n)
