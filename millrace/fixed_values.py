@@ -2,32 +2,34 @@
 
 # Identifiers that may not be used as column names.
 RESERVED_WORDS = (
-    "ACCESS ADD ALL ALTER AND ANY AS ASC AUDIT BETWEEN BY CHAR CHECK CLUSTER COLUMN COMMENT "
-    "COMPRESS CONNECT COUNT CREATE CURRENT DATE DECIMAL DEFAULT DELETE DESC DISTINCT DROP ELSE "
-    "EXCLUSIVE EXISTS FILE FLOAT FOR FROM GRANT GROUP HAVING IDENTIFIED IMMEDIATE IN INCREMENT "
-    "INDEX INITIAL INSERT INTEGER INTERSECT INTO IS LEVEL LIKE LOCK LONG MAXEXTENTS MINUS "
-    "MLSLABEL MODE MODIFY NOAUDIT NOCOMPRESS NOT NOWAIT NULL NUMBER OF OFFLINE ON ONLINE OPTION "
-    "OR ORDER PCTFREE PRIOR PRIVILEGES PUBLIC RAW RENAME RESOURCE REVOKE ROW ROWID ROWNUM ROWS "
-    "SELECT SESSION SET SHARE SIZE SMALLINT START SUCCESSFUL SYNONYM SYSDATE TABLE THEN TO "
-    "TRIGGER UID UNION UNIQUE UPDATE USER VALIDATE VALUES VARCHAR VARCHAR2 VIEW WHENEVER WHERE "
-    "WITH CROSS CUBE FETCH FULL INNER JOIN LEFT MERGE NATURAL OFFSET OUTER RIGHT ROLLUP USING "
-    "WHEN CASE"
-).split()
+    "ACCESS", "ADD", "ALL", "ALTER", "AND", "ANY", "AS", "ASC", "AUDIT", "BETWEEN", "BY", "CHAR", "CHECK",
+    "CLUSTER", "COLUMN", "COMMENT", "COMPRESS", "CONNECT", "COUNT", "CREATE", "CURRENT", "DATE", "DECIMAL",
+    "DEFAULT", "DELETE", "DESC", "DISTINCT", "DROP", "ELSE", "EXCLUSIVE", "EXISTS", "FILE", "FLOAT", "FOR",
+    "FROM", "GRANT", "GROUP", "HAVING", "IDENTIFIED", "IMMEDIATE", "IN", "INCREMENT", "INDEX", "INITIAL",
+    "INSERT", "INTEGER", "INTERSECT", "INTO", "IS", "LEVEL", "LIKE", "LOCK", "LONG", "MAXEXTENTS", "MINUS",
+    "MLSLABEL", "MODE", "MODIFY", "NOAUDIT", "NOCOMPRESS", "NOT", "NOWAIT", "NULL", "NUMBER", "OF", "OFFLINE",
+    "ON", "ONLINE", "OPTION", "OR", "ORDER", "PCTFREE", "PRIOR", "PRIVILEGES", "PUBLIC", "RAW", "RENAME",
+    "RESOURCE", "REVOKE", "ROW", "ROWID", "ROWNUM", "ROWS", "SELECT", "SESSION", "SET", "SHARE", "SIZE",
+    "SMALLINT", "START", "SUCCESSFUL", "SYNONYM", "SYSDATE", "TABLE", "THEN", "TO", "TRIGGER", "UID", "UNION",
+    "UNIQUE", "UPDATE", "USER", "VALIDATE", "VALUES", "VARCHAR", "VARCHAR2", "VIEW", "WHENEVER", "WHERE",
+    "WITH", "CROSS", "CUBE", "FETCH", "FULL", "INNER", "JOIN", "LEFT", "MERGE", "NATURAL", "OFFSET", "OUTER",
+    "RIGHT", "ROLLUP", "USING", "WHEN", "CASE",
+)
 
 # Object names and name endings left out of a migration.
 SKIPPED_ENDINGS = ("__History", "__Feed", "__Share", "__Tag", "__ChangeEvent", "__e", "__mdt", "__b")
 SKIPPED_OBJECTS = (
-    "AccountFeed ContactFeed CaseFeed LeadFeed OpportunityFeed UserFeed CollaborationGroupFeed "
-    "AccountHistory ContactHistory CaseHistory LeadHistory OpportunityHistory "
-    "OpportunityFieldHistory AccountShare CaseShare LeadShare OpportunityShare ApexClass "
-    "ApexTrigger ApexLog ApexTestResult AsyncApexJob CronTrigger CronJobDetail ContentVersion "
-    "ContentDocument ContentDocumentLink ContentFolderItem IdeaComment EntityDefinition "
-    "FieldDefinition FieldPermissions OauthToken AuthSession SessionPermSetActivation "
-    "TwoFactorInfo VerificationHistory LoginHistory LoginGeo StaticResource AuraDefinition "
-    "AuraDefinitionBundle FlowDefinitionView FlowInterview PlatformEventChannel "
-    "PlatformEventChannelMember DataStatistics BackgroundOperation SetupAuditTrail PermissionSet "
-    "PermissionSetAssignment GroupMember UserRole UserLicense"
-).split()
+    "AccountFeed", "ContactFeed", "CaseFeed", "LeadFeed", "OpportunityFeed", "UserFeed",
+    "CollaborationGroupFeed", "AccountHistory", "ContactHistory", "CaseHistory", "LeadHistory",
+    "OpportunityHistory", "OpportunityFieldHistory", "AccountShare", "CaseShare", "LeadShare",
+    "OpportunityShare", "ApexClass", "ApexTrigger", "ApexLog", "ApexTestResult", "AsyncApexJob", "CronTrigger",
+    "CronJobDetail", "ContentVersion", "ContentDocument", "ContentDocumentLink", "ContentFolderItem",
+    "IdeaComment", "EntityDefinition", "FieldDefinition", "FieldPermissions", "OauthToken", "AuthSession",
+    "SessionPermSetActivation", "TwoFactorInfo", "VerificationHistory", "LoginHistory", "LoginGeo",
+    "StaticResource", "AuraDefinition", "AuraDefinitionBundle", "FlowDefinitionView", "FlowInterview",
+    "PlatformEventChannel", "PlatformEventChannelMember", "DataStatistics", "BackgroundOperation",
+    "SetupAuditTrail", "PermissionSet", "PermissionSetAssignment", "GroupMember", "UserRole", "UserLicense",
+)
 
 # Social security numbers, labelled, separated or bare.
 SSN_PATTERN = (
