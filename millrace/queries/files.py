@@ -268,7 +268,7 @@ def csv_long_field(t):
     """Quoted fields of some hundred thousand characters, doubled quotes inside."""
     long = F.concat(F.lit('"'), F.expr("repeat(s_name, 20000)"), F.lit('""\n"'))
     text = F.concat(F.lit("note,id\n"), long, F.lit(",k"), "s_suppkey", F.lit("\n"))
-    rows = delimited.parse_csv_column(t.supplier.select("s_suppkey", text.alias("text")), "text", ["note", "id"])
+    rows = delimited.parse_csv_column(t.spread("supplier").select("s_suppkey", text.alias("text")), "text", ["note", "id"])
     return rows.select("s_suppkey", "record_no", F.length("note").alias("note_length"), "id")
 
 

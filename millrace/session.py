@@ -57,14 +57,22 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{checkpoint_root(spark)}/millrace/{purpose}-{uuid.uuid4().hex}"
 
 
+#: Rows of a task that works hard on each of them.
+SPREAD_ROWS = 100_000
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Deal a small input out to all cores before heavy work on each row.
+    """Deal an input out to all cores, in tasks of a bounded number of rows, before heavy work on each row.
 
-    Takes a table as read.  An input that already has a split per core, as any
-    large one has, is left where it is; only a small one is moved.
+    Takes a table as read.  Splits alone say little: those of a file whose rows lie in
+    few row groups are mostly empty.  So the rows of each split are counted, which takes
+    file footers only, and an input that is dealt evenly already is left where it is.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots)
+    splits = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    rows = sum(splits)
+    wanted = max(df.sparkSession.sparkContext.defaultParallelism, rows // SPREAD_ROWS)
+    even = len(splits) >= wanted and max(splits) * len(splits) <= 2 * rows
+    return df if even else df.repartition(wanted)
 
 
 def compute_once(df: DataFrame, **columns: Column) -> DataFrame:

@@ -137,14 +137,13 @@ def parse_csv_column(df: DataFrame, column: str, wanted: Sequence[str], delimite
     # possessive and without alternatives per character: long fields neither recurse nor go back
     record = r'(?:"[^"]*+(?:"|\z)|[^"\n]++)++'
     records = F.regexp_extract_all(text, F.lit(record), F.lit(0))
-    field = rf'{d}("[^"]*+(?:""[^"]*+)*+(?:"|\z)|[^{d}]*+)'
+    field = rf'{d}("[^"]*+(?:""[^"]*+)*+|[^{d}]*+)'  # a quoted field without its closing quote
 
     def fields(line: Column) -> Column:
         parts = F.regexp_extract_all(F.concat(F.lit(delimiter), line), F.lit(field), F.lit(1))
 
         def inner(p: Column) -> Column:
-            quotes = F.length(p) - F.length(F.replace(p, F.lit('"'), F.lit("")))
-            held = F.substr(p, F.lit(2), F.length(p) - F.when(quotes % 2 == 0, 2).otherwise(1))
+            held = F.substring(p.cast("binary"), 2, 2**31 - 1).cast("string")  # in bytes: no character is counted
             return F.replace(held, F.lit('""'), F.lit('"'))
 
         return F.transform(parts, lambda p: F.when(p.startswith('"'), inner(p)).otherwise(p))
