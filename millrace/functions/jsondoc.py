@@ -51,6 +51,20 @@ def _is_scalar(value: Column) -> Column:
     return ~F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)")
 
 
+#: How text that converts to a whole number begins, white space and controls before it.
+_WHOLE_START = r"^[\x00-\x20\x7F-\x9F]*[-+.0-9]"
+
+
+def _scalar(doc: Column, path: str, returning: str) -> Column:
+    """``try_variant_get``, which throws and catches for text that is no number; other text is told apart by its start."""
+    value = F.try_variant_get(doc, path, returning)
+    if returning not in ("tinyint", "smallint", "int", "bigint"):
+        return value
+    text = F.try_variant_get(doc, path, "string")
+    other = (F.schema_of_variant(F.try_variant_get(doc, path, "variant")) == "STRING") & ~text.rlike(_WHOLE_START)
+    return F.when(~other, value)
+
+
 def json_value(
     doc: Column, path: str, returning: str = "string",
     on_error: str = "null", default_on_error=None, default_on_empty=None,
@@ -62,7 +76,7 @@ def json_value(
     (``on_error="error"``).
     """
     found = F.try_variant_get(doc, path, "variant")
-    value = F.when(_is_scalar(found), F.try_variant_get(doc, path, returning))
+    value = F.when(_is_scalar(found), _scalar(doc, path, returning))
     failed = found.isNotNull() & value.isNull() & (F.schema_of_variant(found) != "VOID")
     if on_error == "error":
         value = F.when(failed, F.raise_error(F.lit(f"no {returning} at {path}")).cast(returning)).otherwise(value)
