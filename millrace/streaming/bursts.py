@@ -1,142 +1,24 @@
-"""Debounce on a stream: keyed state with event-time timers.
-
-The state of a key are its open bursts: when each began and ended so far, and its
-last row.  A timer of the burst's end plus the quiet time lets the row out once the
-watermark has passed it; a burst that goes on takes its timer along.  A key whose
-bursts have all come out leaves no state.  Rows of a key come in Arrow batches, so a
-hot key is never held whole; what is kept per batch are its bursts.  Rows are held
-as text, so that any column comes out as it went in.
-"""
+"""Debounce on a stream: session windows of a key, and the row that ends them all."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-#: The store that keyed state with timers needs.
+#: The store that keeps state outside the heap; sessions whose end has passed leave none.
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-#: How times are written in a held row: to the microsecond, instants with their offset.
-FORMATS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-
-#: An open burst: when it began and ended so far, the tie of its last row, and that row.
-Burst = tuple[int, int, object, str]
-
-
-def _rank(tie) -> tuple:
-    """Nothing comes before any tie."""
-    return (tie is not None, tie)
-
-
-def merged(found: list[Burst], width: int) -> list[Burst]:
-    """Bursts with those joined that are ``width`` or less apart; the later row stays."""
-    out: list[Burst] = []
-    for begin, end, tie, row in sorted(found, key=lambda b: b[:2]):
-        if out and begin - out[-1][1] <= width:
-            first, last, held_tie, held = out[-1]
-            if (end, _rank(tie)) > (last, _rank(held_tie)):
-                last, held_tie, held = end, tie, row
-            out[-1] = (first, last, held_tie, held)
-        else:
-            out.append((begin, end, tie, row))
-    return out
-
-
-def _plain(value):
-    """A value as Python has it; pandas' marks for nothing become None."""
-    value = value.item() if isinstance(value, np.generic) else value
-    return None if value is pd.NaT or (isinstance(value, float) and value != value) else value
-
-
-class LastOfBurst(StatefulProcessor):
-    """Lets out the last row of each burst; rows are (key, time in microseconds, tie, row as text)."""
-
-    def __init__(self, width: int, tie: T.DataType):
-        self.width, self.tie = width, tie
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        whole = isinstance(self.tie, T.IntegralType)
-        kind = T.LongType() if whole else T.DoubleType() if isinstance(self.tie, T.NumericType) else T.StringType()
-        self.as_tie = int if whole else float if isinstance(self.tie, T.NumericType) else str
-        fields = (("begin", T.LongType()), ("end", T.LongType()), ("tie", kind), ("row", T.StringType()))
-        self.bursts = handle.getListState("bursts", T.StructType([T.StructField(*f) for f in fields]))
-
-    def _held(self) -> list[Burst]:
-        return [tuple(r) for r in self.bursts.get()]
-
-    def _keep(self, before: list[Burst], after: list[Burst]) -> None:
-        ends, now = {self._due(b) for b in before}, {self._due(b) for b in after}
-        for due in ends - now:
-            self.handle.deleteTimer(due)
-        for due in now - ends:
-            self.handle.registerTimer(due)
-        if after:
-            self.bursts.put(after)
-        else:
-            self.bursts.clear()
-
-    def _due(self, burst: Burst) -> int:
-        """The first millisecond after which no row can belong to the burst."""
-        return (burst[1] + self.width) // 1000 + 1
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        before = self._held()
-        after = before
-        for frame in rows:
-            frame.columns = ["key", "time", "tie", "row"]
-            frame = frame.sort_values(["time", "tie"], na_position="first")
-            times = frame["time"].to_numpy()
-            cuts = np.flatnonzero(np.diff(times) > self.width)
-            begins, ends = np.concatenate(([0], cuts + 1)), np.append(cuts, len(times) - 1)
-            ties = [None if (x := _plain(v)) is None else self.as_tie(x) for v in frame["tie"].iloc[ends]]
-            new = zip(times[begins].tolist(), times[ends].tolist(), ties, frame["row"].iloc[ends], strict=True)
-            after = merged(after + list(new), self.width)
-        self._keep(before, after)
-        yield pd.DataFrame({"row": pd.Series([], dtype=object)})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = timerValues.getCurrentWatermarkInMs()
-        held = self._held()
-        done = [b for b in held if self._due(b) <= now]
-        left = [b for b in held if self._due(b) > now]
-        if left:
-            self.bursts.put(left)
-        else:
-            self.bursts.clear()
-        yield pd.DataFrame({"row": pd.Series([b[3] for b in done], dtype=object)})
-
-    def close(self) -> None:
-        pass
-
-
-def last_of_bursts(stream: DataFrame, key: str, ts: str, seconds: float, delay: str, tie: str) -> DataFrame:
-    """The last row of each burst of a key; a burst ends after more than ``seconds`` of quiet.
-
-    ``ts`` is a timestamp, ``tie`` orders rows of one time.  Rows older than the
-    watermark (``delay`` behind the newest row) are left out.
-    """
-    width = int(seconds * 1_000_000)
-    held = F.to_json(F.struct(*stream.columns), FORMATS)
-    # as text, because timers of a key that is null do not fire
-    named = F.to_json(F.struct(F.col(key).alias("key")), FORMATS).alias("key")
-    rows = stream.withWatermark(ts, delay).select(named, F.unix_micros(ts).alias("time"), F.col(tie).alias("tie"), held.alias("row"))
-    out = rows.groupBy("key").transformWithStateInPandas(
-        LastOfBurst(width, stream.schema[tie].dataType), outputStructType="row string", outputMode="Append", timeMode="EventTime"
-    )
-    return out.select(F.from_json("row", stream.schema, FORMATS).alias("row")).select("row.*")
+#: Settings of the query: a hot key is merged to its sessions before it is shuffled.
+SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": STORE,
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+}
 
 
 def closing_row(df: DataFrame, ts: str, seconds: float, delay_seconds: float) -> DataFrame:
     """The flush: one row, null but for a time late enough that every open burst of ``df`` ends.
 
-    Sent as the last input, it moves the watermark past all bursts, and their timers
-    fire in the same run.  It opens a burst under the null key that never ends, so
+    Sent as the last input, it moves the watermark past all bursts, and they
+    come out in the same run.  It opens a burst under the null key that never ends, so
     nothing of it comes out.
     """
     newest = F.timestamp_add("MICROSECOND", F.lit(int((seconds + delay_seconds) * 1_000_000) + 2_000), F.max(ts))

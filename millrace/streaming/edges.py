@@ -346,8 +346,8 @@ def debounce(df: DataFrame, key: str, ts: str, seconds: int, tie: str) -> DataFr
     return reduced.join(following, same, "left").where(quiet).select("row.*")
 
 
-def debounce_windows(stream: DataFrame, key: str, ts: str, seconds: int, tie: str) -> DataFrame:
+def debounce_windows(stream: DataFrame, key: str, ts: str, seconds: float, tie: str) -> DataFrame:
     """The same on a watermarked stream, as session windows in append mode."""
-    window = F.session_window(ts, f"{seconds} seconds")
+    window = F.session_window(ts, f"{int(seconds * 1_000_000)} microseconds")
     row = F.max_by(F.struct(*stream.columns), F.struct(ts, tie))
     return stream.groupBy(window, F.col(key).alias("__key")).agg(row.alias("row")).select("row.*")

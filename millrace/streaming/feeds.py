@@ -222,19 +222,20 @@ def debounce_stream(
     watermark past it; ``bursts.closing_row`` is an input that does so for all.
     """
     conf = stream.sparkSession.conf
-    setting = "spark.sql.streaming.stateStore.providerClass"
-    before = conf.get(setting, None)
-    conf.set(setting, bursts.STORE)
+    before = {setting: conf.get(setting, None) for setting in bursts.SETTINGS}
+    for setting, value in bursts.SETTINGS.items():
+        conf.set(setting, value)
     try:
         query = (
-            bursts.last_of_bursts(stream, key, ts, seconds, delay, tie)
+            edges.debounce_windows(stream.withWatermark(ts, delay), key, ts, seconds, tie)
             .writeStream.format("parquet").outputMode("append")
             .option("path", out).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start()
         )
         query.awaitTermination()
     finally:
-        conf.unset(setting) if before is None else conf.set(setting, before)
+        for setting, value in before.items():
+            conf.unset(setting) if value is None else conf.set(setting, value)
 
 
 def route_late(base: str, ts: str, delay_seconds: float) -> Callable[[DataFrame, int], None]:

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions import jsondoc as js
 from millrace.queries import REGISTRY
-from millrace.session import spread
+from millrace.session import spread, work_folder
 from millrace.sources import delimited
+from millrace.streaming import bursts, edges, feeds
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -50,3 +51,19 @@ def test_json_value_of_text_as_whole_number(spark):
     plain = [r["n"] for r in docs.orderBy("i").select(F.coalesce(F.try_variant_get("v", "$.a", "bigint"), F.lit(-1)).alias("n")).collect()]
     assert got == plain and got[:4] == [-1, 7, -3, 4]
     assert "[-+.0-9]" in str(value)
+
+
+def test_debounce_stream_of_many_keys(spark):
+    """Bursts are made in the JVM: no Python call for each key; rows that lie the quiet time apart are one burst."""
+    base = work_folder(spark, "debounce-growth")
+    times = F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("id").cast("bigint") * 1_000_000 * F.when(F.col("id") % 4 == 3, 30).otherwise(1))
+    frame = spark.range(4_000).select("id", (F.col("id") % 500).alias("k"), times.alias("ts"))
+    exact = spark.createDataFrame([(10_000 + i, -1, 1_700_000_000_000_000 + u) for i, u in enumerate([0, 30_000_000, 60_000_001, 90_000_001])], "id bigint, k bigint, us bigint")
+    frame = frame.unionByName(exact.select("id", "k", F.timestamp_micros("us").alias("ts")))
+    frame.coalesce(1).write.parquet(f"{base}/in")
+    bursts.closing_row(spark.read.parquet(f"{base}/in"), "ts", 30, 10).write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema(frame.schema).parquet(f"{base}/in")
+    feeds.debounce_stream(stream, "k", "ts", 30, "10 seconds", f"{base}/out", f"{base}/checkpoint", "id")
+    got = [r["id"] for r in spark.read.schema(frame.schema).parquet(f"{base}/out").collect()]
+    wanted = [r["id"] for r in edges.debounce(frame, "k", "ts", 30, "id").collect()]
+    assert sorted(got) == sorted(wanted) and {10_001, 10_003} <= set(got) and 10_000 not in got
