@@ -186,7 +186,7 @@ def submissions_append(t):
 def file_inventory(t):
     path = work_folder(t.spark, "inventory")
     rows = t.lineitem.select("l_returnflag", F.col("l_orderkey").cast("string").alias("value"))
-    rows.repartition("l_returnflag").write.partitionBy("l_returnflag").text(path)
+    files.write_folders(rows, path, "l_returnflag")
     found = files.read_files_as_rows(t.spark, path, "*.txt", larger_than=0)
     return found.groupBy("extension").agg(F.count("*").alias("files"))
 

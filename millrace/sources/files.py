@@ -64,6 +64,26 @@ def write_batches(df: DataFrame, path: str, size: int) -> None:
     df.write.mode("overwrite").option("maxRecordsPerFile", size).parquet(path)
 
 
+#: Files that a task may have open at once; beyond them it sorts its rows by folder.
+OPEN_FILES = 64
+
+
+def write_folders(df: DataFrame, path: str, column: str) -> None:
+    """A folder with one text file for each value of ``column``.
+
+    A task keeps the files of its folders open side by side, so the rows that it
+    gets are written as they come: it neither sorts nor holds them.
+    """
+    conf = df.sparkSession.conf
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(setting, None)
+    conf.set(setting, str(OPEN_FILES))
+    try:
+        df.repartition(column).write.partitionBy(column).text(path)
+    finally:
+        conf.unset(setting) if before is None else conf.set(setting, before)
+
+
 def append_submission(df: DataFrame, path: str) -> None:
     """Append form rows, each under a generated id."""
     df.withColumn("id", F.expr("uuid()")).write.mode("append").parquet(path)
