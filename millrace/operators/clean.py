@@ -180,11 +180,14 @@ def ledger_pattern() -> str:
     return r"^\s*" + gap.join(parts) + r"\s*$"
 
 
+def _bare(value: Column) -> Column:
+    return F.translate(value, " $,-", "").try_cast("decimal(38,2)")
+
+
 def money_text(value: Column) -> Column:
     """``-$1,234.56`` style."""
-    bare = F.translate(value, " $,-", "").try_cast("decimal(38,2)")
     sign = F.when(value.startswith("-"), "-").otherwise("")
-    return F.concat(sign, F.lit("$"), F.format_number(bare, 2))
+    return F.concat(sign, F.lit("$"), F.format_number(_bare(value), 2))
 
 
 def parse_ledger_lines(df: DataFrame, line: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -200,7 +203,7 @@ def parse_ledger_lines(df: DataFrame, line: str, strict: bool = False) -> tuple[
     )
     split = compute_once(lines, __f=F.split(packed, UNIT))
     money = [1, 4, 5, 6, 7, 8, 9]
-    amounts = [money_text(F.get("__f", F.lit(i))).isNotNull() for i in money]
+    amounts = [_bare(F.get("__f", F.lit(i))).isNotNull() for i in money]  # written as text only in rows that are kept
     good = (F.size("__f") == 10) & reduce(lambda a, b: a & b, amounts)
     if strict:
         message = F.concat(F.lit("could not parse line: "), F.col(line))

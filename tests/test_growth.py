@@ -1,6 +1,8 @@
 """Work that grows with the tables: dealt out, bounded in a task, without a cost for each row that repeats."""
 
+import decimal
 import json
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -8,9 +10,10 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from millrace.functions import jsondoc as js
+from millrace.functions import jsonrows, text
 from millrace.queries import REGISTRY
 from millrace.session import spread, work_folder
-from millrace.sources import delimited
+from millrace.sources import delimited, files
 from millrace.streaming import bursts, edges, feeds
 
 SMALL = "/root/testdata/sf0.001"
@@ -67,3 +70,54 @@ def test_debounce_stream_of_many_keys(spark):
     got = [r["id"] for r in spark.read.schema(frame.schema).parquet(f"{base}/out").collect()]
     wanted = [r["id"] for r in edges.debounce(frame, "k", "ts", 30, "id").collect()]
     assert sorted(got) == sorted(wanted) and {10_001, 10_003} <= set(got) and 10_000 not in got
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ledger_amounts_are_written_once(spark):
+    """Whether an amount is one is seen from its number; only kept rows write it as text."""
+    filters = [line for line in plan_of(REGISTRY["ledger_parse"].run(spark, SMALL)).splitlines() if "Filter" in line]
+    assert filters and not any("format_number" in line for line in filters)
+
+
+def test_folders_are_written_without_a_sort(spark):
+    """One file for each value, and the session's setting is as before."""
+    path = work_folder(spark, "folders")
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting, None)
+    rows = spark.range(30_000).select(F.concat(F.lit("f"), F.col("id") % 5).alias("folder"), F.col("id").cast("string").alias("value"))
+    files.write_folders(rows, path, "folder")
+    assert spark.conf.get(setting, None) == before
+    assert spark.read.text(path).groupBy("folder").count().where("count = 6000").count() == 5
+    assert files.read_files_as_rows(spark, path, "*.txt", larger_than=0).count() == 5
+
+
+def test_slug_sends_only_other_than_ascii(spark):
+    """Texts of ASCII characters alone do not go to Python; compatibility forms come out as before."""
+    import unicodedata
+
+    texts = ["plain Text", "", None, "½ ﬁne ① ㎥", "Ångström café", "가  x", "𝐀".encode("utf-16", "surrogatepass").decode("utf-16")]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, v string")
+    slugs = frame.select("i", text.url_slug(F.col("v")).alias("slug"))
+    assert "octet_length" in plan_of(slugs)
+    for row in slugs.collect():
+        v = texts[row["i"]]
+        folded = None if v is None else unicodedata.normalize("NFKD", v).encode("ascii", "ignore").decode().lower()
+        wanted = None if v is None else re.sub(r"[-\s]+", "-", re.sub(r"[^\w\s-]", "", folded)).strip("-")
+        assert row["slug"] == wanted
+
+
+def test_json_rows_in_one_pass(spark):
+    """Rows are taken as they lie, without a shuffle by key, and short ways give what the long ones give."""
+    plan = REGISTRY["json_rows_function"].run(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    after_join = plan[: plan.index("Join")]
+    assert "Sort" not in after_join and "Exchange" not in after_join
+    docs = [{"a": {"b": 1}}, {"a": [{"b": 2}, {"b": 3}]}, {"a": 5}, [{"a": {"b": [7, 8]}}], {"a": {"b": None}}, 4, {}]
+    for doc in docs:
+        for path in (["a"], ["a", "b"], ["a", "[*]", "b"], []):
+            assert jsonrows.first_element(doc, path) == next(iter(jsonrows.elements(doc, path)), None)
+    assert jsonrows.convert(2**63, "bigint") is None and jsonrows.convert(2**63 - 1, "bigint") == 2**63 - 1
+    assert jsonrows.convert(3, "double") == 3.0 and jsonrows.convert(decimal.Decimal("1.50"), "double") == 1.5
+    assert jsonrows.convert(True, "bigint") is None and jsonrows.convert(decimal.Decimal("2.5"), "bigint") is None
