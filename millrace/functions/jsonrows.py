@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime
 import decimal
+import functools
 import json
 from collections.abc import Iterator
 
@@ -20,6 +21,7 @@ from pyspark.sql.functions import AnalyzeArgument, AnalyzeResult, udtf
 KINDS = {"string": T.StringType(), "bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "date": T.DateType()}
 
 
+@functools.cache
 def wanted_columns(text: str) -> list[tuple[str, str, list[str]]]:
     """``name kind [path]`` entries by comma: a column's name, kind and the members that lead to it."""
     out = []
@@ -47,6 +49,18 @@ def elements(value, path: list[str]) -> list:
     return found
 
 
+def first_element(value, path: list[str]):
+    """The first of ``elements``, or None; plain members are followed without lists."""
+    for n, step in enumerate(path):
+        if type(value) is not dict or step == "[*]":
+            return next(iter(elements(value, path[n:])), None)
+        if step not in value:
+            return None
+        value = value[step]
+    return value
+
+
+@functools.cache
 def _steps(path: str) -> list[str]:
     return [s for s in path.removeprefix("$").replace("[*]", ".[*]").split(".") if s]
 
@@ -59,6 +73,13 @@ def convert(value, kind: str):
         return value if isinstance(value, str) else json.dumps(value, separators=(",", ":"), ensure_ascii=False, default=str)
     if kind == "boolean":
         return value if isinstance(value, bool) else None
+    if type(value) is int and -(2**63) < value < 2**63:
+        if kind == "bigint":
+            return value
+        if kind == "double":
+            return float(value)
+    if kind == "double" and type(value) is decimal.Decimal:
+        return float(value)
     try:
         if kind == "date":
             return datetime.date.fromisoformat(value[:10])
@@ -76,6 +97,9 @@ def convert(value, kind: str):
 class JsonRows:
     """Every document gives a row at least: without an element its own columns are null."""
 
+    def __init__(self):
+        self.kept = self.doc = None
+
     @staticmethod
     def analyze(docs: AnalyzeArgument, path: AnalyzeArgument, columns: AnalyzeArgument) -> AnalyzeResult:
         if not docs.isTable or "doc" not in docs.dataType.fieldNames():
@@ -88,16 +112,19 @@ class JsonRows:
 
     def eval(self, row, path: str, columns: str) -> Iterator[tuple]:
         wanted = wanted_columns(columns)
-        kept = [row[n] for n in row.__fields__ if n != "doc"]
+        if self.kept is None:
+            self.kept = [i for i, n in enumerate(row.__fields__) if n != "doc"]
+            self.doc = row.__fields__.index("doc")
+        kept = [row[i] for i in self.kept]
+        doc = row[self.doc]
         try:
-            found = elements(json.loads(row["doc"], parse_float=decimal.Decimal), _steps(path)) if row["doc"] is not None else []
+            found = elements(json.loads(doc, parse_float=decimal.Decimal), _steps(path)) if doc is not None else []
         except (ValueError, RecursionError):
             found = []
         if not found:
             yield (*kept, None, *[None] * len(wanted))
         for k, element in enumerate(found, 1):
-            cells = [next(iter(elements(element, p)), None) for _, _, p in wanted]
-            yield (*kept, k, *[convert(c, kind) for c, (_, kind, _) in zip(cells, wanted, strict=True)])
+            yield (*kept, k, *[convert(first_element(element, p), kind) for _, kind, p in wanted])
 
 
 def register(spark: SparkSession, name: str = "json_rows") -> None:

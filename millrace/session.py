@@ -61,6 +61,11 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
 SPREAD_ROWS = 100_000
 
 
+def task_count(spark: SparkSession, rows: int) -> int:
+    """Tasks for hard work on so many rows: one for each core at least."""
+    return max(spark.sparkContext.defaultParallelism, rows // SPREAD_ROWS)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal an input out to all cores, in tasks of a bounded number of rows, before heavy work on each row.
 
@@ -70,7 +75,7 @@ def spread(df: DataFrame) -> DataFrame:
     """
     splits = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
     rows = sum(splits)
-    wanted = max(df.sparkSession.sparkContext.defaultParallelism, rows // SPREAD_ROWS)
+    wanted = task_count(df.sparkSession, rows)
     even = len(splits) >= wanted and max(splits) * len(splits) <= 2 * rows
     return df if even else df.repartition(wanted)
 
