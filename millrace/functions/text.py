@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import unicodedata
-
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,18 +21,20 @@ def truncate_text(text: Column, n: int, suffix: str = "...") -> Column:
     return F.when(F.length(text) <= n, text).otherwise(cut)
 
 
-@F.pandas_udf(T.StringType())
-def _nfkd(text: pd.Series) -> pd.Series:
-    return text.map(lambda s: None if s is None else unicodedata.normalize("NFKD", s))
+@F.arrow_udf(T.StringType())
+def _nfkd(text: pa.Array) -> pa.Array:
+    return pc.utf8_normalize(text, form="NFKD")
 
 
 def url_slug(text: Column) -> Column:
     """Lower-case ASCII words joined by dashes; accents are folded.
 
-    Spark has no compatibility decomposition, so that one step is an
-    Arrow-batched function; the rest are built-in expressions.
+    Spark has no compatibility decomposition, so that one step is an Arrow
+    function, which gets only texts with other than ASCII characters and makes no
+    Python objects of them; the rest are built-in expressions.
     """
-    ascii_text = F.lower(F.regexp_replace(_nfkd(text), r"[^\x00-\x7F]", ""))
+    other = F.when(F.octet_length(text) != F.length(text), text)
+    ascii_text = F.lower(F.regexp_replace(F.coalesce(_nfkd(other), text), r"[^\x00-\x7F]", ""))
     return dashed(ascii_text, r"[^\w\s-]")
 
 
