@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.groups import latest_per_key
 from ..operators.numbering import number_rows
-from ..session import cut_lineage
+from ..session import compute_once, cut_lineage
 from . import load
 
 # Staging sequence limit and first person number.
@@ -31,16 +31,17 @@ def shred_payload(
     Every field is read as text first.  A numeric field that does not convert
     stops the job with ``fail_fast``, else the row carries an error message.  So
     does a payload that is no JSON array: it gives one row without fields.
+    A payload is parsed once, whatever is asked of it.
     """
     item = "array<struct<" + ", ".join(f"{n}: string" for n in fields) + ">>"
     carried = [c for c in payloads.columns if c != column]
-    parsed = F.from_json(column, item)
+    parsed = F.col("__parsed")
     broken = F.col(column).isNotNull() & parsed.isNull()
     lost = F.lit("payload is not a JSON array")
     if fail_fast:
         parsed = F.when(broken, F.raise_error(lost).cast(item)).otherwise(parsed)
     items = F.coalesce(parsed, F.when(broken, F.array(F.lit(None).cast(item[6:-1]))))
-    rows = payloads.select(
+    rows = compute_once(payloads, __parsed=F.from_json(column, item)).select(
         *carried, F.when(broken, lost).alias("__lost"), F.posexplode(items).alias("item_no", "item")
     ).select(*carried, "__lost", "item_no", "item.*")
     typed, bad = {}, [F.col("__lost")]
@@ -60,9 +61,12 @@ def shred_payload(
     ).drop("__lost")
 
 
-def stage_records(df: DataFrame, order_by: Sequence[str], at: Column) -> DataFrame:
-    """Give rows status NEW and a stage id: time stamp plus a six-digit cyclic number."""
-    numbered = number_rows(df, order_by, "__n", start=0)
+def stage_records(df: DataFrame, order_by: Sequence[str], at: Column, placed: bool = False) -> DataFrame:
+    """Give rows status NEW and a stage id: time stamp plus a six-digit cyclic number.
+
+    ``placed`` is that of ``number_rows``.
+    """
+    numbered = number_rows(df, order_by, "__n", start=0, placed=placed)
     serial = (F.col("__n") % STAGE_SEQUENCE_MAX) + 1
     stamp = F.date_format(at, "yyyyMMddHHmmss")
     stage_id = F.concat(stamp, F.lpad(serial.cast("string"), 6, "0"))
@@ -70,6 +74,18 @@ def stage_records(df: DataFrame, order_by: Sequence[str], at: Column) -> DataFra
     return out.drop("__n")
 
 
+def stage_payloads(
+    payloads: DataFrame, column: str, fields: dict[str, str], order_by: Sequence[str], at: Column, fail_fast: bool = False
+) -> DataFrame:
+    """Staged rows of the payloads' elements, in the order of the payloads and then of the elements.
+
+    A range sort reads its input twice, so it is the payloads that are sorted, as text;
+    each is parsed once, where it lies then, and its rows are kept in the shared folder.
+    """
+    rows = cut_lineage(shred_payload(payloads.orderBy(*order_by), column, fields, fail_fast))
+    return stage_records(rows, [*order_by, "item_no"], at, placed=True)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """SUCCESS or ERROR by error message; a bad row does not stop the others."""
     return df.withColumns(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..plans import align, load, migrate, staging
 from ..plans.spec import ColumnSpec, TableSpec
-from ..session import work_folder
+from ..session import compute_once, work_folder
 from ..sources import publish
 from .registry import query
 
@@ -317,12 +317,13 @@ def payloads(t):
             F.when(k % 4 > 0, F.concat(F.lit("C"), "c_nationkey")).alias("city"),
         )
 
-    return t.customer.select("c_custkey", F.to_json(F.transform(F.sequence(F.lit(0), k % 2), record)).alias("payload"))
+    customers = t.spread("customer").select("c_custkey", "c_name", "c_nationkey")
+    payload = F.to_json(F.transform(F.sequence(F.lit(0), k % 2), record))
+    return compute_once(customers, payload=payload).select("c_custkey", "payload")
 
 
 def staged_rows(t):
-    rows = staging.shred_payload(payloads(t), "payload", FIELDS)
-    return staging.settle(staging.stage_records(rows, ["c_custkey", "item_no"], at()))
+    return staging.settle(staging.stage_payloads(payloads(t), "payload", FIELDS, ["c_custkey"], at()))
 
 
 @query(
@@ -346,8 +347,7 @@ def stage_bulk(t):
 def stage_broken_payloads(t):
     """Every seventh payload is cut short: each gives one ERROR row and none is lost."""
     cut = F.when(F.col("c_custkey") % 7 == 0, F.expr("substr(payload, 1, 20)")).otherwise(F.col("payload"))
-    rows = staging.shred_payload(payloads(t).withColumn("payload", cut), "payload", FIELDS)
-    settled = staging.settle(staging.stage_records(rows, ["c_custkey", "item_no"], at()))
+    settled = staging.settle(staging.stage_payloads(payloads(t).withColumn("payload", cut), "payload", FIELDS, ["c_custkey"], at()))
     return settled.select("c_custkey", "id", "status", "error_msg")
 
 

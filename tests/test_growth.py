@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions import jsondoc as js
 from millrace.functions import jsonrows, text
-from millrace.queries import REGISTRY
+from millrace.plans import staging
+from millrace.queries import REGISTRY, loading
+from millrace.queries.registry import Tables
 from millrace.session import spread, work_folder
 from millrace.sources import delimited, files
 from millrace.streaming import bursts, edges, feeds
@@ -121,3 +123,22 @@ def test_json_rows_in_one_pass(spark):
     assert jsonrows.convert(2**63, "bigint") is None and jsonrows.convert(2**63 - 1, "bigint") == 2**63 - 1
     assert jsonrows.convert(3, "double") == 3.0 and jsonrows.convert(decimal.Decimal("1.50"), "double") == 1.5
     assert jsonrows.convert(True, "bigint") is None and jsonrows.convert(decimal.Decimal("2.5"), "bigint") is None
+
+
+def test_payloads_are_dealt_out_and_parsed_once(spark):
+    """No single task writes or parses all payloads, and no column of the shredded rows parses a payload again."""
+    payloads = loading.payloads(Tables(spark, SMALL))
+    assert payloads.select(F.spark_partition_id().alias("task")).distinct().count() > 1
+    plan = plan_of(staging.shred_payload(payloads, "payload", loading.FIELDS))
+    assert plan.count("StructsToJsonEvaluator") == plan.count("from_json") == 1
+
+
+def test_staged_payloads_keep_the_order(spark):
+    """Payloads sorted as text give the ids and rows that sorting the shredded rows gives."""
+    texts = ["[{\"id\": \"a\", \"sex\": \"1\"}, {\"id\": \"b\", \"sex\": \"x\"}]", "[]", None, "[{\"id\"", "[null, {\"id\": \"c\"}]"]
+    frame = spark.createDataFrame([((i * 37) % 100, texts[i % 5]) for i in range(100)], "k int, p string").repartition(7)
+    fields, at = {"id": "string", "sex": "int"}, loading.at()
+    got = staging.stage_payloads(frame, "p", fields, ["k"], at)
+    wanted = staging.stage_records(staging.shred_payload(frame, "p", fields), ["k", "item_no"], at)
+    assert sorted(map(str, got.collect())) == sorted(map(str, wanted.select(got.columns).collect()))
+    assert [r["stage_order"] for r in got.orderBy("k", "item_no").collect()] == list(range(100))
