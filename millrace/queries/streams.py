@@ -115,8 +115,7 @@ def late_rows(t):
 
 
 def staged(t):
-    rows = staging.shred_payload(payloads(t), "payload", FIELDS)
-    return staging.stage_records(rows, ["c_custkey", "item_no"], at())
+    return staging.stage_payloads(payloads(t), "payload", FIELDS, ["c_custkey"], at())
 
 
 @query("sweep_stream", "R1 R2 R3 M14 M18", nightly_sql("FULL"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from millrace.functions import jsondoc as js
 from millrace.functions import jsonrows, text
 from millrace.plans import staging
-from millrace.queries import REGISTRY, loading
+from millrace.queries import REGISTRY, loading, streams
 from millrace.queries.registry import Tables
 from millrace.session import spread, work_folder
 from millrace.sources import delimited, files
@@ -142,3 +142,17 @@ def test_staged_payloads_keep_the_order(spark):
     wanted = staging.stage_records(staging.shred_payload(frame, "p", fields), ["k", "item_no"], at)
     assert sorted(map(str, got.collect())) == sorted(map(str, wanted.select(got.columns).collect()))
     assert [r["stage_order"] for r in got.orderBy("k", "item_no").collect()] == list(range(100))
+
+
+def parses_under(monkeypatch, run):
+    """Optimized plans, of those that ``run`` has kept by staging, that parse payloads."""
+    plans, keep = [], staging.cut_lineage
+    monkeypatch.setattr(staging, "cut_lineage", lambda df: plans.append(plan_of(df)) or keep(df))
+    run()
+    return [p for p in plans if "from_json" in p]
+
+
+def test_sweeper_parses_after_the_sort(spark, monkeypatch):
+    """The sweeper's rows come from sorted payloads; the shredded rows are not sorted."""
+    plans = parses_under(monkeypatch, lambda: streams.staged(Tables(spark, SMALL)))
+    assert len(plans) == 1 and plans[0].index("from_json") < plans[0].index("Sort")
