@@ -15,6 +15,7 @@ joined with the counts, so no task holds the vocabulary.
 
 from __future__ import annotations
 
+import math
 from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -42,9 +43,12 @@ HIDDEN, STEPS, TRAIN_LANES, SCORE_STEPS, LANES, BATCH = 16, 32, 256, 128, 256, 3
 #: Rounds, each of which trains on its share of all training documents; the least that
 #: all lanes hold before they are read on; the learning rate.
 ROUNDS, AHEAD, RATE = 2, 1024, 0.02
+#: Logits of a row that lie within this distance of a common bound keep single precision.
+NEAR = 60
 #: Pieces of the weights and groups of tasks when the copies are averaged.
 PIECES, GROUPS = 8, 64
 
+_ONES = np.ones(max(MEMBERS, CLASSES + SHAPES), np.float32)
 _LAST = [3] * 256
 for _kind, _bytes in enumerate((b"abcdefghijklmnopqrstuvwxyz" + bytes(range(128, 256)), b".,;:!?", b"0123456789")):
     for _byte in _bytes:
@@ -90,6 +94,22 @@ class Lexicon:
         self.norm = float(np.log10(self.total + ADD * (self.distinct + 1)))
 
 
+def _sigmoid(x: np.ndarray) -> None:
+    """1 / (1 + exp(-x)), in place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    np.reciprocal(x, out=x)
+
+
+def _lowered(bias: np.ndarray, pull: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Biases less a bound of the logits, and whether it is close to the largest logit of every row.
+
+    ``pull`` bounds what the hidden units add to each logit.
+    """
+    return bias - (bias + pull).max(axis=-1, keepdims=True), 2 * pull.max(axis=-1) < NEAR
+
+
 class Net:
     """Weights in one vector, with a view for each part."""
 
@@ -103,7 +123,7 @@ class Net:
     }
 
     def __init__(self, flat: np.ndarray):
-        self.flat, at = flat, 0
+        self.flat, self.rooms, at = flat, {}, 0
         for name, dims in self.SHAPES_OF.items():
             size = int(np.prod(dims))
             setattr(self, name, flat[at : at + size].reshape(dims))
@@ -126,81 +146,141 @@ class Net:
         net.bw[:] = np.where(member > 0, np.log(np.maximum(member, 1e-30)), -30)
         return net
 
+    def room(self, name: str, *shape: int) -> np.ndarray:
+        """Memory for what lives no longer than a window, used again: new pages cost as much as the work on them."""
+        size, held = math.prod(shape), self.rooms.get(name)
+        if held is None or len(held) < size:
+            held = self.rooms[name] = np.empty(size, np.float32)
+        return held[:size].reshape(shape)
+
     def states(self, before: np.ndarray, keep: np.ndarray, h: np.ndarray):
-        """Run the unit over a window; ``keep`` is 0 where a text begins."""
+        """Run the unit over a window; ``keep`` is 0 where a text begins.
+
+        Inside, units come before lanes, so that each gate is one piece of memory.
+        """
         steps, lanes = before.shape
-        given = self.x[before]
-        out = np.empty((steps, lanes, HIDDEN), np.float32)
-        saved = []
+        given = np.take(self.x, before, axis=0, out=self.room("given", steps, lanes, 3 * HIDDEN), mode="clip")
+        gates = self.room("gates", steps, 3 * HIDDEN, lanes)
+        gates[:] = given.transpose(0, 2, 1)
+        was, inner, out = (self.room(name, steps, HIDDEN, lanes) for name in ("was", "inner", "out"))
+        pull, h = np.ascontiguousarray(self.u.T), np.array(h.T, order="C")
         for t in range(steps):
-            h = h * keep[t][:, None]
-            pulled = h @ self.u
-            gates = 1 / (1 + np.exp(-(given[t, :, : 2 * HIDDEN] + pulled[:, : 2 * HIDDEN])))
-            z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-            inner = pulled[:, 2 * HIDDEN :]
-            n = np.tanh(given[t, :, 2 * HIDDEN :] + r * inner)
-            saved.append((h, z, r, n, inner))
-            h = n + z * (h - n)
-            out[t] = h
-        return out, saved, h
+            np.multiply(h, keep[t], out=was[t])
+            pulled = pull @ was[t]
+            both, n = gates[t, : 2 * HIDDEN], gates[t, 2 * HIDDEN :]
+            both += pulled[: 2 * HIDDEN]
+            _sigmoid(both)
+            inner[t] = pulled[2 * HIDDEN :]
+            n += both[HIDDEN:] * inner[t]
+            n *= 2  # tanh, by a quicker way
+            _sigmoid(n)
+            n *= 2
+            n -= 1
+            h = out[t]
+            np.subtract(was[t], n, out=h)
+            h *= both[:HIDDEN]
+            h += n
+        hidden = self.room("hidden", steps, lanes, HIDDEN)
+        hidden[:] = out.transpose(0, 2, 1)
+        return hidden, (was, gates, inner), h.T.copy()
+
+    def _softmax(self, hidden: np.ndarray, weights: np.ndarray, bias: np.ndarray, near: bool):
+        """Logits less a number that none exceeds, their exponentials and the sums of these.
+
+        Where the bound that is taken off the ``bias`` is ``near``, it serves all rows; else each row takes its own largest.
+        """
+        shape = len(hidden), weights.shape[1]
+        logits = np.matmul(hidden, weights, out=self.room("logits", *shape))
+        logits += bias
+        if not near:
+            logits -= logits.max(axis=1, keepdims=True)
+        p = np.exp(logits, out=self.room("p", *shape))
+        return logits, p, p @ _ONES[: shape[1]]
 
     def output(self, hidden: np.ndarray, target: np.ndarray, grad: Net | None = None, weight: np.ndarray | None = None):
         """Natural log probability of each target; with ``grad`` also the loss's gradients."""
-        kind = np.where(target < OWN, target % CLASSES, target - OWN + CLASSES)
-        rows = np.arange(len(target))
-        logits = hidden @ self.vc + self.bc
-        logits -= logits.max(axis=1, keepdims=True)
-        p = np.exp(logits)
-        sums = p.sum(axis=1)
+        slots = target // CLASSES
+        kind = np.where(target < OWN, target - slots * CLASSES, target - OWN + CLASSES)
+        rows, ones = np.arange(len(target)), np.ones(len(target), np.float32)
+        largest = np.abs(hidden).max(initial=0)
+        logits, p, sums = self._softmax(hidden, self.vc, *_lowered(self.bc, largest * np.abs(self.vc).sum(axis=0)))
         out = logits[rows, kind] - np.log(sums)
         back = None
         if grad is not None:
             p *= (weight / sums)[:, None]
             p[rows, kind] -= weight
             grad.vc += hidden.T @ p
-            grad.bc += p.sum(axis=0)
-            back = p @ self.vc.T
+            grad.bc += ones @ p
+            back = np.matmul(p, self.vc.T, out=self.room("back", len(p), HIDDEN))
+        # the model's own words, class by class
         order = np.argsort(kind.astype(np.uint8), kind="stable")
         ends = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+        order = order[: ends[-1]]
+        near = np.take(hidden, order, axis=0, out=self.room("near", len(order), HIDDEN), mode="clip")
+        slots = slots[order]
+        picked, totals = np.empty(len(order), np.float32), np.empty(len(order), np.float32)
+        if grad is not None:
+            shares, added = weight[order], self.room("added", *near.shape)
+        bias, close = _lowered(self.bw, largest * np.abs(self.w).sum(axis=1))
         for c in range(CLASSES):
-            at = order[ends[c] : ends[c + 1]]
-            if not len(at):
+            at = slice(ends[c], ends[c + 1])
+            h, slot = near[at], slots[at]
+            if not len(h):
                 continue
-            h, slot = hidden[at], target[at] // CLASSES
-            logits = h @ self.w[c] + self.bw[c]
-            logits -= logits.max(axis=1, keepdims=True)
-            p = np.exp(logits)
-            sums = p.sum(axis=1)
-            out[at] += logits[np.arange(len(at)), slot] - np.log(sums)
+            logits, p, sums = self._softmax(h, self.w[c], bias[c], close[c])
+            picked[at], totals[at] = logits[rows[: len(h)], slot], sums
             if grad is not None:
-                p *= (weight[at] / sums)[:, None]
-                p[np.arange(len(at)), slot] -= weight[at]
+                p *= (shares[at] / sums)[:, None]
+                p[rows[: len(h)], slot] -= shares[at]
                 grad.w[c] += h.T @ p
-                grad.bw[c] += p.sum(axis=0)
-                back[at] += p @ self.w[c].T
+                grad.bw[c] += ones[: len(h)] @ p
+                np.matmul(p, self.w[c].T, out=added[at])
+        out[order] += picked - np.log(totals)
+        if grad is not None:
+            back[order] += added
         return out, back
 
     def learn(self, before, keep, target, weight, h, grad: Net):
         """Gradients of one window by backpropagation that stops at its start; returns the state after it."""
-        out, saved, h = self.states(before, keep, h)
+        out, (was, gates, inner), h = self.states(before, keep, h)
         scale = np.float32(1 / max(1.0, weight.sum()))
         _, back = self.output(out.reshape(-1, HIDDEN), target.ravel(), grad, (weight * scale).ravel())
-        back = back.reshape(out.shape)
-        given = np.empty((*before.shape, 3 * HIDDEN), np.float32)
-        later = np.zeros_like(h)
+        shape = steps, _, lanes = was.shape
+        later_back = self.room("later", *shape)
+        later_back[:] = back.reshape(steps, lanes, HIDDEN).transpose(0, 2, 1)
+        z, r, n = gates[:, :HIDDEN], gates[:, HIDDEN : 2 * HIDDEN], gates[:, 2 * HIDDEN :]
+        to_z, to_r, to_n, spare = (self.room(name, *shape) for name in ("to_z", "to_r", "to_n", "spare"))
+        np.subtract(1, z, out=spare)
+        np.subtract(was, n, out=to_z)
+        to_z *= z
+        to_z *= spare
+        np.multiply(n, n, out=to_n)
+        np.subtract(1, to_n, out=to_n)
+        to_n *= spare
+        np.subtract(1, r, out=to_r)
+        to_r *= r
+        to_r *= inner
+        pulled, inmost = self.room("pulled", *gates.shape), spare
+        later = np.zeros_like(was[0])
         for t in range(len(before) - 1, -1, -1):
-            was, z, r, n, inner = saved[t]
-            d = later + back[t]
-            dn = d * (1 - z) * (1 - n * n)
-            dr = dn * inner * r * (1 - r)
-            dz = d * (was - n) * z * (1 - z)
-            given[t] = np.concatenate((dz, dr, dn), axis=1)
-            pulled = np.concatenate((dz, dr, dn * r), axis=1)
-            grad.u += was.T @ pulled
-            later = (d * z + pulled @ self.u.T) * keep[t][:, None]
-        flat, order = before.ravel(), np.argsort(before, axis=None, kind="stable")
-        first = np.flatnonzero(np.diff(flat[order], prepend=-1))
-        grad.x[flat[order][first]] += np.add.reduceat(given.reshape(-1, 3 * HIDDEN)[order], first)
+            d, dn, p = later, inmost[t], pulled[t]
+            d += later_back[t]
+            np.multiply(d, to_n[t], out=dn)
+            np.multiply(d, to_z[t], out=p[:HIDDEN])
+            np.multiply(dn, to_r[t], out=p[HIDDEN : 2 * HIDDEN])
+            np.multiply(dn, r[t], out=p[2 * HIDDEN :])
+            d *= z[t]
+            d += self.u @ p
+            d *= keep[t]
+        grad.u += (was @ pulled.transpose(0, 2, 1)).sum(axis=0)
+        pulled[:, 2 * HIDDEN :] = inmost
+        flat = before.ravel().astype(np.uint16)  # stable sorts of short integers go by digits
+        order = np.argsort(flat, kind="stable")
+        first = np.flatnonzero(np.diff(flat[order].astype(np.int32), prepend=-1))
+        rows = self.room("given", steps, lanes, 3 * HIDDEN)
+        rows[:] = pulled.transpose(0, 2, 1)
+        given = np.take(rows.reshape(-1, 3 * HIDDEN), order, axis=0, out=gates.reshape(-1, 3 * HIDDEN), mode="clip")
+        grad.x[flat[order][first]] += np.add.reduceat(given, first)
         return h
 
 
@@ -211,7 +291,7 @@ class Trainer:
         self.net, self.grad = Net(flat.copy()), Net(np.zeros_like(flat))
         self.mean, self.square, self.steps = np.zeros_like(flat), np.zeros_like(flat), 0
         self.held, self.load = [deque() for _ in range(TRAIN_LANES)], np.zeros(TRAIN_LANES, np.int64)
-        self.h = np.zeros((TRAIN_LANES, HIDDEN), np.float32)
+        self.h, self.spare = np.zeros((TRAIN_LANES, HIDDEN), np.float32), np.empty_like(flat)
 
     def add(self, text: np.ndarray) -> None:
         """Lay a text's tokens on the shortest lane; lanes that all reach far enough are read on."""
@@ -250,12 +330,22 @@ class Trainer:
         self.load[order] -= loads
 
     def step(self) -> None:
-        g, self.steps = self.grad.flat, self.steps + 1
-        g *= min(1.0, 1 / max(1e-6, float(np.sqrt((g * g).sum()))))
-        self.mean += 0.1 * (g - self.mean)
-        self.square += 0.01 * (g * g - self.square)
+        """``mean`` and ``square`` are kept as plain decayed sums, 10 and 100 times the means."""
+        g, spare, self.steps = self.grad.flat, self.spare, self.steps + 1
+        size = float(np.sqrt(g @ g))
+        if size > 1:
+            g *= 1 / size
+        self.mean *= 0.9
+        self.mean += g
+        g *= g
+        self.square *= 0.99
+        self.square += g
         rate = RATE * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps) * min(1.0, self.steps / 20)
-        self.net.flat -= (rate * self.mean / (np.sqrt(self.square) + 1e-6)).astype(np.float32)
+        np.sqrt(self.square, out=spare)
+        spare += 1e-5
+        np.divide(self.mean, spare, out=spare)
+        spare *= rate
+        self.net.flat -= spare
         g[:] = 0
 
 

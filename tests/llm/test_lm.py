@@ -143,3 +143,35 @@ def test_short_documents_teach(docs):
     table = docs([(i, "only a few words") for i in ids])
     lex = lm.lexicon(lm.count_words(table))
     assert (lm.train(table, lex) != lm.Net.start(lex).flat).any()
+
+
+def test_windows_reuse_their_memory():
+    """Windows after the first make no new arrays of a window's size; results do not depend on what was there."""
+    rng = np.random.default_rng(6)
+    net = lm.Net(lm.Net.start(small_lexicon()).flat)
+    grad = lm.Net(np.zeros_like(net.flat))
+    before, target = rng.integers(0, lm.OWN + 8, (2, lm.STEPS, 64))
+    keep, h = np.ones((lm.STEPS, 64), np.float32), np.zeros((64, lm.HIDDEN), np.float32)
+    net.learn(before, keep, target, keep, h, grad)
+    first, held = grad.flat.copy(), {k: v.ctypes.data for k, v in net.rooms.items()}
+    grad.flat[:] = 0
+    net.learn(before[:5, :7], keep[:5, :7], target[:5, :7], keep[:5, :7], h[:7], grad)
+    grad.flat[:] = 0
+    net.learn(before, keep, target, keep, h, grad)
+    assert np.array_equal(grad.flat, first) and {k: v.ctypes.data for k, v in net.rooms.items()} == held
+
+
+@pytest.mark.parametrize("size", [0.1, 3.0, 30.0])
+def test_common_bound_and_own_largest_agree(size):
+    """Large weights leave the common bound; both ways give the probabilities of plain double precision."""
+    net = lm.Net.start(small_lexicon())
+    rng = np.random.default_rng(9)
+    net.vc[:], net.w[:] = rng.standard_normal(net.vc.shape) * size, rng.standard_normal(net.w.shape) * size
+    hidden, target = np.tanh(rng.standard_normal((500, lm.HIDDEN))).astype(np.float32), rng.integers(0, lm.OWN + 8, 500)
+    logs, _ = net.output(hidden, target)
+    for h, t, got in zip(hidden.astype(float), target, logs, strict=True):
+        parts = [(h @ net.vc + net.bc, t % lm.CLASSES if t < lm.OWN else t - lm.OWN + lm.CLASSES)]
+        if t < lm.OWN:
+            parts.append((h @ net.w[t % lm.CLASSES] + net.bw[t % lm.CLASSES], t // lm.CLASSES))
+        want = sum(x[k] - x.max() - np.log(np.exp(x - x.max()).sum()) for x, k in parts)
+        assert got == pytest.approx(want, rel=1e-4, abs=1e-3)
