@@ -156,3 +156,9 @@ def test_sweeper_parses_after_the_sort(spark, monkeypatch):
     """The sweeper's rows come from sorted payloads; the shredded rows are not sorted."""
     plans = parses_under(monkeypatch, lambda: streams.staged(Tables(spark, SMALL)))
     assert len(plans) == 1 and plans[0].index("from_json") < plans[0].index("Sort")
+
+
+def test_address_merge_parses_once_for_links_and_rows(spark, monkeypatch):
+    """Links and addresses come from the same staged rows, parsed once after the sort of the payloads."""
+    plans = parses_under(monkeypatch, lambda: REGISTRY["merge_address"].run(spark, SMALL))
+    assert len(plans) == 1 and plans[0].index("from_json") < plans[0].index("Sort")
