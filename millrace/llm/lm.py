@@ -16,18 +16,19 @@ joined with the counts, so no task holds the vocabulary.
 from __future__ import annotations
 
 import math
-from collections import Counter, deque
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_crc, stored, words
+from .common import id_crc, stored
 
 #: The token that ends a document.  No word is empty.
 END = b""
@@ -38,6 +39,8 @@ FREQUENT, LONGEST = 1 << 17, 48
 #: Word classes, words in each, and classes of other words by shape.
 CLASSES, MEMBERS, SHAPES = 32, 64, 8
 OWN = CLASSES * MEMBERS
+#: Bytes of the texts that are cut into words at a time, about.
+PIECE = 1 << 24
 #: Hidden units; steps of a window and lanes in training; the same in scoring, and tokens scored at a time.
 HIDDEN, STEPS, TRAIN_LANES, SCORE_STEPS, LANES, BATCH = 16, 32, 256, 128, 256, 3_000_000
 #: Rounds, each of which trains on its share of all training documents; the least that
@@ -49,23 +52,57 @@ NEAR = 60
 PIECES, GROUPS = 8, 64
 
 _ONES = np.ones(max(MEMBERS, CLASSES + SHAPES), np.float32)
-_LAST = [3] * 256
+_LAST = np.full(256, 3)
 for _kind, _bytes in enumerate((b"abcdefghijklmnopqrstuvwxyz" + bytes(range(128, 256)), b".,;:!?", b"0123456789")):
     for _byte in _bytes:
         _LAST[_byte] = _kind
 
 
-def shape(word: bytes) -> int:
-    """One of eight classes: beyond ASCII or not, and the kind of the last byte."""
-    kind = _LAST[word[-1]] if word else 0
-    return kind if word.isascii() else kind + 4
-
-
-class _Places(dict):
-    """Places of frequent words; -1 for others."""
-
-    def __missing__(self, word: bytes) -> int:
-        return -1
+def shapes(words: pa.Array) -> np.ndarray:
+    """One of eight classes for each word: beyond ASCII or not, and the kind of the last byte."""
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int32, len(words) + 1, 4 * words.offset) if len(words) else np.zeros(1, np.int32)
+    filled = np.diff(ends) > 0
+    kinds = np.zeros(len(words), np.int64)
+    if filled.any():
+        kinds[filled] = _LAST[np.frombuffer(data, np.uint8)[ends[1:][filled] - 1]]
+    kinds[~pc.string_is_ascii(words.view(pa.string())).to_numpy(zero_copy_only=False)] += 4
+    return kinds
+
+
+def pieces(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about PIECE bytes of text; the texts are in ``column``, null ones come out empty."""
+
+    def cut(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.concat_batches(held)
+        rows = rows.set_column(column, rows.schema.names[column], pc.fill_null(rows.column(column), ""))
+        reach = np.cumsum(pc.binary_length(rows.column(column)).to_numpy())
+        parts = max(1, round(int(reach[-1]) / PIECE))
+        ends = np.searchsorted(reach, reach[-1] * np.arange(1, parts + 1) / parts) + 1
+        ends[-1] = len(reach)
+        for start, end in zip([0, *ends[:-1]], ends, strict=True):
+            if start < end:
+                yield rows.slice(start, end - start)
+
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.nbytes
+        if size >= PIECE:
+            yield from cut(held)
+            held, size = [], 0
+    if held:
+        yield from cut(held)
+
+
+def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts, A-Z lowered, cut at ASCII white space, and where those of each text begin.
+
+    Arrow's functions for ASCII touch no other bytes.  White space at the ends of a text gives empty words.
+    """
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    return parts.flatten(), parts.offsets.to_numpy()
 
 
 @dataclass
@@ -78,19 +115,20 @@ class Lexicon:
     distinct: int
     shape_tokens: np.ndarray  # per shape, of words that are not the model's own
     shape_words: np.ndarray
-    index: _Places = field(init=False)
+    places: pa.Array = field(init=False)
 
     def __post_init__(self) -> None:
-        self.index = _Places((w, i) for i, w in enumerate(self.words))
-        shapes = np.array([shape(w) for w in self.words], np.int64)
+        self.places = pa.array(self.words, pa.binary()).view(pa.string())
+        kinds = shapes(self.places)
         own = np.arange(len(self.words)) < OWN
         #: the model's token of each frequent word
-        self.token = np.where(own, np.arange(len(self.words)), OWN + shapes).astype(np.int32)
-        self.seen = self.counts > 0
-        self.log_count = np.log10(self.counts + ADD)
+        self.token = np.where(own, np.arange(len(self.words)), OWN + kinds).astype(np.int32)
+        # these have a zero more, which place -1 gives
+        self.seen = np.append(self.counts > 0, False)
+        self.log_count = np.append(np.log10(self.counts + ADD), 0.0)
         self.shape_norm = np.log10(self.shape_tokens + ADD * (self.shape_words + 1))
         #: log10 probability inside the shape class, zero for the model's own words
-        self.inside = np.where(own, 0.0, self.log_count - self.shape_norm[shapes])
+        self.inside = np.append(np.where(own, 0.0, self.log_count[:-1] - self.shape_norm[kinds]), 0.0)
         self.norm = float(np.log10(self.total + ADD * (self.distinct + 1)))
 
 
@@ -404,23 +442,18 @@ def count_words(docs: DataFrame) -> DataFrame:
     """``word, n`` over all texts, ends included; each task sums before it hands on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
-        for batch in batches:
-            for text in batch.column(0):
-                seen.update(words(text.as_py()))
-                seen[END] += 1
-                if len(seen) > 300_000:
-                    yield _counted(seen)
-                    seen = Counter()
-        yield _counted(seen)
+        for piece in pieces(batches, 0):
+            seen = pc.value_counts(words(piece.column(0))[0])
+            word, n = seen.field("values").cast(pa.binary()), seen.field("counts")
+            filled = pc.not_equal(pc.binary_length(word), 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.concat_arrays([word.filter(filled), pa.array([END], pa.binary())]), pa.concat_arrays([n.filter(filled), pa.array([piece.num_rows], pa.int64())])],
+                ["word", "n"],
+            )
 
     return docs.select(F.col("text").cast("string")).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _counted(seen: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], ["word", "n"])
-
-
 def lexicon(counts: DataFrame) -> Lexicon:
     """The broadcast part of ``counts``: at most FREQUENT words, chosen by a count that few exceed."""
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -436,16 +469,14 @@ def lexicon(counts: DataFrame) -> Lexicon:
     ends = counts.where(F.octet_length("word") == 0).first()
     found = [END] + [w for _, w in rows]
     numbers = np.array([ends["n"] if ends else 0] + [-n for n, _ in rows], np.int64)
-    own = frozenset(found[:OWN])
+    own = pa.array(found[:OWN], pa.binary())
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens, kinds = np.zeros(SHAPES, np.int64), np.zeros(SHAPES, np.int64)
-            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if word not in own:
-                    k = shape(word)
-                    tokens[k] += n
-                    kinds[k] += 1
+            others = batch.filter(pc.invert(pc.is_in(batch.column(0), value_set=own)))
+            kind, tokens = shapes(others.column(0)), np.zeros(SHAPES, np.int64)
+            np.add.at(tokens, kind, others.column(1).to_numpy())
+            kinds = np.bincount(kind, minlength=SHAPES)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(SHAPES)), pa.array(tokens), pa.array(kinds)], ["shape", "tokens", "words"])
 
     tokens, kinds = np.zeros(SHAPES), np.zeros(SHAPES)
@@ -464,11 +495,11 @@ def train(docs: DataFrame, lex: Lexicon) -> np.ndarray:
 
         def run(batches: Iterator[pa.RecordBatch], given=given) -> Iterator[pa.RecordBatch]:
             trainer, tokens = Trainer(given.value), 0
-            for batch in batches:
-                for text in batch.column(0):
-                    ids = _tokens(shared.value, text.as_py())[0]
-                    trainer.add(ids)
-                    tokens += len(ids)
+            for batch in pieces(batches, 0):
+                ids, _, ends, _ = _tokens(shared.value, batch.column(0))
+                for text in np.split(ids, ends[:-1]):
+                    trainer.add(text)
+                tokens += len(ids)
             trainer.finish()
             if tokens:
                 part = TaskContext.get().partitionId() % GROUPS
@@ -492,14 +523,31 @@ def train(docs: DataFrame, lex: Lexicon) -> np.ndarray:
     return flat
 
 
-def _tokens(lex: Lexicon, text: str | None) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """The model's tokens of a text, its places in the lexicon (-1: not frequent), and its words; END is last."""
-    parts = words(text) + [END]
-    at = np.fromiter(map(lex.index.__getitem__, parts), np.int32, len(parts))
+def _tokens(lex: Lexicon, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Texts end to end, each closed by END: the model's tokens, their places in the lexicon (-1: not frequent),
+    where each text ends, and the words that are not frequent."""
+    parts, starts = words(texts)
+    found = pc.index_in(parts, value_set=lex.places).fill_null(-1).to_numpy()
+    filled = found != 0  # an empty word has the place of END
+    ends = np.concatenate(([0], np.cumsum(filled)))[starts[1:]] + np.arange(1, len(texts) + 1)
+    inside = np.ones(len(texts) + int(filled.sum()), bool)
+    inside[ends - 1] = False
+    at = np.zeros(len(inside), np.int32)
+    at[inside] = found[filled]
+    rare = parts.filter(pa.array(found < 0))
     tokens = lex.token[at]
-    for k in np.flatnonzero(at < 0):
-        tokens[k] = OWN + shape(parts[k])
-    return tokens, at, parts
+    tokens[at < 0] = OWN + shapes(rare)
+    return tokens, at, ends, rare
+
+
+def _per_text(owner: np.ndarray, rare: pa.Array, count: int) -> list[pa.Array]:
+    """Lists of the different words of each text, and how often each is there."""
+    code = rare.dictionary_encode()
+    size = max(1, len(code.dictionary))
+    key, times = np.unique(owner * size + code.indices.to_numpy(), return_counts=True)
+    bounds = pa.array(np.searchsorted(key, np.arange(count + 1) * size), pa.int32())
+    found = code.dictionary.cast(pa.binary()).take(pa.array(key % size))
+    return [pa.ListArray.from_arrays(bounds, values) for values in (found, pa.array(times, pa.int64()))]
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -516,31 +564,23 @@ def score(docs: DataFrame) -> DataFrame:
     flat = docs.sparkSession.sparkContext.broadcast(train(taught, lex))
     shared = docs.sparkSession.sparkContext.broadcast(lex)
     names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "times"]
-    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lex, net = shared.value, Net(flat.value)
-        number, rows, texts, held = TaskContext.get().partitionId() << 33, [], [], 0
-
-        def out() -> pa.RecordBatch:
-            done = [(*r[:6], s + r[6], *r[7:]) for r, s in zip(rows, log_probabilities(net, texts).tolist() if texts else [], strict=True)]
-            columns = list(zip(*done, strict=True)) or [()] * len(kinds)
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
-
-        for batch in batches:
-            for doc_id, apart, text in zip(*batch.columns, strict=True):
-                tokens, at, parts = _tokens(lex, text.as_py())
-                known = at[at >= 0]
-                rare = Counter(parts[k] for k in np.flatnonzero(at < 0))
-                norms = lex.shape_norm[tokens[at < 0] - OWN].sum()
-                rows.append((number, doc_id.as_py(), apart.as_py(), len(at), int(lex.seen[known].sum()), float(lex.log_count[known].sum()),
-                             float(lex.inside[known].sum() - norms), list(rare), list(rare.values())))
-                texts.append(tokens)
-                number, held = number + 1, held + len(tokens)
-                if held >= BATCH:
-                    yield out()
-                    rows, texts, held = [], [], 0
-        yield out()
+        lex, net, number = shared.value, Net(flat.value), TaskContext.get().partitionId() << 33
+        for piece in pieces(batches, 2):
+            count = piece.num_rows
+            tokens, at, ends, rare = _tokens(lex, piece.column(2))
+            starts = np.concatenate(([0], ends[:-1]))
+            others = np.flatnonzero(at < 0)
+            owner = np.searchsorted(ends, others, side="right")
+            norms = np.bincount(owner, lex.shape_norm[tokens[others] - OWN], count)
+            sums = [np.add.reduceat(part[at], starts) for part in (lex.seen.astype(np.int64), lex.log_count, lex.inside)]
+            texts, scores = np.split(tokens, ends[:-1]), []
+            for group in np.split(np.arange(count), np.flatnonzero(np.diff(starts // BATCH)) + 1):
+                scores.append(log_probabilities(net, texts[group[0] : group[-1] + 1]))
+            columns = [number + np.arange(count), piece.column(0), piece.column(1), ends - starts, sums[0], sums[1], np.concatenate(scores) + sums[2] - norms]
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns] + _per_text(owner, rare, count), names)
+            number += count
 
     given = docs.select(F.col("doc_id").cast("long"), held_out().alias("held_out"), F.col("text").cast("string"))
     marked = stored(

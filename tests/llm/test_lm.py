@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -175,3 +176,26 @@ def test_common_bound_and_own_largest_agree(size):
             parts.append((h @ net.w[t % lm.CLASSES] + net.bw[t % lm.CLASSES], t // lm.CLASSES))
         want = sum(x[k] - x.max() - np.log(np.exp(x - x.max()).sum()) for x, k in parts)
         assert got == pytest.approx(want, rel=1e-4, abs=1e-3)
+
+
+def test_words_of_many_texts_at_once(monkeypatch):
+    """Texts are cut and looked up together, without a Python object for each word, as the plain rule cuts them one by one."""
+    every = "".join(map(chr, range(300)))
+    texts = [None, "", " \t", "W1 w1\nrare  W2 ", every, " Rare rare\x1fRARE \xa0w3\x85 w4.", "w5", *[f"w{i} é{i % 7} É" for i in range(500)]]
+    lex, odd = small_lexicon(), pa.array([b"w1 \xff\xfeA w2", b"\xc3"], pa.binary()).view(pa.string())
+    batches = [pa.record_batch([pa.array(part, pa.string())], ["text"]) for part in (texts[:3], [], texts[3:6], texts[6:])]
+    monkeypatch.setattr(lm, "PIECE", 1000)
+    cut = list(lm.pieces(iter([*batches, pa.record_batch([odd], ["text"])]), 0))
+    assert len(cut) > 3 and max(len("".join(p.column(0).to_pylist()).encode()) for p in cut[:3]) < 2000
+    plain = [(t or "").encode().lower().split() for t in texts] + [b.as_py().lower().split() for b in odd.view(pa.binary())]
+    place = {w: k for k, w in enumerate(lex.words)}
+    for piece in cut:
+        tokens, at, ends, rare = lm._tokens(lex, piece.column(0))
+        owner = np.searchsorted(ends, np.flatnonzero(at < 0), side="right")
+        kept, times = (a.to_pylist() for a in lm._per_text(owner, rare, piece.num_rows))
+        for k, ids in enumerate(np.split(tokens, ends[:-1])):
+            mine = plain.pop(0)
+            kinds = [(0 if w[-1:].islower() or w[-1] > 127 else 1 if w[-1:] in b".,;:!?" else 2 if w[-1:].isdigit() else 3) + 4 * (not w.isascii()) for w in mine]
+            assert ids.tolist() == [place.get(w, lm.OWN + s) for w, s in zip(mine, kinds, strict=True)] + [0]
+            assert dict(zip(kept[k], times[k], strict=True)) == Counter(w for w in mine if w not in place)
+    assert not plain
