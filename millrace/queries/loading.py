@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..plans import align, load, migrate, staging
 from ..plans.spec import ColumnSpec, TableSpec
-from ..session import compute_once, work_folder
+from ..session import compute_once, spread_in_order, work_folder
 from ..sources import publish
 from .registry import query
 
@@ -317,7 +317,7 @@ def payloads(t):
             F.when(k % 4 > 0, F.concat(F.lit("C"), "c_nationkey")).alias("city"),
         )
 
-    customers = t.spread("customer").select("c_custkey", "c_name", "c_nationkey")
+    customers = spread_in_order(t.customer.select("c_custkey", "c_name", "c_nationkey"), "c_custkey")
     payload = F.to_json(F.transform(F.sequence(F.lit(0), k % 2), record))
     return compute_once(customers, payload=payload).select("c_custkey", "payload")
 

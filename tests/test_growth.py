@@ -162,3 +162,11 @@ def test_address_merge_parses_once_for_links_and_rows(spark, monkeypatch):
     """Links and addresses come from the same staged rows, parsed once after the sort of the payloads."""
     plans = parses_under(monkeypatch, lambda: REGISTRY["merge_address"].run(spark, SMALL))
     assert len(plans) == 1 and plans[0].index("from_json") < plans[0].index("Sort")
+
+
+def test_sorted_payloads_are_written_once(spark):
+    """Customers are dealt out by ranges of their key, so the sort moves no payload and does not write all of them for its sample."""
+    payloads = loading.payloads(Tables(spark, SMALL))
+    plan = payloads.orderBy("c_custkey")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("StructsToJson") < plan.index("Exchange rangepartitioning")
+    assert [r["c_custkey"] for r in payloads.orderBy("c_custkey").collect()] == sorted(r["c_custkey"] for r in Tables(spark, SMALL).customer.collect())
